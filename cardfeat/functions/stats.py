@@ -4,9 +4,10 @@ Every statistic here has a partial form, so a group is combined on the map
 side and a hot key costs one small buffer per task. Distinct counts and
 medians need the values themselves and live in ``operators.rollup``.
 
-Sums of doubles depend on the order in which tasks deliver their parts.
-``digits`` rounds the sum once, before it is divided, so that a rerun or a
-retried task gives the same result to the last bit.
+Sums of doubles depend on the order in which tasks deliver their parts. With
+``digits`` set, the terms of a sum are taken to ``SUM_DIGITS`` decimals and the
+sum is rounded to the same grid, so that a rerun or a retried task gives the
+same sum and mean to the last bit; spreads are rounded to ``digits``.
 """
 
 from __future__ import annotations
@@ -20,30 +21,31 @@ from pyspark.sql import types as T
 Aggregate = Callable[[Column], Column]
 
 
+#: Decimals kept of the terms of a stable sum.
+SUM_DIGITS = 9
+
+
 def _stable(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
-def snap(value: Column, digits: int) -> Column:
-    """The nearest multiple of ``10**-digits``, by plain float arithmetic.
-
-    Sums of snapped numbers lie on the same grid, so they can be rounded
-    without ties.
-    """
-    scale = F.lit(10.0**digits)
-    return F.rint(value * scale) / scale
+def _sum(column: Column, fractional: bool, digits: int | None) -> Column:
+    if not fractional or digits is None:
+        return F.sum(column)
+    # on the grid before the sum: a sum that lies between two decimals would
+    # round up or down by chance
+    scale = F.lit(10.0**SUM_DIGITS)
+    return F.round(F.sum(F.rint(column * scale) / scale), SUM_DIGITS)
 
 
 def total(column: Column, fractional: bool, digits: int | None = None) -> Column:
     """Sum, 0 for a group without values."""
-    if fractional:
-        return F.coalesce(_stable(F.sum(column), digits), F.lit(0.0))
-    return F.coalesce(F.sum(column), F.lit(0).cast("bigint"))
+    zero = F.lit(0.0) if fractional else F.lit(0).cast("bigint")
+    return F.coalesce(_sum(column, fractional, digits), zero)
 
 
 def mean(column: Column, fractional: bool, digits: int | None = None) -> Column:
-    top = _stable(F.sum(column), digits) if fractional else F.sum(column)
-    return F.try_divide(top.cast("double"), F.count(column).cast("double"))
+    return F.try_divide(_sum(column, fractional, digits).cast("double"), F.count(column).cast("double"))
 
 
 def skew(column: Column, digits: int | None = None) -> Column:

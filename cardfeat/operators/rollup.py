@@ -2,20 +2,23 @@
 
 A :class:`Rollup` says which statistics of which columns to take; the result
 has one column ``<prefix><column>_<statistic>`` for each. One aggregate does
-the whole spec. Rows with a null key belong to no group.
+all statistics that combine on the map side, a second one those that need a
+group's values. Rows with a null key belong to no group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardfeat.functions.scalars import ratio
-from cardfeat.functions.stats import Aggregate, snap, statistic
+from cardfeat.functions.stats import Aggregate, statistic
+from cardfeat.operators.clean import drop_null_keys
 from cardfeat.operators.quantiles import exact_quantiles
 from cardfeat.operators.skew import HOT_ROWS, hot_keys, split_hot
 
@@ -74,19 +77,26 @@ def _held(spec: Rollup, stat: str) -> list[Measure]:
     return [m for m in spec.measures if m.stat == stat and m.custom is None]
 
 
-def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
-    """Everything in one aggregate; a group's values fit in a buffer."""
-    distinct = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
-    middle = [F.median(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
-    return df.groupBy(*keys).agg(*_mergeable(df, spec), *distinct, *middle)
+def _joined(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Aggregates over the same keys, side by side; their partitioning is reused."""
+    return reduce(lambda a, b: a.join(b, list(keys), "left"), parts)
 
 
-def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
-    """Distinct counts and medians spread over (key, value) before they meet.
+def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
+    """Distinct counts and medians from buffers that hold a group's values.
 
-    The distinct counts get an aggregate of their own: next to the others every
-    buffer would be copied once per distinct column.
+    They get an aggregate of their own over their own few columns: Spark sorts
+    the rows of such an aggregate, and next to it the others would lose their
+    generated code.
     """
+    held = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
+    held += [F.median(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
+    parts = [df.groupBy(*keys).agg(*columns) for columns in (_mergeable(df, spec), held) if columns]
+    return _joined(parts, keys)
+
+
+def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
+    """Distinct counts and medians spread over (key, value) before they meet."""
     keys = list(keys)
     parts = []
     if mergeable := _mergeable(df, spec):
@@ -98,10 +108,7 @@ def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
         if not parts:
             parts.append(df.select(*keys).distinct())
         parts.append(found)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, keys, "left")
-    return out
+    return _joined(parts, keys)
 
 
 def roll_up(
@@ -114,7 +121,7 @@ def roll_up(
     """
     keys = list(keys)
     needed = list(dict.fromkeys([*keys, *(m.column for m in spec.measures)]))
-    df = df.select(*needed).dropna(subset=keys)
+    df = drop_null_keys(df.select(*needed), keys)
     order = [*keys, *spec.columns]
     if not (_held(spec, DISTINCT) or _held(spec, MEDIAN)):
         return df.groupBy(*keys).agg(*_mergeable(df, spec)).select(*order)
@@ -132,32 +139,11 @@ def add_shares(rolled: DataFrame, size: str, prefix: str, rows: DataFrame, keys:
 
     The total is a scalar subquery over the keyed rows, counted once.
     """
-    all_rows = rows.dropna(subset=list(keys)).agg(F.count(F.lit(1))).scalar()
+    all_rows = drop_null_keys(rows, keys).agg(F.count(F.lit(1))).scalar()
     share = ratio(F.col(size), all_rows)
     return rolled.withColumn(f"{prefix}_mean", share).withColumn(f"{prefix}_sum", F.col(f"{prefix}_mean") * F.col(size))
 
 
-#: Decimals kept of a first-level mean when ``digits`` asks for stable sums.
-FINE_DIGITS = 9
-
-
-def _between_levels(first: DataFrame, keys: Sequence[str], digits: int | None) -> DataFrame:
-    """First-level results as second-level input.
-
-    A mean of k values can lie exactly between two decimals; snapping it to a
-    fine grid keeps the second sum free of such ties.
-    """
-    if digits is None:
-        return first
-    floats = [f.name for f in first.schema.fields if f.dataType == T.DoubleType() and f.name not in keys]
-    return first.withColumns({c: snap(F.col(c), FINE_DIGITS) for c in floats})
-
-
-def _second(stat: str, column: Column, dtype: T.DataType, digits: int | None) -> Column:
-    fine = digits is not None and stat in ("sum", "mean")
-    return statistic(stat, column, dtype, FINE_DIGITS if fine else digits)
-
-
 def two_level(
     df: DataFrame,
     key: str,
@@ -173,10 +159,10 @@ def two_level(
     the outer statistics of the grouping column itself. Null groups are left
     out.
     """
-    first = _between_levels(roll_up(df, Rollup("", tuple(inner), digits=digits), [key, group]), [key, group], digits)
+    first = roll_up(df, Rollup("", tuple(inner), digits=digits), [key, group])
     fields = [f for f in first.schema.fields if f.name != key and (with_group or f.name != group)]
     return first.groupBy(key).agg(
-        *(_second(s, F.col(f.name), f.dataType, digits).alias(f"{f.name}_{s}") for f in fields for s in outer.split())
+        *(statistic(s, F.col(f.name), f.dataType, digits).alias(f"{f.name}_{s}") for f in fields for s in outer.split())
     )
 
 
@@ -197,18 +183,18 @@ def successive_means(
         *(F.struct(F.lit(i).alias("which"), F.col(g).cast("string").alias("group")) for i, g in enumerate(groups))
     )
     long = (
-        df.dropna(subset=[key])
+        drop_null_keys(df, [key])
         .select(key, *values, F.explode(copies).alias("copy"))
         .select(key, "copy.which", "copy.group", *values)
         .filter(F.col("group").isNotNull())
     )
     means = [statistic("mean", F.col(v), types[v], digits).alias(v) for v in values]
-    first = _between_levels(long.groupBy(key, "which", "group").agg(*means), [key], digits)
+    first = long.groupBy(key, "which", "group").agg(*means)
     columns = []
     for group, value in pairs:
         mine = F.when(F.col("which") == groups.index(group), F.col(value))
         for stat in ("mean", "min", "max", "std"):
-            columns.append(_second(stat, mine, T.DoubleType(), digits).alias(f"{group}_{value}_{stat}"))
+            columns.append(statistic(stat, mine, T.DoubleType(), digits).alias(f"{group}_{value}_{stat}"))
     base = F.max((F.col("which") == 0).cast("int")).alias("_base")
     return first.groupBy(key).agg(*columns, base).filter(F.col("_base") == 1).drop("_base")
 
@@ -220,8 +206,8 @@ def mean_of_group_means(
     number of groups whose mean is not zero. Null groups are left out; a group
     without values counts as a mean of 0.
     """
-    first = _between_levels(roll_up(df, Rollup("", take("mean", value), digits=digits), [key, group]), [key, group], digits)
+    first = roll_up(df, Rollup("", take("mean", value), digits=digits), [key, group])
     m = F.coalesce(F.col(f"{value}_mean"), F.lit(0.0))
-    average = _second("mean", m, T.DoubleType(), digits)
+    average = statistic("mean", m, T.DoubleType(), digits)
     out = first.groupBy(key).agg(average.alias(f"{prefix}sum_cal"), F.count_if(m != 0).alias("_nonzero"))
     return out.withColumn(f"{prefix}mean_cal", ratio(F.col(f"{prefix}sum_cal"), F.col("_nonzero"))).drop("_nonzero")

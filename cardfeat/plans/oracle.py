@@ -73,9 +73,14 @@ def _add(name: str, body: str, **ctes: str) -> None:
 _WHOLE, _FRACTION = "whole", "fraction"
 
 
+def _real_sum(col: str) -> str:
+    """A sum of doubles on a grid of nine decimals."""
+    return f"round(sum(round_even({col} * 1e9, 0) / 1e9), 9)"
+
+
 def _stat(stat: str, col: str, kind: str = _WHOLE) -> str:
     whole = kind == _WHOLE
-    total = f"sum({col})" if whole else f"round(sum({col}), 6)"
+    total = f"sum({col})" if whole else _real_sum(col)
     return {
         "sum": f"CAST(coalesce(sum({col}), 0) AS BIGINT)" if whole else f"coalesce({total}, 0.0)",
         "mean": f"CAST({total} AS DOUBLE) / NULLIF(count({col}), 0)",
@@ -91,22 +96,6 @@ def _stat(stat: str, col: str, kind: str = _WHOLE) -> str:
     }[stat]
 
 
-def _fine(sql: str) -> str:
-    """A first-level mean on a grid of nine decimals."""
-    return f"round_even(({sql}) * 1e9, 0) / 1e9"
-
-
-def _outer(stat: str, col: str, kind: str) -> str:
-    """A second-level statistic; sums keep nine decimals."""
-    if kind == _FRACTION and stat == "mean":
-        return f"round(sum({col}), 9) / NULLIF(count({col}), 0)"
-    return _stat(stat, col, kind)
-
-
-def _outer_stats(stats: str, col: str, kind: str = _WHOLE) -> list[str]:
-    return [f"{_outer(s, col, kind)} AS {col}_{s}" for s in stats.split()]
-
-
 def _stats(prefix: str, stats: str, columns: str, kind: str = _WHOLE) -> list[str]:
     return [f"{_stat(s, c, kind)} AS {prefix}{c}_{s}" for c in columns.split() for s in stats.split()]
 
@@ -347,17 +336,17 @@ def _shares(source: str, prefix: str) -> list[str]:
 _add("share_of_total", _group("hist", ["count(*) AS hist_transactions_count"] + _shares("hist", "history_card_percentage")))
 _add(
     "subsector_mean_of_means",
-    "SELECT card_id, round(sum(m), 9) / count(*) AS new_sum_cal, "
-    "round(sum(m), 9) / count(*) / NULLIF(count(*) FILTER (m <> 0), 0) AS new_mean_cal FROM means GROUP BY card_id",
-    means=f"SELECT card_id, subsector_id, coalesce({_fine('round(sum(purchase_amount), 6) / count(purchase_amount)')}, 0.0) AS m "
+    f"SELECT card_id, {_real_sum('m')} / count(*) AS new_sum_cal, "
+    f"{_real_sum('m')} / count(*) / NULLIF(count(*) FILTER (m <> 0), 0) AS new_mean_cal FROM means GROUP BY card_id",
+    means=f"SELECT card_id, subsector_id, coalesce({_stat('mean', 'purchase_amount', _FRACTION)}, 0.0) AS m "
     "FROM fresh WHERE card_id IS NOT NULL AND subsector_id IS NOT NULL GROUP BY card_id, subsector_id",
 )
 
 
 def _successive(group: str, value: str, kind: str) -> str:
     name = f"{group}_{value}"
-    inner = f"SELECT card_id, {_fine(_stat('mean', value, kind))} AS {name} FROM fresh WHERE card_id IS NOT NULL AND {group} IS NOT NULL GROUP BY card_id, {group}"
-    return f"SELECT card_id, {', '.join(_outer_stats('mean min max std', name, _FRACTION))} FROM ({inner}) GROUP BY card_id"
+    inner = f"SELECT card_id, {_stat('mean', value, kind)} AS {name} FROM fresh WHERE card_id IS NOT NULL AND {group} IS NOT NULL GROUP BY card_id, {group}"
+    return f"SELECT card_id, {', '.join(_stats('', 'mean min max std', name, _FRACTION))} FROM ({inner}) GROUP BY card_id"
 
 
 _add(
@@ -372,10 +361,8 @@ _add(
 
 def _per_month(inner: list[tuple[str, str, str, str]], outer: str) -> tuple[str, str]:
     """Inner statistics as (column, statistic, kind of column, kind of result)."""
-    first = ", ".join(
-        f"{_fine(_stat(s, c, k)) if s == 'mean' else _stat(s, c, k)} AS {c}_{s}" for c, s, k, _ in inner
-    )
-    second = _outer_stats(outer, "month_lag") + [x for c, s, _, r in inner for x in _outer_stats(outer, f"{c}_{s}", r)]
+    first = ", ".join(f"{_stat(s, c, k)} AS {c}_{s}" for c, s, k, _ in inner)
+    second = _stats("", outer, "month_lag") + [x for c, s, _, r in inner for x in _stats("", outer, f"{c}_{s}", r)]
     return first, f"SELECT card_id, {', '.join(second)} FROM monthly GROUP BY card_id"
 
 
@@ -416,7 +403,7 @@ _add(
 _add(
     "describe_table",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS metric, count({c}) AS value_count, round(sum({c}::DOUBLE), 6) / count({c}) AS value_mean, "
+        f"SELECT '{c}' AS metric, count({c}) AS value_count, {_real_sum(c + '::DOUBLE')} / count({c}) AS value_mean, "
         f"round(stddev_samp({c}), 6) AS value_std, min({c})::DOUBLE AS value_min, max({c})::DOUBLE AS value_max, "
         f"quantile_cont({c}::DOUBLE, 0.25) AS p25, quantile_cont({c}::DOUBLE, 0.5) AS p50, "
         f"quantile_cont({c}::DOUBLE, 0.75) AS p75 FROM fresh"
@@ -514,14 +501,14 @@ _add(
     c=_coded("hist"),
     ready=_lagged("c"),
 )
-_add(
-    "rollup_full_new",
-    f"SELECT *, {_rates('new_')}, new_purchase_amount_mean / NULLIF(new_purchase_epoch_ptp, 0) "
-    "AS new_purchase_amount_mean_time_rate FROM r",
-    c=_coded("fresh"),
-    ready=_lagged("c"),
-    r=_group("ready", _full("new_")),
-)
+_FULL_NEW = {
+    "nc": _coded("fresh"),
+    "nl": _lagged("nc"),
+    "nr": _group("nl", _full("new_")),
+    "n": f"SELECT *, {_rates('new_')}, new_purchase_amount_mean / NULLIF(new_purchase_epoch_ptp, 0) "
+    "AS new_purchase_amount_mean_time_rate FROM nr",
+}
+_add("rollup_full_new", "SELECT * FROM n", **_FULL_NEW)
 
 
 def _to_holiday(day: str, ts: str = "purchase_date", period: int = 100) -> str:
@@ -535,21 +522,19 @@ _HOLIDAYS = {
     "Black_Friday_2000": "2000-11-24",
     "Mothers_Day_2001": "2001-05-13",
 }
-_add(
-    "rollup_full_hist",
-    f"SELECT *, {_rates('hist_')} FROM r",
-    filled=f"SELECT * REPLACE ({_CLEAR} AS installments, coalesce(category_2, 1.0) AS category_2, "
+_FULL_HIST = {
+    "filled": f"SELECT * REPLACE ({_CLEAR} AS installments, coalesce(category_2, 1.0) AS category_2, "
     "coalesce(category_3, 'A') AS category_3) FROM hist",
-    c=_coded("filled"),
-    lagged=_lagged("c"),
-    ready="SELECT *, CAST(month(purchase_date) AS INT) AS month, CAST(day(purchase_date) AS INT) AS day, "
+    "hc": _coded("filled"),
+    "hl": _lagged("hc"),
+    "hready": "SELECT *, CAST(month(purchase_date) AS INT) AS month, CAST(day(purchase_date) AS INT) AS day, "
     "CAST(isodow(purchase_date) - 1 AS INT) AS weekday, CASE WHEN isodow(purchase_date) >= 6 THEN 1 ELSE 0 END AS weekend, "
     "purchase_amount / NULLIF(installments::DOUBLE, 0) AS price, purchase_amount * month_diff AS duration, "
     "purchase_amount / NULLIF(month_diff::DOUBLE, 0) AS amount_month_ratio, "
     + ", ".join(f"{_to_holiday(day)} AS {name}" for name, day in _HOLIDAYS.items())
-    + " FROM lagged",
-    r=_group(
-        "ready",
+    + " FROM hl",
+    "hr": _group(
+        "hready",
         _full("hist_")
         + _stats("hist_", "mean min max", "month")
         + _stats("hist_", "mean min", "day")
@@ -558,6 +543,23 @@ _add(
         + _stats("hist_", "mean sum", " ".join(_HOLIDAYS))
         + _stats("hist_", "mean min max var skew", "duration amount_month_ratio", _FRACTION),
     ),
+    "h": f"SELECT *, {_rates('hist_')} FROM hr",
+}
+_add("rollup_full_hist", "SELECT * FROM h", **_FULL_HIST)
+_add(
+    "feature_table",
+    "SELECT card_id, split, feature_3, target, CASE WHEN target < -30 THEN 1 ELSE 0 END AS outliers, "
+    "CAST(year(first_active_month) AS INT) AS year, CAST(month(first_active_month) AS INT) AS month, "
+    "CAST(date_diff('day', first_active_month, DATE '2001-01-01') AS INT) AS elapsed_time, "
+    + ", ".join(f"CASE WHEN feature_1 = {v + 1} THEN 1 ELSE 0 END AS feature_1_{v}" for v in range(5))
+    + ", "
+    + ", ".join(f"CASE WHEN feature_2 = {v + 1} THEN 1 ELSE 0 END AS feature_2_{v}" for v in range(3))
+    + ", hist_purchase_amount_max / NULLIF(hist_purchase_day_lag_min::DOUBLE, 0) AS purchase_amount_time_average, "
+    "h.* EXCLUDE (card_id, hist_purchase_date2_min, hist_purchase_date2_max), "
+    "n.* EXCLUDE (card_id, new_purchase_date2_min, new_purchase_date2_max) "
+    "FROM profile LEFT JOIN h USING (card_id) LEFT JOIN n USING (card_id)",
+    **_FULL_HIST,
+    **_FULL_NEW,
 )
 _ENDS_HIST = _group("hist", _stats("hist_", "min max", "purchase_date"))
 _ENDS_NEW = _group("fresh", _stats("new_", "min max", "purchase_date"))

@@ -16,6 +16,7 @@ from cardfeat.functions.scalars import below, cap
 from cardfeat.functions.scoring import GRID
 from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, rfm, rollup
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
+from cardfeat.plans import assemble
 from cardfeat.plans import features as feat
 from cardfeat.plans import specs
 from cardfeat.session import materialize
@@ -223,8 +224,8 @@ def rollup_left_join(spark, d):
     return joins.attach(
         profile,
         [
-            feat.basic_rollup(transactions(spark, d, HISTORY), "hist_", DIGITS),
-            feat.basic_rollup(transactions(spark, d, NEW), "new_", DIGITS),
+            feat.basic_rollup(transactions(spark, d, HISTORY, specs.RAW_BASIC), "hist_", DIGITS),
+            feat.basic_rollup(transactions(spark, d, NEW, specs.RAW_BASIC), "new_", DIGITS),
         ],
     )
 
@@ -396,49 +397,49 @@ def describe_table(spark, d):
 
 @query
 def auth_split_rollup(spark, d):
-    log = feat.with_lags(feat.coded(transactions(spark, d, HISTORY)), PERIOD_START)
+    log = feat.with_lags(feat.coded(transactions(spark, d, HISTORY, specs.RAW_BASIC)), PERIOD_START)
     auth, unauth = feat.authorized_rollups(log, specs.combination_parts("hist_", DIGITS))
     return auth.join(unauth, "card_id", "full")
 
 
 @query
 def rollup_notebook_new(spark, d):
-    return feat.notebook_rollup(transactions(spark, d, NEW), specs.notebook_new(DIGITS))
+    return feat.notebook_rollup(transactions(spark, d, NEW, specs.RAW_NOTEBOOK), specs.notebook_new(DIGITS))
 
 
 @query
 def rollup_notebook_hist(spark, d):
-    return feat.notebook_rollup(transactions(spark, d, HISTORY), specs.notebook_hist(DIGITS))
+    return feat.notebook_rollup(transactions(spark, d, HISTORY, specs.RAW_NOTEBOOK), specs.notebook_hist(DIGITS))
 
 
 @query
 def rollup_basic_new(spark, d):
-    return feat.basic_rollup(transactions(spark, d, NEW), "new_", DIGITS)
+    return feat.basic_rollup(transactions(spark, d, NEW, specs.RAW_BASIC), "new_", DIGITS)
 
 
 @query
 def rollup_basic_hist(spark, d):
-    return feat.basic_rollup(transactions(spark, d, HISTORY), "hist_", DIGITS)
+    return feat.basic_rollup(transactions(spark, d, HISTORY, specs.RAW_BASIC), "hist_", DIGITS)
 
 
 @query
 def rollup_merchant_new(spark, d):
-    return feat.merchant_rollup(transactions(spark, d, NEW), merchants(spark, d), PERIOD_START, DIGITS)
+    return feat.merchant_rollup(transactions(spark, d, NEW, specs.RAW_MERCHANT), merchants(spark, d), PERIOD_START, DIGITS)
 
 
 @query
 def rollup_share_hist(spark, d):
-    return feat.share_rollup(transactions(spark, d, HISTORY), PERIOD_START, DIGITS)
+    return feat.share_rollup(transactions(spark, d, HISTORY, specs.RAW_MERCHANT), PERIOD_START, DIGITS)
 
 
 @query
 def rollup_full_new(spark, d):
-    return feat.full_new_rollup(transactions(spark, d, NEW), PERIOD_START, DIGITS)
+    return feat.full_new_rollup(transactions(spark, d, NEW, specs.RAW_FULL), PERIOD_START, DIGITS)
 
 
 @query
 def rollup_full_hist(spark, d):
-    return feat.full_hist_rollup(transactions(spark, d, HISTORY), PERIOD_START, HOLIDAYS, ROLLED_HOLIDAYS, DIGITS)
+    return feat.full_hist_rollup(transactions(spark, d, HISTORY, specs.RAW_FULL), PERIOD_START, HOLIDAYS, ROLLED_HOLIDAYS, DIGITS)
 
 
 def _first_last(spark, d):
@@ -503,7 +504,7 @@ def lag_rate_ratios(spark, d):
 def cross_period_combos(spark, d):
     parts = [
         rollup.roll_up(
-            feat.with_lags(feat.coded(transactions(spark, d, p)), PERIOD_START), specs.combination_parts(x, DIGITS)
+            feat.with_lags(feat.coded(transactions(spark, d, p, specs.RAW_BASIC)), PERIOD_START), specs.combination_parts(x, DIGITS)
         )
         for p, x in ((HISTORY, "hist_"), (NEW, "new_"))
     ]
@@ -741,6 +742,42 @@ def average_blend(spark, d):
     return table.select("card_id", blend.weighted({"oof1": 0.5, "oof2": 0.5}).alias("target"))
 
 
+# ---- from logs to submission ------------------------------------------------
+
+
+def _feature_table(spark, d):
+    return assemble.feature_table(
+        cards(spark, d),
+        transactions(spark, d, HISTORY, specs.RAW_FULL),
+        transactions(spark, d, NEW, specs.RAW_FULL),
+        PERIOD_START,
+        HOLIDAYS,
+        ROLLED_HOLIDAYS,
+        {"feature_1": range(5), "feature_2": range(3)},
+        DIGITS,
+    )
+
+
+@query
+def feature_table(spark, d):
+    """All rollups, ratios and encoded features of every card."""
+    return _feature_table(spark, d)
+
+
+@query
+def stacked_submission(spark, d):
+    """Three learners, stacked; the test cards' scores in template form."""
+    scores = assemble.stacked_scores(materialize(_model_table(spark, d)), MODEL_FEATURES, n_folds=STACK_FOLDS)
+    template = cards(spark, d).filter(F.col("split") == "test")
+    return sinks.fill_template(template, scores.select("card_id", F.col("stacked").alias("target")))
+
+
+@query
+def routed_submission(spark, d):
+    template = cards(spark, d).filter(F.col("split") == "test")
+    return sinks.fill_template(template, assemble.routed_scores(_model_table(spark, d), MODEL_FEATURES, STACK_FOLDS))
+
+
 # ---- learners --------------------------------------------------------------
 
 

@@ -34,6 +34,18 @@ HOLIDAYS = {
 #: The holidays whose distances are rolled up; the others stay row columns.
 ROLLED_HOLIDAYS = ("Christmas_Day_2017", "Children_day_2017", "Black_Friday_2017", "Mothers_Day_2018")
 
+# Transaction columns each family of rollups starts from. Naming them keeps
+# dimension joins that only feed unused columns out of the plan.
+RAW_BASIC = (
+    "card_id", "authorized_flag", "category_1", "category_2", "category_3", "installments",
+    "merchant_id", "month_lag", "purchase_amount", "purchase_date",
+)
+RAW_FULL = (*RAW_BASIC, "city_id", "state_id")
+RAW_MERCHANT = (*RAW_FULL, "merchant_category_id", "subsector_id")
+RAW_NOTEBOOK = (
+    "card_id", "authorized_flag", "city_id", "installments", "merchant_id", "month_lag", "purchase_amount", "purchase_date",
+)
+
 FLAG_DUMMIES = [f"category_2_{int(v)}_0" for v in CATEGORY_2] + [f"category_3_{v}" for v in CATEGORY_3]
 MERCHANT_DUMMIES = (
     ["category_1_X_N", "category_1_X_Y"]

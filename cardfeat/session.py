@@ -15,6 +15,9 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the widest rollups carry more buffers than the default of 100 fields, past
+    # which Spark stops generating code for a stage
+    "spark.sql.codegen.maxFields": "400",
     "spark.ui.enabled": "false",
 }
 

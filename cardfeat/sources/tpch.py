@@ -11,7 +11,7 @@ and, beyond them, with adaptive skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,36 +31,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _transaction_columns() -> dict[str, Column]:
-    c = F.col
-    return {
-        "card_id": c("o_custkey"),
-        "tx_id": F.concat_ws("-", *(c(n).cast("string") for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))),
-        "authorized_flag": F.when(c("o_orderstatus") == "F", "N").otherwise("Y"),
-        "category_1": F.when(c("l_linestatus") == "O", "Y").otherwise("N"),
-        "category_2": F.when(c("l_linenumber") <= 5, c("l_linenumber").cast("double")),
-        "category_3": F.when(c("l_discount") >= 0.095, F.lit(None).cast("string"))
-        .when(c("l_returnflag") == "A", "A")
-        .when(c("l_returnflag") == "N", "B")
-        .otherwise("C"),
-        "city_id": c("s_nationkey"),
-        "state_id": c("n_regionkey"),
-        "installments": F.when(c("l_quantity") >= 50, 999).otherwise(F.floor(c("l_quantity") / 5).cast("int") - 1),
-        "merchant_category_id": c("p_size"),
-        "merchant_id": F.when(c("l_tax") < 0.075, c("l_suppkey")),
-        "month_lag": month_number(c("o_orderdate")) - F.lit(2000 * 12 + 12),
-        "purchase_amount": (c("l_extendedprice") - 30000) / 10000,
-        "purchase_date": c("o_orderdate"),
-        "subsector_id": F.when(c("p_size") % 10 != 0, c("p_size") % 10),
-    }
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """Redistribute an input that has fewer splits than the session has cores.
+
+    Such an input is small, however big the cluster. With enough splits the
+    scan is left alone.
+    """
+    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(column)
+    return df
+
+
+_c = F.col
+_TRANSACTION_COLUMNS: dict[str, Callable[[], Column]] = {
+    "card_id": lambda: _c("o_custkey"),
+    "tx_id": lambda: F.concat_ws("-", *(_c(n).cast("string") for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))),
+    "authorized_flag": lambda: F.when(_c("o_orderstatus") == "F", "N").otherwise("Y"),
+    "category_1": lambda: F.when(_c("l_linestatus") == "O", "Y").otherwise("N"),
+    "category_2": lambda: F.when(_c("l_linenumber") <= 5, _c("l_linenumber").cast("double")),
+    "category_3": lambda: F.when(_c("l_discount") >= 0.095, F.lit(None).cast("string"))
+    .when(_c("l_returnflag") == "A", "A")
+    .when(_c("l_returnflag") == "N", "B")
+    .otherwise("C"),
+    "city_id": lambda: _c("s_nationkey"),
+    "state_id": lambda: _c("n_regionkey"),
+    "installments": lambda: F.when(_c("l_quantity") >= 50, 999).otherwise(F.floor(_c("l_quantity") / 5).cast("int") - 1),
+    "merchant_category_id": lambda: _c("p_size"),
+    "merchant_id": lambda: F.when(_c("l_tax") < 0.075, _c("l_suppkey")),
+    "month_lag": lambda: month_number(_c("o_orderdate")) - F.lit(2000 * 12 + 12),
+    "purchase_amount": lambda: (_c("l_extendedprice") - 30000) / 10000,
+    "purchase_date": lambda: _c("o_orderdate"),
+    "subsector_id": lambda: F.when(_c("p_size") % 10 != 0, _c("p_size") % 10),
+}
 
 
 def transactions(
     spark: SparkSession, sf_dir: str, period: str | None = None, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """The transaction log, or one period of it, with the wanted columns."""
-    exprs = _transaction_columns()
-    wanted = list(columns) if columns is not None else list(exprs)
+    wanted = list(columns) if columns is not None else list(_TRANSACTION_COLUMNS)
     orders = table(spark, sf_dir, "orders")
     start = F.to_timestamp_ntz(F.lit(f"{PERIOD_START} 00:00:00"))
     if period == HISTORY:
@@ -69,7 +78,7 @@ def transactions(
         orders = orders.filter(F.col("o_orderdate") >= start)
     elif period is not None:
         raise ValueError(f"unknown period {period!r}")
-    df = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if _PART & set(wanted):
         df = df.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     if _SUPPLIER & set(wanted):
@@ -77,7 +86,7 @@ def transactions(
             table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
         )
         df = df.join(places, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return df.select(*(exprs[name].alias(name) for name in wanted))
+    return df.select(*(_TRANSACTION_COLUMNS[name]().alias(name) for name in wanted))
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
