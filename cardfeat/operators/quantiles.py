@@ -29,11 +29,13 @@ def _bucket(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], name: str = "quantiles"
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], digits: int | None = None
 ) -> DataFrame:
-    """One row per group with an array of quantiles, in the order asked for.
+    """One row per group with an array ``quantiles``, in the order asked for.
 
-    Nulls are left out; a group without values has no row.
+    Nulls are left out; a group without values has no row. ``digits`` rounds
+    the interpolated values: a rank a hair below a whole number then still
+    gives the number itself.
     """
     keys = list(keys)
     cell = keys + ["_bucket"]
@@ -82,12 +84,17 @@ def exact_quantiles(
         low = F.max(F.when(mine & (F.col("side") == "low"), F.col("_value")))
         high = F.max(F.when(mine & (F.col("side") == "high"), F.col("_value")))
         part = F.max(F.when(mine, F.col("part")))
-        pieces.append(low + (high - low) * part)
-    return found.groupBy(*keys).agg(F.array(*pieces).alias(name))
+        between = low + (high - low) * part
+        pieces.append(between if digits is None else F.round(between, digits))
+    return found.groupBy(*keys).agg(F.array(*pieces).alias("quantiles"))
 
 
 def table_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    digits: int | None = None,
 ) -> DataFrame:
     """Quantiles of several columns: rows ``(by…, metric, quantiles)``."""
     long = df.select(
@@ -96,4 +103,4 @@ def table_quantiles(
             F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns))
         ).alias("cell"),
     ).select(*by, "cell.metric", "cell.value")
-    return exact_quantiles(long, [*by, "metric"], "value", probabilities)
+    return exact_quantiles(long, [*by, "metric"], "value", probabilities, digits)

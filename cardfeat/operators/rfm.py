@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardfeat.functions.scalars import joined_digits
 from cardfeat.functions.scoring import GRID, step_score
+from cardfeat.functions.stats import SUM_DIGITS
 from cardfeat.operators.quantiles import table_quantiles
 
 
@@ -25,7 +26,7 @@ def rfm_scores(
     measures = [recency, frequency, value]
     # One grid row per split: the broadcast does not grow with the cards.
     grid = (
-        table_quantiles(df, measures, GRID, [group])
+        table_quantiles(df, measures, GRID, [group], SUM_DIGITS)
         .groupBy(group)
         .agg(*(F.max(F.when(F.col("metric") == m, F.col("quantiles"))).alias(f"_grid_{m}") for m in measures))
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardfeat.functions.scalars import ratio
-from cardfeat.functions.stats import Aggregate, statistic
+from cardfeat.functions.stats import SUM_DIGITS, Aggregate, statistic
 from cardfeat.operators.clean import drop_null_keys
 from cardfeat.operators.quantiles import exact_quantiles
 from cardfeat.operators.skew import HOT_ROWS, hot_keys, split_hot
@@ -90,7 +90,8 @@ def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     generated code.
     """
     held = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
-    held += [F.median(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
+    middle = (lambda c: F.median(c)) if spec.digits is None else (lambda c: F.round(F.median(c), SUM_DIGITS))
+    held += [middle(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
     parts = [df.groupBy(*keys).agg(*columns) for columns in (_mergeable(df, spec), held) if columns]
     return _joined(parts, keys)
 
@@ -104,7 +105,8 @@ def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     if distinct := _held(spec, DISTINCT):
         parts.append(df.groupBy(*keys).agg(*(F.count_distinct(m.column).alias(spec.name(m)) for m in distinct)))
     for m in _held(spec, MEDIAN):
-        found = exact_quantiles(df, keys, m.column, [0.5]).select(*keys, F.col("quantiles")[0].alias(spec.name(m)))
+        digits = None if spec.digits is None else SUM_DIGITS
+        found = exact_quantiles(df, keys, m.column, [0.5], digits).select(*keys, F.col("quantiles")[0].alias(spec.name(m)))
         if not parts:
             parts.append(df.select(*keys).distinct())
         parts.append(found)

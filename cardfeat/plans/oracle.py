@@ -92,7 +92,7 @@ def _stat(stat: str, col: str, kind: str = _WHOLE) -> str:
         "ptp": f"max({col}) - min({col})",
         "count": f"count({col})",
         "nunique": f"count(DISTINCT {col})",
-        "median": f"median({col})",
+        "median": f"round(median({col}), 9)",
     }[stat]
 
 
@@ -389,7 +389,7 @@ _GRID = (0.011, 0.05, 0.25, 0.5, 0.75, 0.95, 0.989)
 
 
 def _quantiles(col: str) -> str:
-    return ", ".join(f"quantile_cont({col}::DOUBLE, {p}) AS q_{str(p).replace('.', '_')}" for p in _GRID)
+    return ", ".join(f"round(quantile_cont({col}::DOUBLE, {p}), 9) AS q_{str(p).replace('.', '_')}" for p in _GRID)
 
 
 _add(
@@ -405,8 +405,8 @@ _add(
     " UNION ALL ".join(
         f"SELECT '{c}' AS metric, count({c}) AS value_count, {_real_sum(c + '::DOUBLE')} / count({c}) AS value_mean, "
         f"round(stddev_samp({c}), 6) AS value_std, min({c})::DOUBLE AS value_min, max({c})::DOUBLE AS value_max, "
-        f"quantile_cont({c}::DOUBLE, 0.25) AS p25, quantile_cont({c}::DOUBLE, 0.5) AS p50, "
-        f"quantile_cont({c}::DOUBLE, 0.75) AS p75 FROM fresh"
+        f"round(quantile_cont({c}::DOUBLE, 0.25), 9) AS p25, round(quantile_cont({c}::DOUBLE, 0.5), 9) AS p50, "
+        f"round(quantile_cont({c}::DOUBLE, 0.75), 9) AS p75 FROM fresh"
         for c in ("purchase_amount", "installments", "month_lag")
     ),
 )
@@ -769,7 +769,7 @@ def _score(col: str, grid: str, ascending: bool) -> str:
 
 
 def _rfm(name: str, tag: str, recency: str, frequency: str, value: str) -> None:
-    grid = ", ".join(f"quantile_cont({c}::DOUBLE, {list(_GRID)}) AS g{i}" for i, c in enumerate((recency, frequency, value)))
+    grid = ", ".join(f"list_transform(quantile_cont({c}::DOUBLE, {list(_GRID)}), lambda x: round(x, 9)) AS g{i}" for i, c in enumerate((recency, frequency, value)))
     _add(
         name,
         f"SELECT card_id, r{tag}_quantile, f{tag}_quantile, v{tag}_quantile, "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cardfeat.functions import calendar as cal
 from cardfeat.functions.scalars import below, cap
 from cardfeat.functions.scoring import GRID
+from cardfeat.functions.stats import SUM_DIGITS
 from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, rfm, rollup
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
 from cardfeat.plans import assemble
@@ -365,7 +366,7 @@ def per_month_lags(spark, d):
 @query
 def quantile_grid(spark, d):
     log = transactions(spark, d, HISTORY, ["purchase_amount", "installments", "month_lag"])
-    grid = table_quantiles(log, log.columns, GRID)
+    grid = table_quantiles(log, log.columns, GRID, digits=SUM_DIGITS)
     return grid.select(
         "metric", *(F.col("quantiles")[i].alias(f"q_{str(p).replace('.', '_')}") for i, p in enumerate(GRID))
     )
@@ -385,7 +386,7 @@ def describe_table(spark, d):
     ).select("r.*")
     spec = rollup.Rollup("", rollup.take("count mean std min max", "value"), None, DIGITS)
     basics = rollup.roll_up(long, spec, ["metric"])
-    middle = exact_quantiles(long, ["metric"], "value", (0.25, 0.5, 0.75))
+    middle = exact_quantiles(long, ["metric"], "value", (0.25, 0.5, 0.75), SUM_DIGITS)
     return basics.join(middle, "metric").select(
         "metric", *(F.col(f"value_{s}").alias(f"value_{s}") for s in ("count", "mean", "std", "min", "max")),
         *(F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))),
