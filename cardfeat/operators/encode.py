@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardfeat.functions.scalars import joined_digits
-from cardfeat.operators.joins import lookup
+from cardfeat.operators.joins import SMALL_LOOKUP, lookup
 from cardfeat.session import materialize
 
-#: A value table of at most this many rows may be sorted in one task and sent
-#: to every executor.
-SMALL_VALUES = 100_000
 #: A table cannot have more columns than this; one-hot needs one per value.
 MAX_ONE_HOT = 5_000
 
@@ -45,18 +42,17 @@ def one_hot(df: DataFrame, domains: Mapping[str, Sequence] | Sequence[str], keep
     return out if keep else out.drop(*domains)
 
 
-def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_VALUES) -> tuple[DataFrame, bool]:
+def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP) -> DataFrame:
     """Distinct values with their 0-based position in sorted order.
 
-    Also tells whether the table is small enough to broadcast. Beyond ``small``
-    rows the values are range-partitioned, numbered inside each partition and
-    shifted by the partitions before, so no task sees all of them. The sorted
-    rows are written to the checkpoint folder first: a second run of the range
-    split could cut elsewhere.
+    Up to ``small`` values are numbered in one task. Beyond, they are
+    range-partitioned, numbered inside each partition and shifted by the
+    partitions before. The sorted rows are written to the checkpoint folder
+    first: a second run of the range split could cut elsewhere.
     """
     values = df.select(column).dropna().distinct()
     if values.limit(small + 1).count() <= small:
-        return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1), True
+        return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ordered = materialize(
@@ -71,16 +67,15 @@ def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_VALUES
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     indexed = ordered.join(F.broadcast(starts), "_part")  # at most one row per partition
-    return indexed.select(column, (F.col("_start") + F.col("_pos")).cast("int").alias(name)), False
+    return indexed.select(column, (F.col("_start") + F.col("_pos")).cast("int").alias(name))
 
 
-def index_column(df: DataFrame, column: str, name: str, small: int = SMALL_VALUES) -> DataFrame:
+def index_column(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP) -> DataFrame:
     """Add the dense index of a column's values; null stays null."""
-    index, is_small = dense_index(df, column, name, small)
-    return df.join(F.broadcast(index) if is_small else index, column, "left")
+    return lookup(df, dense_index(df, column, name, small), [column], small=small)
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], small: int = SMALL_VALUES) -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], small: int = SMALL_LOOKUP) -> DataFrame:
     """Replace each column by the index of its text among all its values.
 
     Text order counts, so '10' comes before '2'. Give it train and test rows
@@ -94,7 +89,7 @@ def label_encode(df: DataFrame, columns: Sequence[str], small: int = SMALL_VALUE
 
 
 def combination_index(
-    df: DataFrame, columns: Sequence[str], name: str = "feature_comb_index", small: int = SMALL_VALUES
+    df: DataFrame, columns: Sequence[str], name: str = "feature_comb_index", small: int = SMALL_LOOKUP
 ) -> DataFrame:
     """Index of the number made of several small integers side by side."""
     coded = df.withColumn("_code", joined_digits([F.col(c) for c in columns]))

@@ -8,19 +8,42 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardfeat.operators.skew import HOT_ROWS, hot_keys, split_hot
+
 #: A lookup table of at most this many rows is sent to every executor.
 SMALL_LOOKUP = 100_000
 
 
-def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], small: int = SMALL_LOOKUP) -> DataFrame:
-    """Left-join a per-value table whose keys may be very unevenly used.
-
-    The table is counted (up to the limit) and broadcast when small, so rows
-    are not shuffled by a handful of values. A larger table is joined without a
-    hint; adaptive skew handling then splits the rows of a hot value.
+def lookup(
+    df: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    small: int = SMALL_LOOKUP,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join a table of values whose keys may be very unevenly used.
+
+    The table is counted (up to the limit) and broadcast when small, so the
+    rows do not move. Otherwise rows of keys with more than ``hot_rows`` rows
+    are joined with a broadcast of just those keys' entries, and only the
+    others are shuffled. Rows with a null key match nothing and skip the join.
     """
-    is_small = table.limit(small + 1).count() <= small
-    return df.join(F.broadcast(table) if is_small else table, list(on), "left")
+    on = list(on)
+    if table.limit(small + 1).count() <= small:
+        return df.join(F.broadcast(table), on, how)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    rows = df.filter(has_key)
+    hot = hot_keys(rows, on, hot_rows)
+    if hot is None:
+        out = rows.join(table, on, how)
+    else:
+        ordinary, large = split_hot(rows, on, hot)
+        entries = table.join(F.broadcast(hot), on, "left_semi")
+        out = ordinary.join(table, on, how).unionByName(large.join(F.broadcast(entries), on, how))
+    if how == "inner":
+        return out
+    return out.unionByName(df.filter(~has_key), allowMissingColumns=True)
 
 
 def attach(cards: DataFrame, rollups: Sequence[DataFrame], key: str = "card_id") -> DataFrame:
@@ -28,16 +51,16 @@ def attach(cards: DataFrame, rollups: Sequence[DataFrame], key: str = "card_id")
     return reduce(lambda left, right: left.join(right, key, "left"), rollups, cards)
 
 
-def enrich(rows: DataFrame, dimension: DataFrame, key: str, suffix: str = "_X") -> DataFrame:
+def enrich(
+    rows: DataFrame, dimension: DataFrame, key: str, suffix: str = "_X", small: int = SMALL_LOOKUP, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Rows with a match in the dimension, with the dimension's columns added.
 
-    Dimension columns that also exist in the rows get the suffix. The size
-    statistics decide on a broadcast; past them, a key with very many rows is
-    split by adaptive skew handling, since the join is an inner one.
+    Dimension columns that also exist in the rows get the suffix.
     """
     clash = (set(rows.columns) & set(dimension.columns)) - {key}
     renamed = dimension.withColumnsRenamed({c: f"{c}{suffix}" for c in clash})
-    return rows.join(renamed, key)
+    return lookup(rows, renamed, [key], "inner", small, hot_rows)
 
 
 def keep_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:

@@ -19,7 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS = 1024  # buckets per e-fold of the absolute value
+# Buckets per e-fold of the absolute value. Even values within a few percent of
+# each other (times, ids) spread over many; a group never has more than this times
+# the e-folds it spans.
+_STEPS = 16384
 _UNIT = 1e9  # values below 1 / _UNIT share the bucket around zero
 
 

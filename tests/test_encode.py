@@ -23,9 +23,7 @@ def test_label_encode_orders_text(rows, small):
 
 def test_spread_index_equals_single_sort(spark):
     df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("x"))
-    index, small = encode.dense_index(df, "x", "i", small=0)
-    assert not small
-    got = {r["x"]: r["i"] for r in index.collect()}
+    got = {r["x"]: r["i"] for r in encode.dense_index(df, "x", "i", small=0).collect()}
     assert got == {v: i for i, v in enumerate(sorted(got))} and len(got) == 5000
 
 
@@ -41,13 +39,23 @@ def test_target_encode_unseen_is_null(rows):
     assert {r["f"]: r["f_bp"] for r in got.collect()} == {1: 0.5, 2: 0.0, 3: None}
 
 
-def test_merchant_join(rows):
+@pytest.mark.parametrize("limits", [{}, {"small": 0}, {"small": 0, "hot_rows": 0}, {"small": 0, "hot_rows": 1}])
+def test_merchant_join(rows, limits):
     tx = rows([("t1", "m1", 1), ("t2", None, 1), ("t3", "gone", 1), ("t4", "twice", 1)], "tx string, merchant_id string, city int")
     merchants = rows([("m1", 9), ("idle", 9), ("twice", 7), ("twice", 8)], "merchant_id string, city int")
-    got = sorted((r["tx"], r["city"], r["city_X"]) for r in joins.enrich(tx, merchants, "merchant_id").collect())
+    got = sorted((r["tx"], r["city"], r["city_X"]) for r in joins.enrich(tx, merchants, "merchant_id", **limits).collect())
     assert got == [("t1", 1, 9), ("t4", 1, 7), ("t4", 1, 8)]
 
 
+@pytest.mark.parametrize("limits", [{}, {"small": 0}, {"small": 0, "hot_rows": 0}, {"small": 0, "hot_rows": 2}])
+def test_lookup_keeps_every_row(rows, limits):
+    df = rows([(1, "a")] * 3 + [(2, "b"), (3, "b"), (None, "c"), (None, "d")], "k int, tag string")
+    got = joins.lookup(df, rows([(1, 10), (2, 20)], "k int, v int"), ["k"], **limits).collect()
+    assert sorted((r["tag"], r["k"] or 0, r["v"] or 0) for r in got) == (
+        [("a", 1, 10)] * 3 + [("b", 2, 20), ("b", 3, 0), ("c", 0, 0), ("d", 0, 0)]
+    )
+
+
 def test_narrowing_bounds(rows):
     df = rows(
         [(-127, -128, 0, 0, None, 0.5), (126, 5, 127, 32767, None, 1.5)],

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cardfeat.operators.joins import enrich
 from tests.conftest import SMALL
 
 QUERIES = entry.queries()
@@ -38,25 +39,21 @@ def test_rollup_combines_before_the_shuffle(spark):
 
 
 def test_no_broadcast_of_growing_tables(spark):
-    """With size-based broadcasts off, only bounded tables are still broadcast."""
+    """With size-based broadcasts off, rollups and cards meet without one."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("rollup_left_join", "rollup_merchant_new", "rollup_full_hist", "cross_period_combos", "reference_lags"):
+        for name in ("rollup_left_join", "rollup_full_hist", "cross_period_combos", "reference_lags"):
             assert "BroadcastHashJoin" not in plan(QUERIES[name](spark, SMALL)), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_merchant_join_survives_a_hot_merchant(spark):
-    from cardfeat.operators.joins import enrich
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        tx = spark.range(3000).select(
-            F.col("id").alias("tx"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("merchant_id")
-        )
-        merchants = spark.range(50).select(F.col("id").alias("merchant_id"), (F.col("id") * 2).alias("city"))
-        joined = enrich(tx, merchants, "merchant_id")
-        assert joined.count() == 3000 and joined.filter(F.col("city") != F.col("merchant_id") * 2).count() == 0
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_hot_lookup_keys_are_not_shuffled(spark):
+    """A third of the rows on one merchant of a large dimension."""
+    i = F.col("id")
+    tx = spark.range(3000).select(i.alias("tx"), F.when(i % 3 == 0, 1).otherwise(i % 50).alias("merchant_id"))
+    merchants = spark.range(50).select(i.alias("merchant_id"), (i * 2).alias("city"))
+    joined = enrich(tx, merchants, "merchant_id", small=10, hot_rows=500)
+    text = plan(joined)
+    assert "Union" in text and "LeftAnti" in text and "LeftSemi" in text
+    assert joined.count() == 3000 and joined.filter(F.col("city") != F.col("merchant_id") * 2).count() == 0
