@@ -26,6 +26,11 @@ def parse_month(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM")).cast("date")
 
 
+def parse_timestamp(text: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Text as a timestamp without zone; bad or null text gives null."""
+    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since 1970 (session zone UTC)."""
     return F.unix_micros(ts.cast("timestamp"))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardfeat.functions.scalars import joined_digits
-from cardfeat.operators.joins import SMALL_LOOKUP, lookup
+from cardfeat.operators.joins import SMALL_LOOKUP, lookup, spread_lookup
+from cardfeat.operators.skew import HOT_ROWS
 from cardfeat.session import materialize
 
 #: A table cannot have more columns than this; one-hot needs one per value.
@@ -42,17 +43,19 @@ def one_hot(df: DataFrame, domains: Mapping[str, Sequence] | Sequence[str], keep
     return out if keep else out.drop(*domains)
 
 
-def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP) -> DataFrame:
-    """Distinct values with their 0-based position in sorted order.
+def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP) -> tuple[DataFrame, bool]:
+    """Distinct values with their 0-based position in sorted order, and
+    whether there are at most ``small`` of them.
 
-    Up to ``small`` values are numbered in one task. Beyond, they are
+    The values are written to the checkpoint folder, so the rows are read for
+    them only once. A small set is numbered in one task. A larger one is
     range-partitioned, numbered inside each partition and shifted by the
-    partitions before. The sorted rows are written to the checkpoint folder
-    first: a second run of the range split could cut elsewhere.
+    partitions before; it is written again in that order, since a second run
+    of the range split could cut elsewhere.
     """
-    values = df.select(column).dropna().distinct()
+    values = materialize(df.select(column).dropna().distinct())
     if values.limit(small + 1).count() <= small:
-        return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1)
+        return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1), True
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ordered = materialize(
@@ -67,12 +70,17 @@ def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     indexed = ordered.join(F.broadcast(starts), "_part")  # at most one row per partition
-    return indexed.select(column, (F.col("_start") + F.col("_pos")).cast("int").alias(name))
+    return indexed.select(column, (F.col("_start") + F.col("_pos")).cast("int").alias(name)), False
 
 
-def index_column(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP) -> DataFrame:
+def index_column(
+    df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add the dense index of a column's values; null stays null."""
-    return lookup(df, dense_index(df, column, name, small), [column], small=small)
+    index, is_small = dense_index(df, column, name, small)
+    if is_small:
+        return df.join(F.broadcast(index), column, "left")
+    return spread_lookup(df, index, [column], "left", hot_rows)
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], small: int = SMALL_LOOKUP) -> DataFrame:
@@ -110,5 +118,5 @@ def target_encode(df: DataFrame, train: DataFrame, columns: Sequence[str], targe
     """
     order = [*df.columns, *(f"{c}_bp" for c in columns)]
     for c in columns:
-        df = lookup(df, target_means(train, c, target), [c])
+        df = lookup(df, materialize(target_means(train, c, target)), [c])
     return df.select(*order)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.operators.joins import lookup
+from cardfeat.session import materialize
 
 SEED = 15
 
@@ -29,7 +30,7 @@ def out_of_fold_means(df: DataFrame, feature: str, target: str, name: str, digit
     (value, fold) are taken once and subtracted.
     """
     rounded = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
-    cell = (
+    cell = materialize(
         df.filter(F.col(target).isNotNull())
         .groupBy(feature, "fold")
         .agg(rounded(F.sum(target)).alias("_sum"), F.count(target).alias("_n"))

@@ -25,13 +25,22 @@ def lookup(
     """Join a table of values whose keys may be very unevenly used.
 
     The table is counted (up to the limit) and broadcast when small, so the
-    rows do not move. Otherwise rows of keys with more than ``hot_rows`` rows
-    are joined with a broadcast of just those keys' entries, and only the
-    others are shuffled. Rows with a null key match nothing and skip the join.
+    rows do not move; a larger one goes through :func:`spread_lookup`.
     """
-    on = list(on)
     if table.limit(small + 1).count() <= small:
-        return df.join(F.broadcast(table), on, how)
+        return df.join(F.broadcast(table), list(on), how)
+    return spread_lookup(df, table, on, how, hot_rows)
+
+
+def spread_lookup(
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join by shuffle, but keep rows of hot keys where they are.
+
+    Rows of keys with more than ``hot_rows`` rows meet a broadcast of just
+    those keys' entries. Rows with a null key match nothing and skip the join.
+    """
+    on = list(on)
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     rows = df.filter(has_key)
     hot = hot_keys(rows, on, hot_rows)

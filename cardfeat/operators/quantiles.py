@@ -1,13 +1,12 @@
 """Exact quantiles with linear interpolation that no single task has to hold.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer.
-Here the values are counted first, laid into ordered buckets, and only the
-buckets that hold a wanted rank are looked into:
+Here two passes over the column find the wanted ranks:
 
-1. count rows per (group, bucket, value) - combined on the map side;
-2. running counts inside each bucket - a group is spread over its buckets;
-3. running counts over the bucket totals - a bounded number of rows per group;
-4. join the wanted ranks to their buckets and read off the values.
+1. rows are counted per (group, bucket), buckets being ordered ranges of
+   values; combined on the map side, this shuffles next to nothing;
+2. running counts over the buckets tell which buckets hold a wanted rank;
+3. only rows of those buckets are counted by value and ordered.
 
 The result does not depend on how well the buckets fit the data.
 """
@@ -19,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardfeat.operators.clean import drop_null_keys
+
 # Buckets per e-fold of the absolute value. Even values within a few percent of
 # each other (times, ids) spread over many; a group never has more than this times
 # the e-folds it spans.
@@ -36,30 +37,23 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with an array ``quantiles``, in the order asked for.
 
-    Nulls are left out; a group without values has no row. ``digits`` rounds
-    the interpolated values: a rank a hair below a whole number then still
-    gives the number itself.
+    Made for few or large groups: the wanted buckets, at most two per
+    probability and group, are broadcast. Null keys and null values are left
+    out; a group without values has no row. ``digits`` rounds the interpolated
+    values: a rank a hair below a whole number then still gives the number
+    itself.
     """
     keys = list(keys)
-    cell = keys + ["_bucket"]
+    cell = [*keys, "_bucket"]
     v = F.col(value).cast("double")
-    counted = (
-        df.filter(v.isNotNull())
-        .select(*keys, v.alias("_value"))
-        .groupBy(*keys, _bucket(F.col("_value")).alias("_bucket"), "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    inside = counted.withColumn(
-        "_upto", F.sum("_rows").over(Window.partitionBy(*cell).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    buckets = inside.groupBy(*cell).agg(F.max("_upto").alias("_size"))
+    rows = drop_null_keys(df, keys).filter(v.isNotNull()).select(*keys, v.alias("_value"), _bucket(v).alias("_bucket"))
+
     group = Window.partitionBy(*keys)
     running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    placed = buckets.select(
-        *cell,
-        F.sum("_size").over(running).alias("_end"),
-        "_size",
-        F.sum("_size").over(group).alias("_total"),
+    placed = (
+        rows.groupBy(*cell)
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select(*cell, "_size", F.sum("_size").over(running).alias("_end"), F.sum("_size").over(group).alias("_total"))
     )
     position = [F.lit(float(p)) * (F.col("_total") - 1).cast("double") for p in probabilities]
     wanted = F.array(
@@ -70,17 +64,21 @@ def exact_quantiles(
         )
     )
     start = F.col("_end") - F.col("_size")
-    inside_bucket = lambda w: (w["rank"] >= start) & (w["rank"] < F.col("_end"))
     ranks = placed.select(
-        *cell, F.explode(F.filter(wanted, inside_bucket)).alias("w"), start.alias("_start")
+        *cell,
+        start.alias("_start"),
+        F.explode(F.filter(wanted, lambda w: (w["rank"] >= start) & (w["rank"] < F.col("_end")))).alias("w"),
     ).select(*cell, "w.i", "w.side", "w.part", (F.col("w.rank") - F.col("_start")).alias("_rank"))
 
-    left, right = inside.alias("inside"), ranks.alias("ranks")
-    same_cell = [F.col(f"inside.{c}").eqNullSafe(F.col(f"ranks.{c}")) for c in cell]
-    reads = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_rows"))
-    found = left.join(right, [*same_cell, reads]).select(
-        *(F.col(f"inside.{k}").alias(k) for k in keys), "i", "side", "part", "_value"
+    ordered = Window.partitionBy(*cell).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        rows.join(F.broadcast(ranks.select(*cell).distinct()), cell, "left_semi")
+        .groupBy(*cell, "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_upto", F.sum("_rows").over(ordered))
     )
+    holds_rank = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_rows"))
+    found = inside.join(ranks, cell).filter(holds_rank)
     pieces = []
     for i in range(len(probabilities)):
         mine = F.col("i") == i

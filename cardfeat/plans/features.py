@@ -135,14 +135,22 @@ def full_hist_rollup(
     return lag_rates(roll_up(df, specs.full_hist(digits, tuple(rolled_holidays))), "hist_")
 
 
-def authorized_rollups(log: DataFrame, spec: Rollup, prefix: str = "hist") -> tuple[DataFrame, DataFrame]:
-    """The same spec over authorized and over unauthorized rows."""
-    parts = []
-    for flag, tag in ((1, "auth"), (0, "unauth")):
-        name = f"{prefix}{tag}_"
-        rows = log.filter(F.col("authorized_flag") == flag)
-        parts.append(roll_up(rows, spec.with_prefix(name, spec.size and f"{name}card_id_size")))
-    return parts[0], parts[1]
+def authorized_rollup(log: DataFrame, spec: Rollup, prefix: str = "hist") -> DataFrame:
+    """The same spec over authorized and over unauthorized rows, side by side.
+
+    The log is grouped once by card and flag; the two rows a card may have then
+    become columns ``<prefix>auth_*`` and ``<prefix>unauth_*``. A card without
+    rows of one kind has nulls there.
+    """
+    plain = spec.with_prefix("", spec.size and "card_id_size")
+    rolled = roll_up(log, plain, ["card_id", "authorized_flag"])
+    return rolled.groupBy("card_id").agg(
+        *(
+            F.max(F.when(F.col("authorized_flag") == flag, F.col(c))).alias(f"{prefix}{tag}_{c}")
+            for flag, tag in ((1, "auth"), (0, "unauth"))
+            for c in plain.columns
+        )
+    )
 
 
 # ---- per card --------------------------------------------------------------

@@ -616,7 +616,7 @@ _add(
 )
 
 
-def _combos() -> str:
+def _combos(hist: str = "hist_", out: str = "au_") -> str:
     plus = {
         "purchase_amount_total": "purchase_amount_sum",
         "installments_total": "installments_sum",
@@ -632,26 +632,41 @@ def _combos() -> str:
         "installments_ratio": "installments_sum",
         "month_diff_ratio": "month_diff_mean",
     }
-    items = [f"new_{f} + hist_{f} AS au_{n}" for n, f in plus.items()]
-    items += [f"new_{f}::DOUBLE / NULLIF(hist_{f}::DOUBLE, 0) AS au_{n}" for n, f in over.items()]
+    items = [f"new_{f} + {hist}{f} AS {out}{n}" for n, f in plus.items()]
+    items += [f"new_{f}::DOUBLE / NULLIF({hist}{f}::DOUBLE, 0) AS {out}{n}" for n, f in over.items()]
     return ", ".join(items)
 
 
+def _prices(out: str = "au_") -> str:
+    return ", ".join(
+        f"{out}purchase_amount_{k}::DOUBLE / NULLIF({out}installments_{k}::DOUBLE, 0) AS {out}price_{k}"
+        for k in ("total", "mean", "max")
+    )
+
+
+_PERIOD_PARTS = {
+    "hc": _coded("hist"),
+    "hl": _lagged("hc"),
+    "nc": _coded("fresh"),
+    "nl": _lagged("nc"),
+    "n": _group("nl", _parts("new_")),
+}
 _add(
     "cross_period_combos",
-    "SELECT *, "
-    + ", ".join(
-        f"au_purchase_amount_{k}::DOUBLE / NULLIF(au_installments_{k}::DOUBLE, 0) AS au_price_{k}" for k in ("total", "mean", "max")
-    )
-    + " FROM combos",
-    hc=_coded("hist"),
-    hl=_lagged("hc"),
-    nc=_coded("fresh"),
-    nl=_lagged("nc"),
+    f"SELECT *, {_prices()} FROM combos",
+    **_PERIOD_PARTS,
     h=_group("hl", _parts("hist_")),
-    n=_group("nl", _parts("new_")),
     combos=f"SELECT card_id, {_combos()} FROM cards LEFT JOIN h USING (card_id) LEFT JOIN n USING (card_id)",
 )
+_add(
+    "cross_period_auth",
+    f"SELECT *, {_prices('au_')}, {_prices('unau_')} FROM combos",
+    **_PERIOD_PARTS,
+    a=_group("hl", _parts("histauth_"), where="authorized_flag = 1"),
+    u=_group("hl", _parts("histunauth_"), where="authorized_flag = 0"),
+    combos=f"SELECT card_id, {_combos('histauth_', 'au_')}, {_combos('histunauth_', 'unau_')} FROM cards "
+    "LEFT JOIN a USING (card_id) LEFT JOIN u USING (card_id) LEFT JOIN n USING (card_id)",
+)
 
 
 def _whole_days(later: str, earlier: str) -> str:

@@ -184,6 +184,7 @@ def _risk(spark, d):
 def score_split(spark, d):
     """Test cards above the cut get a constant, the others none, in one table."""
     test = cards(spark, d).filter(F.col("split") == "test").select("card_id").join(_risk(spark, d), "card_id", "left")
+    test = materialize(test)  # both halves read it
     high = test.filter(F.col("risk") >= blend.OUTLIER_PROBABILITY).withColumn("target", F.lit(-33.5))
     low = test.filter(F.col("risk") < blend.OUTLIER_PROBABILITY)
     return joins.stack_rows(high, low)
@@ -399,8 +400,7 @@ def describe_table(spark, d):
 @query
 def auth_split_rollup(spark, d):
     log = feat.with_lags(feat.coded(transactions(spark, d, HISTORY, specs.RAW_BASIC)), PERIOD_START)
-    auth, unauth = feat.authorized_rollups(log, specs.combination_parts("hist_", DIGITS))
-    return auth.join(unauth, "card_id", "full")
+    return feat.authorized_rollup(log, specs.combination_parts("hist_", DIGITS))
 
 
 @query
@@ -514,6 +514,21 @@ def cross_period_combos(spark, d):
     return made.select("card_id", *(c for c in made.columns if c.startswith("au_")))
 
 
+@query
+def cross_period_auth(spark, d):
+    """The combinations with authorized and with unauthorized history."""
+    hist, new = (
+        feat.with_lags(feat.coded(transactions(spark, d, p, specs.RAW_BASIC)), PERIOD_START) for p in (HISTORY, NEW)
+    )
+    parts = [
+        feat.authorized_rollup(hist, specs.combination_parts("hist_", DIGITS)),
+        rollup.roll_up(new, specs.combination_parts("new_", DIGITS)),
+    ]
+    made = joins.attach(cards(spark, d).select("card_id"), parts)
+    made = feat.cross_period(feat.cross_period(made, "histauth_", "new_", "au_"), "histunauth_", "new_", "unau_")
+    return made.select("card_id", *(c for c in made.columns if c.startswith(("au_", "unau_"))))
+
+
 @query
 def buy_offsets(spark, d):
     hist, new = _first_last(spark, d)

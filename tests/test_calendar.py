@@ -69,3 +69,9 @@ def test_reference_lags(rows):
 def test_zero_divisor_gives_null(rows):
     df = feat.with_price(rows([(5.0, 0), (5.0, 2), (5.0, None)], "purchase_amount double, installments int"))
     assert [r["price"] for r in df.collect()] == [None, 2.5, None]
+
+
+def test_parse_timestamp(rows):
+    df = rows([("2017-06-25 15:33:07",), ("25.6.2017",), (None,)], "t string")
+    got = [r[0] for r in df.select(cal.parse_timestamp(F.col("t"))).collect()]
+    assert got == [dt.datetime(2017, 6, 25, 15, 33, 7), None, None]

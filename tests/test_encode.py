@@ -23,7 +23,7 @@ def test_label_encode_orders_text(rows, small):
 
 def test_spread_index_equals_single_sort(spark):
     df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("x"))
-    got = {r["x"]: r["i"] for r in encode.dense_index(df, "x", "i", small=0).collect()}
+    got = {r["x"]: r["i"] for r in encode.dense_index(df, "x", "i", small=0)[0].collect()}
     assert got == {v: i for i, v in enumerate(sorted(got))} and len(got) == 5000
 
 
