@@ -7,7 +7,9 @@ medians need the values themselves and live in ``operators.rollup``.
 Sums of doubles depend on the order in which tasks deliver their parts. With
 ``digits`` set, the terms of a sum are taken to ``SUM_DIGITS`` decimals and the
 sum is rounded to the same grid, so that a rerun or a retried task gives the
-same sum and mean to the last bit; spreads are rounded to ``digits``.
+same sum and mean to the last bit; spreads are rounded to ``digits``. This
+holds while the sum stays below some 10^5, where the noise of doubles reaches
+the grid.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from cardfeat.functions.scalars import joined_digits
 from cardfeat.functions.scoring import GRID, step_score
 from cardfeat.functions.stats import SUM_DIGITS
 from cardfeat.operators.quantiles import table_quantiles
+from cardfeat.session import materialize
 
 
 def rfm_scores(
@@ -24,8 +25,9 @@ def rfm_scores(
     group = by or "_all"
     df = df if by else df.withColumn(group, F.lit(1))
     measures = [recency, frequency, value]
-    # One grid row per split: the broadcast does not grow with the cards.
-    grid = (
+    # One grid row per split: the broadcast does not grow with the cards. The
+    # scores are needed for the codes and for the result, the grid only once.
+    grid = materialize(
         table_quantiles(df, measures, GRID, [group], SUM_DIGITS)
         .groupBy(group)
         .agg(*(F.max(F.when(F.col("metric") == m, F.col("quantiles"))).alias(f"_grid_{m}") for m in measures))
