@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardfeat.functions.scalars import joined_digits
-from cardfeat.operators.joins import SMALL_LOOKUP, lookup, spread_lookup
-from cardfeat.operators.skew import HOT_ROWS
+from cardfeat.operators.joins import lookup, spread_lookup
+from cardfeat.operators.skew import HOT_ROWS, SMALL_LOOKUP, is_small
 from cardfeat.session import materialize
 
 #: A table cannot have more columns than this; one-hot needs one per value.
@@ -54,7 +54,7 @@ def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP
     of the range split could cut elsewhere.
     """
     values = materialize(df.select(column).dropna().distinct())
-    if values.limit(small + 1).count() <= small:
+    if is_small(values, small):
         return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1), True
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -77,8 +77,8 @@ def index_column(
     df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add the dense index of a column's values; null stays null."""
-    index, is_small = dense_index(df, column, name, small)
-    if is_small:
+    index, few = dense_index(df, column, name, small)
+    if few:
         return df.join(F.broadcast(index), column, "left")
     return spread_lookup(df, index, [column], "left", hot_rows)
 

@@ -8,11 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.operators.skew import HOT_ROWS, hot_keys, split_hot
-
-#: A lookup table of at most this many rows is sent to every executor.
-SMALL_LOOKUP = 100_000
-
+from cardfeat.operators.skew import HOT_ROWS, SMALL_KEYS, SMALL_LOOKUP, broadcast_if_small, hot_keys, is_small, split_hot
 
 def lookup(
     df: DataFrame,
@@ -27,7 +23,7 @@ def lookup(
     The table is counted (up to the limit) and broadcast when small, so the
     rows do not move; a larger one goes through :func:`spread_lookup`.
     """
-    if table.limit(small + 1).count() <= small:
+    if is_small(table, small):
         return df.join(F.broadcast(table), list(on), how)
     return spread_lookup(df, table, on, how, hot_rows)
 
@@ -48,8 +44,8 @@ def spread_lookup(
         out = rows.join(table, on, how)
     else:
         ordinary, large = split_hot(rows, on, hot)
-        entries = table.join(F.broadcast(hot), on, "left_semi")
-        out = ordinary.join(table, on, how).unionByName(large.join(F.broadcast(entries), on, how))
+        entries = broadcast_if_small(split_hot(table, on, hot)[1], SMALL_KEYS)
+        out = ordinary.join(table, on, how).unionByName(large.join(entries, on, how))
     if how == "inner":
         return out
     return out.unionByName(df.filter(~has_key), allowMissingColumns=True)

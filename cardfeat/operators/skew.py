@@ -1,4 +1,4 @@
-"""Keeping groups with very many rows out of per-group buffers."""
+"""Keeping groups with very many rows out of per-group buffers and single tasks."""
 
 from __future__ import annotations
 
@@ -7,22 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardfeat.session import materialize
+
 #: Above this many rows a group may not be held in one buffer. It also bounds
 #: the hot keys: a log of N rows has fewer than N / HOT_ROWS of them.
 HOT_ROWS = 200_000
+#: A lookup table of at most this many rows is sent to every executor.
+SMALL_LOOKUP = 100_000
+#: Hot keys carry next to nothing else, so more of them may be sent.
+SMALL_KEYS = 1_000_000
+
+
+def is_small(table: DataFrame, rows: int = SMALL_LOOKUP) -> bool:
+    """Whether a table has at most ``rows`` rows; counts no further than that."""
+    return table.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(table: DataFrame, rows: int = SMALL_LOOKUP) -> DataFrame:
+    """The table marked for broadcast, or as it is when it has more rows."""
+    return F.broadcast(table) if is_small(table, rows) else table
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
     """The keys with more than ``limit`` rows, or None when there are none.
 
     One counting job over the key columns; the counts are combined before they
-    are shuffled, so hot keys do not hurt it.
+    are shuffled, so hot keys do not hurt it. Keys that are found are written
+    down, since several joins read them.
     """
     hot = df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
-    return None if hot.isEmpty() else hot
+    return None if hot.isEmpty() else materialize(hot)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys; their union is ``df``."""
-    small = F.broadcast(hot)
-    return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi")
+    listed = broadcast_if_small(hot, SMALL_KEYS)
+    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")

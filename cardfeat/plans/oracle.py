@@ -396,6 +396,7 @@ _add(
     "quantile_grid",
     " UNION ALL ".join(f"SELECT '{c}' AS metric, {_quantiles(c)} FROM hist" for c in ("purchase_amount", "installments", "month_lag")),
 )
+_add("table_shape", "SELECT split, count(*) AS n_rows, 7 AS n_columns FROM cards GROUP BY split")
 _add(
     "category_cardinality",
     "SELECT " + ", ".join(f"count(DISTINCT {f}) AS {f}_categories" for f in _FEATURES) + " FROM cards",
@@ -856,6 +857,36 @@ _add(
     fits="SELECT *, my - w1 * m1 - w2 * m2 AS b FROM held",
     tested="SELECT avg(w1) AS w1, avg(w2) AS w2, avg(b) AS b FROM fits",
 )
+
+
+def _determinant(m: list[list[str]]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+def _three_weights() -> str:
+    """Cramer's rule on the moments m11 … m33 and y1 … y3."""
+    matrix = [[f"m{min(i, j)}{max(i, j)}" for j in (1, 2, 3)] for i in (1, 2, 3)]
+    swapped = [[[f"y{r + 1}" if c == k else matrix[r][c] for c in range(3)] for r in range(3)] for k in range(3)]
+    return ", ".join(f"{_determinant(m)} / {_determinant(matrix)} AS w{k}" for k, m in enumerate(swapped, start=1))
+
+
+_MOMENTS = ", ".join(
+    [f"count(*) * covar_pop(oof{i}, oof{j}) + {float(i == j)} AS m{i}{j}" for i in (1, 2, 3) for j in range(i, 4)]
+    + [f"count(*) * covar_pop(oof{i}, target) AS y{i}, avg(oof{i}) AS a{i}" for i in (1, 2, 3)]
+    + ["avg(target) AS ay"]
+)
+_add(
+    "ridge_stack_three",
+    "SELECT base.card_id, base.split, round(CASE WHEN base.target IS NOT NULL "
+    "THEN f.b + f.w1 * oof1 + f.w2 * oof2 + f.w3 * oof3 ELSE t.b + t.w1 * oof1 + t.w2 * oof2 + t.w3 * oof3 END, 6) AS stacked "
+    "FROM base JOIN fits f ON f.fold = base.fold CROSS JOIN tested t",
+    **_OOF,
+    held=f"SELECT k.fold, {_MOMENTS} FROM (SELECT DISTINCT fold FROM train) k JOIN train ON train.fold <> k.fold GROUP BY k.fold",
+    solved=f"SELECT *, {_three_weights()} FROM held",
+    fits="SELECT *, ay - w1 * a1 - w2 * a2 - w3 * a3 AS b FROM solved",
+    tested="SELECT avg(w1) AS w1, avg(w2) AS w2, avg(w3) AS w3, avg(b) AS b FROM fits",
+)
 _add(
     "ols_blend",
     "SELECT round(w1, 6) AS coef_1, round(w2, 6) AS coef_2, round(my - w1 * m1 - w2 * m2, 6) AS intercept FROM fit",

@@ -20,13 +20,13 @@ from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
 from cardfeat.plans import assemble
 from cardfeat.plans import features as feat
 from cardfeat.plans import specs
+from cardfeat.plans.assemble import OUTLIER_TARGET
 from cardfeat.session import materialize
 from cardfeat.sources import readers, sinks
 from cardfeat.sources.tpch import HISTORY, NEW, PERIOD_START, card_reference, cards, event_log, merchants, transactions
 
 DIGITS = 6
 LATE_BASE = "2001-04-01"
-OUTLIER_TARGET = -30.0
 FOLDS, STACK_FOLDS = 10, 5
 FEATURES = ["feature_1", "feature_2", "feature_3"]
 EVENT_HOLIDAY = "2024-01-15"
@@ -373,6 +373,13 @@ def quantile_grid(spark, d):
     )
 
 
+@query
+def table_shape(spark, d):
+    """Rows per split, and columns, of the card table."""
+    table = cards(spark, d)
+    return table.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(table.columns)))
+
+
 @query
 def category_cardinality(spark, d):
     return cards(spark, d).agg(*(F.count_distinct(c).alias(f"{c}_categories") for c in FEATURES))
@@ -761,7 +768,9 @@ def average_blend(spark, d):
 # ---- from logs to submission ------------------------------------------------
 
 
-def _feature_table(spark, d):
+@query
+def feature_table(spark, d):
+    """All rollups, ratios and encoded features of every card."""
     return assemble.feature_table(
         cards(spark, d),
         transactions(spark, d, HISTORY, specs.RAW_FULL),
@@ -774,12 +783,6 @@ def _feature_table(spark, d):
     )
 
 
-@query
-def feature_table(spark, d):
-    """All rollups, ratios and encoded features of every card."""
-    return _feature_table(spark, d)
-
-
 @query
 def stacked_submission(spark, d):
     """Three learners, stacked; the test cards' scores in template form."""
