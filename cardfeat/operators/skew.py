@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from cardfeat.session import materialize
 
-#: Above this many rows a group may not be held in one buffer. It also bounds
-#: the hot keys: a log of N rows has fewer than N / HOT_ROWS of them.
-HOT_ROWS = 200_000
+#: Above this many rows a group may not be held in one buffer; a task may keep
+#: some hundred such buffers at a time. It also bounds the hot keys: a log of N
+#: rows has fewer than N / HOT_ROWS of them.
+HOT_ROWS = 50_000
 #: A lookup table of at most this many rows is sent to every executor.
 SMALL_LOOKUP = 100_000
 #: Hot keys carry next to nothing else, so more of them may be sent.

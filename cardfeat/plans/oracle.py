@@ -235,7 +235,7 @@ _add(
 _add("drop_list_projection", "SELECT card_id, split, feature_1, feature_2 FROM cards")
 _add("outlier_flag", "SELECT card_id, target, CASE WHEN target < -30 THEN 1 ELSE 0 END AS outliers FROM cards")
 _RISK = _group(
-    "hist", ["1.0::DOUBLE - CAST(count(*) FILTER (authorized_flag = 'Y') AS DOUBLE) / count(authorized_flag) AS risk"]
+    "hist", ["1.0::DOUBLE - CAST(count(*) FILTER (WHERE authorized_flag = 'Y') AS DOUBLE) / count(authorized_flag) AS risk"]
 )
 _add(
     "score_split",
@@ -288,7 +288,7 @@ _FEATURES = ("feature_1", "feature_2", "feature_3")
 _ENCODED = (
     "SELECT cards.*, "
     + ", ".join(
-        f"(SELECT CAST(count(*) FILTER (t.target < -30) AS DOUBLE) / count(*) FROM cards t "
+        f"(SELECT CAST(count(*) FILTER (WHERE t.target < -30) AS DOUBLE) / count(*) FROM cards t "
         f"WHERE t.split = 'train' AND t.{f} = cards.{f}) AS {f}_bp"
         for f in _FEATURES
     )
@@ -337,7 +337,7 @@ _add("share_of_total", _group("hist", ["count(*) AS hist_transactions_count"] +
 _add(
     "subsector_mean_of_means",
     f"SELECT card_id, {_real_sum('m')} / count(*) AS new_sum_cal, "
-    f"{_real_sum('m')} / count(*) / NULLIF(count(*) FILTER (m <> 0), 0) AS new_mean_cal FROM means GROUP BY card_id",
+    f"{_real_sum('m')} / count(*) / NULLIF(count(*) FILTER (WHERE m <> 0), 0) AS new_mean_cal FROM means GROUP BY card_id",
     means=f"SELECT card_id, subsector_id, coalesce({_stat('mean', 'purchase_amount', _FRACTION)}, 0.0) AS m "
     "FROM fresh WHERE card_id IS NOT NULL AND subsector_id IS NOT NULL GROUP BY card_id, subsector_id",
 )
@@ -780,12 +780,16 @@ _add(
 
 
 def _score(col: str, grid: str, ascending: bool) -> str:
-    steps = " ".join(f"WHEN {col} <= {grid}[{i}] THEN {i if ascending else 9 - i}" for i in range(1, 8))
+    steps = " ".join(f"WHEN {col} <= {grid}_{i} THEN {i if ascending else 9 - i}" for i in range(1, 8))
     return f"CASE {steps} ELSE {8 if ascending else 1} END"
 
 
 def _rfm(name: str, tag: str, recency: str, frequency: str, value: str) -> None:
-    grid = ", ".join(f"list_transform(quantile_cont({c}::DOUBLE, {list(_GRID)}), lambda x: round(x, 9)) AS g{i}" for i, c in enumerate((recency, frequency, value)))
+    grid = ", ".join(
+        f"round(quantile_cont({c}::DOUBLE, {p}), 9) AS g{i}_{j}"
+        for i, c in enumerate((recency, frequency, value))
+        for j, p in enumerate(_GRID, start=1)
+    )
     _add(
         name,
         f"SELECT card_id, r{tag}_quantile, f{tag}_quantile, v{tag}_quantile, "

@@ -94,3 +94,12 @@ def test_rfm_scores_stay_in_range(spark):
         codes = sorted({r["rfm_code"] for r in got if r["split"] == split})
         assert {(r["rfm_code"], r["rfm_index"]) for r in got if r["split"] == split} == {(c, i) for i, c in enumerate(codes)}
     assert all(r["r_quantile"] == 8 for r in got if r["card_id"] % 7 == 0)  # null recency
+
+
+def test_rfm_pooled_grid(spark):
+    i = F.col("id")
+    df = spark.range(17).select(i.alias("card_id"), i.alias("r"), i.alias("f"), i.alias("v"))
+    got = {r["card_id"]: r for r in rfm.rfm_scores(df, "r", "f", "v", tag="new", by=None).collect()}
+    assert got[16]["rnew_quantile"] == 8 and got[16]["fnew_quantile"] == 1 and got[16]["rfmnew_code"] == 811
+    assert got[0]["rfmnew_code"] == 188 and got[0]["rfmnew_score"] == 17
+    assert "split" not in df.columns and set(df.columns) < set(got[0].asDict())
