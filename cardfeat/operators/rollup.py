@@ -1,9 +1,9 @@
 """Declarative per-key rollups.
 
 A :class:`Rollup` says which statistics of which columns to take; the result
-has one column ``<prefix><column>_<statistic>`` for each. One aggregate does
-all statistics that combine on the map side, a second one those that need a
-group's values. Rows with a null key belong to no group.
+has one column ``<prefix><column>_<statistic>`` for each. One aggregate (a few
+for wide specs) does all statistics that combine on the map side, another one
+those that need a group's values. Rows with a null key belong to no group.
 """
 
 from __future__ import annotations
@@ -61,22 +61,36 @@ def custom(name: str, column: str, aggregate: Aggregate) -> Measure:
     return Measure(column, name, aggregate)
 
 
-def _mergeable(df: DataFrame, spec: Rollup) -> list[Column]:
-    """Aggregates that combine on the map side."""
+#: The generated code of one aggregate gets slower per statistic when it holds
+#: more than about this many; wider specs take several over fewer columns.
+MAX_AGGREGATES = 45
+
+
+def _mergeable(df: DataFrame, spec: Rollup) -> list[list[Column]]:
+    """Aggregates that combine on the map side, in sets of a few columns each."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    columns = [F.count(F.lit(1)).alias(spec.size)] if spec.size else []
+    by_column: dict[str, list[Column]] = {}
     for m in spec.measures:
         if m.stat in (DISTINCT, MEDIAN) and m.custom is None:
             continue
         made = m.custom(F.col(m.column)) if m.custom else statistic(m.stat, F.col(m.column), types[m.column], spec.digits)
-        columns.append(made.alias(spec.name(m)))
-    return columns
+        by_column.setdefault(m.column, []).append(made.alias(spec.name(m)))
+    sets = [[F.count(F.lit(1)).alias(spec.size)] if spec.size else []]
+    for columns in by_column.values():
+        if sets[-1] and len(sets[-1]) + len(columns) > MAX_AGGREGATES:
+            sets.append([])
+        sets[-1] += columns
+    return [columns for columns in sets if columns]
 
 
 def _held(spec: Rollup, stat: str) -> list[Measure]:
     return [m for m in spec.measures if m.stat == stat and m.custom is None]
 
 
+def _aggregates(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[Column]]) -> DataFrame:
+    return _joined([df.groupBy(*keys).agg(*columns) for columns in sets], keys)
+
+
 def _joined(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Aggregates over the same keys, side by side; their partitioning is reused."""
     return reduce(lambda a, b: a.join(b, list(keys), "left"), parts)
@@ -92,16 +106,13 @@ def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     held = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
     middle = (lambda c: F.median(c)) if spec.digits is None else (lambda c: F.round(F.median(c), SUM_DIGITS))
     held += [middle(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
-    parts = [df.groupBy(*keys).agg(*columns) for columns in (_mergeable(df, spec), held) if columns]
-    return _joined(parts, keys)
+    return _aggregates(df, keys, [*_mergeable(df, spec), *([held] if held else [])])
 
 
 def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
     """Distinct counts and medians spread over (key, value) before they meet."""
     keys = list(keys)
-    parts = []
-    if mergeable := _mergeable(df, spec):
-        parts.append(df.groupBy(*keys).agg(*mergeable))
+    parts = [df.groupBy(*keys).agg(*columns) for columns in _mergeable(df, spec)]
     if distinct := _held(spec, DISTINCT):
         parts.append(df.groupBy(*keys).agg(*(F.count_distinct(m.column).alias(spec.name(m)) for m in distinct)))
     for m in _held(spec, MEDIAN):
@@ -126,7 +137,7 @@ def roll_up(
     df = drop_null_keys(df.select(*needed), keys)
     order = [*keys, *spec.columns]
     if not (_held(spec, DISTINCT) or _held(spec, MEDIAN)):
-        return df.groupBy(*keys).agg(*_mergeable(df, spec)).select(*order)
+        return _aggregates(df, keys, _mergeable(df, spec)).select(*order)
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return _small_groups(df, spec, keys).select(*order)

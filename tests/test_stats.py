@@ -83,3 +83,11 @@ def test_hot_keys_give_the_same_result(spark, hot_rows):
         r = got[card]
         assert (r["size"], r["x_nunique"], r["y_nunique"]) == (len(xs), len(set(xs)), len(set(ys)))
         assert (r["x_median"], r["y_median"], r["x_sum"]) == (mid(xs), mid(ys), sum(xs))
+
+
+def test_wide_specs_are_split_and_joined(rows):
+    names = [f"c{i}" for i in range(30)]
+    df = rows([("a", *range(30)), ("a", *range(1, 31)), ("b", *[None] * 30)], "card_id string, " + ", ".join(f"{n} int" for n in names))
+    got = one(df, take("sum max min", *names))
+    assert (got["a"]["c7_sum"], got["a"]["c29_max"], got["a"]["c0_min"], got["a"]["size"]) == (15, 30, 0, 2)
+    assert (got["b"]["c29_sum"], got["b"]["c29_max"], got["b"]["size"]) == (0, None, 1)
