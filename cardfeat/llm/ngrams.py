@@ -55,7 +55,7 @@ def class_counts(rows: DataFrame, classes: int, size: int = BUCKETS) -> np.ndarr
     return total
 
 
-def log_ratios(wanted: np.ndarray, base: np.ndarray, prior: float = 1.0) -> np.ndarray:
+def log_ratios(wanted: np.ndarray, base: np.ndarray, prior: float = 10.0) -> np.ndarray:
     """Logarithm of p(bucket | wanted) / p(bucket | base) in units; all zero if either has no words.
 
     Both multinomials are smoothed with ``prior`` counts per bucket, spread as the base is.
