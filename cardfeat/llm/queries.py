@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cardfeat.llm import decontaminate, simhash
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
 
@@ -23,3 +25,21 @@ def op7_quality_rules(spark, d):
     return rules.quality_rules(read(spark, d, "documents"), read(spark, d, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
     )
+
+
+@query
+def op4_simhash(spark, d):
+    return simhash.simhash_classes(read(spark, d, "documents"))
+
+
+@query
+def op6_decontaminate(spark, d):
+    found = decontaminate.contamination(read(spark, d, "documents"), read(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
