@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, simhash
+from cardfeat.llm import decontaminate, simhash, token_files
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
+from cardfeat.sources.sinks import scratch_path
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +47,10 @@ def op6_decontaminate(spark, d):
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op5_token_files(spark, d):
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(read(spark, d, "documents"), path, TOKENIZER)
+    return token_files.token_digests(token_files.read_tokens(spark, path))
