@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, simhash, token_files
+from cardfeat.llm import decontaminate, secrets, simhash, token_files
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
 from cardfeat.sources.sinks import scratch_path
@@ -54,3 +54,8 @@ def op5_token_files(spark, d):
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(read(spark, d, "documents"), path, TOKENIZER)
     return token_files.token_digests(token_files.read_tokens(spark, path))
+
+
+@query
+def op1_secrets(spark, d):
+    return secrets.digest(secrets.secrets(read(spark, d, "documents")))
