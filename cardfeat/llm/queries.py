@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardfeat.llm import decontaminate, secrets, simhash, token_files
+from cardfeat.llm import quality_classifier as classifier
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
 from cardfeat.sources.sinks import scratch_path
@@ -59,3 +60,11 @@ def op5_token_files(spark, d):
 @query
 def op1_secrets(spark, d):
     return secrets.digest(secrets.secrets(read(spark, d, "documents")))
+
+
+@query
+def op8_quality_classifier(spark, d):
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+    scores = classifier.quality_scores(read(spark, d, "documents"), read(spark, d, "labels"), ~held_out)
+    predicted = (F.col("score") >= classifier.PREDICT_AT).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
