@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, language, secrets, simhash, token_files
+from cardfeat.llm import decontaminate, html_text, language, secrets, simhash, token_files
 from cardfeat.llm import quality_classifier as classifier
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
@@ -75,3 +75,8 @@ def op2_language(spark, d):
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     found = language.identify(read(spark, d, "documents"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_html_text(spark, d):
+    return html_text.extract(read(spark, d, "pages"))
