@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, html_text, language, secrets, simhash, token_files
+from cardfeat.llm import decontaminate, html_text, language, line_dedup, secrets, simhash, token_files
 from cardfeat.llm import quality_classifier as classifier
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
@@ -80,3 +80,8 @@ def op2_language(spark, d):
 @query
 def op10_html_text(spark, d):
     return html_text.extract(read(spark, d, "pages"))
+
+
+@query
+def op3_line_dedup(spark, d):
+    return line_dedup.delete_repeated_lines(read(spark, d, "documents"))
