@@ -112,17 +112,16 @@ def fit_memberships(found: list[np.ndarray], values: list[np.ndarray], stats: np
         some, order = order[:BATCH], order[BATCH:]
         if len(some):
             buckets = np.concatenate([found[i] for i in some])
-            value = np.concatenate([values[i] for i in some])[:, None]
+            value = np.concatenate([values[i] for i in some])
             row = np.repeat(np.arange(len(some)), [len(found[i]) for i in some])
             logs = x[some] @ model.dense
-            np.add.at(logs, row, model.weights[buckets] * value)
+            for k in range(domains):
+                logs[:, k] += np.bincount(row, weights=model.weights[buckets, k] * value, minlength=len(some))
             off = _softmax(logs)
             off[np.arange(len(some)), labels[some]] -= 1
-            used, inverse = np.unique(buckets, return_inverse=True)
-            slope = np.zeros((len(used), domains))
-            np.add.at(slope, inverse, off[row] * value)
-            squares[used] += slope**2
-            model.weights[used] -= 0.5 * slope / np.sqrt(squares[used])
+            slope = np.stack([np.bincount(buckets, weights=off[row, k] * value, minlength=BUCKETS) for k in range(domains)], axis=1)
+            squares += slope**2
+            model.weights -= 0.5 * slope / np.sqrt(squares)
             dense = x[some].T @ off
             dense_squares += dense**2
             model.dense -= 0.1 * dense / np.sqrt(dense_squares)
