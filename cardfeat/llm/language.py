@@ -28,7 +28,7 @@ SAMPLE, CROPS = 1200, 3
 #: Bytes in a window, size of the embedding, filters of each width.
 WINDOW, EMBED, FILTERS = 256, 8, 12
 WIDTHS = (2, 3, 4)
-EPOCHS, BATCH, RATE = 6, 64, 0.004
+STEPS, BATCH, RATE = 1_200, 64, 0.004
 SEED = 5
 UNKNOWN = "und"
 _SUB = 512
@@ -107,17 +107,16 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str]) -> Netw
     rng = np.random.default_rng(SEED)
     weights = net.parameters()
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    step, total = 0, EPOCHS * -(-len(windows) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(windows))
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
-            step += 1
-            rate = RATE * (1 - step / (total + 1))
-            for w, g, m, v in zip(weights, _gradients(net, windows[some], labels[some]), first, second):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    order = np.zeros(0, dtype=np.int64)
+    for step in range(1, STEPS + 1):
+        if len(order) < BATCH:
+            order = np.concatenate((order, rng.permutation(len(windows))))
+        some, order = order[:BATCH], order[BATCH:]
+        rate = RATE * (1 - step / (STEPS + 1))
+        for w, g, m, v in zip(weights, _gradients(net, windows[some], labels[some]), first, second):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return net
 
 

@@ -242,12 +242,14 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", size: int = SHINGLE,
     ranked = counted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("best"))
     stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("fp") == F.col("best.fp"))
     judged = stage(counted.join(ranked, "root").select("id", "fp", "n", stays.alias("stays")), "judged")
-    same = whole[key].eqNullSafe(F.col("id")) & (whole[print_] == F.col("fp"))
-    gone = broadcast_if_small(judged.filter("NOT stays OR n > 1").select("id", "fp"), SMALL_KEYS)
-    kept = whole.join(gone, same, "left_anti").select(*columns)
-    twice = judged.filter("stays AND n > 1").select("id", "fp")
+    def listed(some: DataFrame):
+        keys = broadcast_if_small(some.select(F.col("id").alias("_id"), F.col("fp").alias("_fp")), SMALL_KEYS)
+        return keys, whole[key].eqNullSafe(keys["_id"]) & (whole[print_] == keys["_fp"])
+
+    kept = whole.join(*listed(judged.filter("NOT stays OR n > 1")), "left_anti").select(*columns)
+    twice = judged.filter("stays AND n > 1")
     if twice.isEmpty():
         return kept
-    again = whole.join(broadcast_if_small(twice, SMALL_KEYS), same, "left_semi")
-    one = again.groupBy(key, print_).agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    again = whole.join(*listed(twice), "left_semi")
+    one = again.groupBy(key, print_).agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
     return kept.unionByName(one)

@@ -35,4 +35,4 @@ def with_label(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", column
     """
     if is_small(labelled, SMALL_KEYS):
         labelled = F.broadcast(labelled)
-    return docs.join(labelled, docs[key] == labelled["_key"]).select(*(docs[c] for c in columns), "_value")
+    return docs.join(labelled, docs[key] == labelled["_key"]).select(*(docs[c] for c in columns), labelled["_value"])
