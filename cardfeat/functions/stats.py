@@ -5,11 +5,11 @@ side and a hot key costs one small buffer per task. Distinct counts and
 medians need the values themselves and live in ``operators.rollup``.
 
 Sums of doubles depend on the order in which tasks deliver their parts. With
-``digits`` set, the terms of a sum are taken to ``SUM_DIGITS`` decimals and the
-sum is rounded to the same grid, so that a rerun or a retried task gives the
-same sum and mean to the last bit; spreads are rounded to ``digits``. This
-holds while the sum stays below some 10^5, where the noise of doubles reaches
-the grid.
+``digits`` set, the whole parts and the fractions (to ``SUM_DIGITS`` decimals)
+are added up apart, both as whole numbers, so that a rerun or a retried task
+gives the same sum and mean to the last bit; spreads are rounded to ``digits``.
+This holds while the whole parts add up to less than some 10^15. Infinite terms
+give an infinite sum, both infinities none.
 """
 
 from __future__ import annotations
@@ -34,10 +34,12 @@ def _stable(value: Column, digits: int | None) -> Column:
 def _sum(column: Column, fractional: bool, digits: int | None) -> Column:
     if not fractional or digits is None:
         return F.sum(column)
-    # on the grid before the sum: a sum that lies between two decimals would
-    # round up or down by chance
-    scale = F.lit(10.0**SUM_DIGITS)
-    return F.round(F.sum(F.rint(column * scale) / scale), SUM_DIGITS)
+    whole = F.rint(column)
+    part = column - whole
+    # an infinite term has no fraction
+    grid = F.when(F.abs(part) <= 0.5, F.rint(part * 10.0**SUM_DIGITS).cast("bigint"))
+    added = F.sum(whole) + F.coalesce(F.sum(grid), F.lit(0)) / F.lit(10.0**SUM_DIGITS)
+    return F.nanvl(F.round(added, SUM_DIGITS), F.lit(None))
 
 
 def total(column: Column, fractional: bool, digits: int | None = None) -> Column:
@@ -58,7 +60,7 @@ def skew(column: Column, digits: int | None = None) -> Column:
     return (
         F.when(n < 3, F.lit(None).cast("double"))
         .when(F.max(column) == F.min(column), F.lit(0.0))
-        .otherwise(_stable(corrected, digits))
+        .otherwise(F.nanvl(_stable(corrected, digits), F.lit(None)))
     )
 
 
@@ -77,9 +79,9 @@ def statistic(name: str, column: Column, dtype: T.DataType, digits: int | None =
         case "max":
             return F.max(column)
         case "std":
-            return _stable(F.stddev_samp(column), digits)
+            return F.nanvl(_stable(F.stddev_samp(column), digits), F.lit(None))
         case "var":
-            return _stable(F.var_samp(column), digits)
+            return F.nanvl(_stable(F.var_samp(column), digits), F.lit(None))
         case "skew":
             return skew(column, digits)
         case "ptp":

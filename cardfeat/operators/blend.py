@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -47,24 +49,45 @@ def route_outliers(
 
 
 def _moment_columns(features: Sequence[str], target: str) -> list[Column]:
-    """Count, sums and cross products: everything a linear fit needs."""
-    names = [*features, target]
+    """Count, means and centred cross products: everything a linear fit needs.
+
+    Spark merges them around the running means, so large means do not swallow
+    small spreads.
+    """
+    names = [F.col(c).cast("double") for c in (*features, target)]
     columns = [F.count(F.lit(1)).alias("n")]
-    columns += [F.sum(c).alias(f"s_{i}") for i, c in enumerate(names)]
+    columns += [F.avg(c).alias(f"m_{i}") for i, c in enumerate(names)]
     pairs = combinations_with_replacement(range(len(names)), 2)
-    columns += [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s_{i}_{j}") for i, j in pairs]
+    columns += [F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i, j in pairs]
     return columns
 
 
-def _solve(sums: Mapping[str, float], size: int, alpha: float) -> np.ndarray:
-    """Coefficients and intercept of a ridge fit with a free intercept."""
-    n = sums["n"]
-    mean = np.array([sums[f"s_{i}"] for i in range(size + 1)]) / n
-    cross = np.empty((size + 1, size + 1))
-    for i, j in combinations_with_replacement(range(size + 1), 2):
-        cross[i, j] = cross[j, i] = sums[f"s_{i}_{j}"] - n * mean[i] * mean[j]
-    weights = np.linalg.solve(cross[:size, :size] + alpha * np.eye(size), cross[:size, size])
-    return np.append(weights, mean[size] - weights @ mean[:size])
+@dataclass
+class _Moments:
+    """Rows, means and centred cross products of a set of rows."""
+
+    n: float
+    mean: np.ndarray
+    cross: np.ndarray
+
+    @classmethod
+    def of(cls, row: Mapping[str, float], size: int) -> _Moments:
+        cross = np.empty((size, size))
+        for i, j in combinations_with_replacement(range(size), 2):
+            cross[i, j] = cross[j, i] = row[f"c_{i}_{j}"] * row["n"]
+        return cls(row["n"], np.array([row[f"m_{i}"] for i in range(size)]), cross)
+
+    def __add__(self, other: _Moments) -> _Moments:
+        n = self.n + other.n
+        step = other.mean - self.mean
+        cross = self.cross + other.cross + np.outer(step, step) * (self.n * other.n / n)
+        return _Moments(n, self.mean + step * (other.n / n), cross)
+
+    def solve(self, alpha: float) -> np.ndarray:
+        """Coefficients and intercept of a ridge fit with a free intercept."""
+        size = len(self.mean) - 1
+        weights = np.linalg.solve(self.cross[:size, :size] + alpha * np.eye(size), self.cross[:size, size])
+        return np.append(weights, self.mean[size] - weights @ self.mean[:size])
 
 
 def linear_fit(train: DataFrame, features: Sequence[str], target: str, alpha: float = 0.0) -> np.ndarray:
@@ -74,7 +97,7 @@ def linear_fit(train: DataFrame, features: Sequence[str], target: str, alpha: fl
     rows there are.
     """
     row = train.agg(*_moment_columns(features, target)).first()
-    return _solve(row.asDict(), len(features), alpha)
+    return _Moments.of(row.asDict(), len(features) + 1).solve(alpha)
 
 
 def fold_fits(
@@ -82,15 +105,13 @@ def fold_fits(
 ) -> dict[int, np.ndarray]:
     """One ridge fit per fold, each on the rows of all other folds.
 
-    Moments are added up per fold in one pass (one row per fold on the driver);
-    a fold's complement is the total less that fold.
+    Moments are added up per fold in one pass (one row per fold on the driver)
+    and merged for each fold's complement.
     """
-    rows = {r[fold]: r.asDict() for r in train.groupBy(fold).agg(*_moment_columns(features, target)).collect()}
-    names = [n for n in next(iter(rows.values())) if n != fold]
-    whole = {n: sum(r[n] for r in rows.values()) for n in names}
-    return {
-        k: _solve({n: whole[n] - r[n] for n in names}, len(features), alpha) for k, r in sorted(rows.items())
-    }
+    rows = train.groupBy(fold).agg(*_moment_columns(features, target)).collect()
+    parts = {r[fold]: _Moments.of(r.asDict(), len(features) + 1) for r in sorted(rows, key=lambda r: r[fold])}
+    others = {k: [m for j, m in parts.items() if j != k] or [parts[k]] for k in parts}
+    return {k: reduce(lambda a, b: a + b, some).solve(alpha) for k, some in others.items()}
 
 
 def linear_prediction(weights: Sequence[float], features: Sequence[str]) -> Column:

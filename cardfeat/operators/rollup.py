@@ -1,9 +1,10 @@
 """Declarative per-key rollups.
 
 A :class:`Rollup` says which statistics of which columns to take; the result
-has one column ``<prefix><column>_<statistic>`` for each. One aggregate (a few
-for wide specs) does all statistics that combine on the map side, another one
-those that need a group's values. Rows with a null key belong to no group.
+has one column ``<prefix><column>_<statistic>`` for each. One aggregate does all
+statistics that combine on the map side, another one those that need a group's
+values, so the rows are read twice at most. Rows with a null key belong to no
+group; NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark.sql import types as T
 
 from cardfeat.functions.scalars import ratio
 from cardfeat.functions.stats import SUM_DIGITS, Aggregate, statistic
-from cardfeat.operators.clean import drop_null_keys
+from cardfeat.operators.clean import drop_null_keys, nan_to_null
 from cardfeat.operators.quantiles import exact_quantiles
-from cardfeat.operators.skew import HOT_ROWS, hot_keys, split_hot
+from cardfeat.operators.skew import HOT_ROWS, split_hot
+from cardfeat.session import stage
 
 DISTINCT, MEDIAN = "nunique", "median"
 
@@ -61,36 +63,22 @@ def custom(name: str, column: str, aggregate: Aggregate) -> Measure:
     return Measure(column, name, aggregate)
 
 
-#: The generated code of one aggregate gets slower per statistic when it holds
-#: more than about this many; wider specs take several over fewer columns.
-MAX_AGGREGATES = 45
-
-
-def _mergeable(df: DataFrame, spec: Rollup) -> list[list[Column]]:
-    """Aggregates that combine on the map side, in sets of a few columns each."""
+def _mergeable(df: DataFrame, spec: Rollup) -> list[Column]:
+    """Aggregates that combine on the map side."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    by_column: dict[str, list[Column]] = {}
+    columns = [F.count(F.lit(1)).alias(spec.size)] if spec.size else []
     for m in spec.measures:
         if m.stat in (DISTINCT, MEDIAN) and m.custom is None:
             continue
         made = m.custom(F.col(m.column)) if m.custom else statistic(m.stat, F.col(m.column), types[m.column], spec.digits)
-        by_column.setdefault(m.column, []).append(made.alias(spec.name(m)))
-    sets = [[F.count(F.lit(1)).alias(spec.size)] if spec.size else []]
-    for columns in by_column.values():
-        if sets[-1] and len(sets[-1]) + len(columns) > MAX_AGGREGATES:
-            sets.append([])
-        sets[-1] += columns
-    return [columns for columns in sets if columns]
+        columns.append(made.alias(spec.name(m)))
+    return columns
 
 
 def _held(spec: Rollup, stat: str) -> list[Measure]:
     return [m for m in spec.measures if m.stat == stat and m.custom is None]
 
 
-def _aggregates(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[Column]]) -> DataFrame:
-    return _joined([df.groupBy(*keys).agg(*columns) for columns in sets], keys)
-
-
 def _joined(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Aggregates over the same keys, side by side; their partitioning is reused."""
     return reduce(lambda a, b: a.join(b, list(keys), "left"), parts)
@@ -106,13 +94,13 @@ def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     held = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
     middle = (lambda c: F.median(c)) if spec.digits is None else (lambda c: F.round(F.median(c), SUM_DIGITS))
     held += [middle(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
-    return _aggregates(df, keys, [*_mergeable(df, spec), *([held] if held else [])])
+    return df.groupBy(*keys).agg(*held)
 
 
 def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
     """Distinct counts and medians spread over (key, value) before they meet."""
     keys = list(keys)
-    parts = [df.groupBy(*keys).agg(*columns) for columns in _mergeable(df, spec)]
+    parts = []
     if distinct := _held(spec, DISTINCT):
         parts.append(df.groupBy(*keys).agg(*(F.count_distinct(m.column).alias(spec.name(m)) for m in distinct)))
     for m in _held(spec, MEDIAN):
@@ -125,36 +113,45 @@ def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
 
 
 def roll_up(
-    df: DataFrame, spec: Rollup, keys: Sequence[str] = ("card_id",), hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    spec: Rollup,
+    keys: Sequence[str] = ("card_id",),
+    hot_rows: int = HOT_ROWS,
+    share: str | None = None,
 ) -> DataFrame:
     """Apply ``spec`` per key.
 
-    Specs with distinct counts or medians first look for keys with more than
-    ``hot_rows`` rows; those, if any, take the spread-out way.
+    Specs with distinct counts or medians first take all other statistics and
+    the rows of each key, and write them down; keys with more than ``hot_rows``
+    rows, if any, then take the spread-out way for the rest. Both ways give the
+    same.
+
+    ``share`` names two more columns: ``<share>_mean``, the key's part of all
+    rows, those without a key included, and ``<share>_sum``, that times its rows.
     """
     keys = list(keys)
     needed = list(dict.fromkeys([*keys, *(m.column for m in spec.measures)]))
-    df = drop_null_keys(df.select(*needed), keys)
+    df = nan_to_null(df.select(*needed))
+    keyed = drop_null_keys(df, keys)
     order = [*keys, *spec.columns]
-    if not (_held(spec, DISTINCT) or _held(spec, MEDIAN)):
-        return _aggregates(df, keys, _mergeable(df, spec)).select(*order)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return _small_groups(df, spec, keys).select(*order)
-    ordinary, large = split_hot(df, keys, hot)
-    return (
-        _small_groups(ordinary, spec, keys).select(*order).unionByName(_large_groups(large, spec, keys).select(*order))
-    )
-
-
-def add_shares(rolled: DataFrame, size: str, prefix: str, rows: DataFrame, keys: Sequence[str] = ("card_id",)) -> DataFrame:
-    """Each key's share of all rows, and that share times its own rows.
-
-    The total is a scalar subquery over the keyed rows, counted once.
-    """
-    all_rows = drop_null_keys(rows, keys).agg(F.count(F.lit(1))).scalar()
-    share = ratio(F.col(size), all_rows)
-    return rolled.withColumn(f"{prefix}_mean", share).withColumn(f"{prefix}_sum", F.col(f"{prefix}_mean") * F.col(size))
+    held = [spec.name(m) for s in (DISTINCT, MEDIAN) for m in _held(spec, s)]
+    if not held and not share:
+        return keyed.groupBy(*keys).agg(*_mergeable(df, spec)).select(*order)
+    rows = "_rows"
+    base = stage((df if share else keyed).groupBy(*keys).agg(*_mergeable(df, spec), F.count(F.lit(1)).alias(rows)), "rollup")
+    if share:
+        part = ratio(F.col(rows), base.agg(F.sum(rows)).scalar())
+        order += [f"{share}_mean", f"{share}_sum"]
+        base = drop_null_keys(base, keys).withColumn(f"{share}_mean", part)
+        base = base.withColumn(f"{share}_sum", F.col(f"{share}_mean") * F.col(rows))
+    if not held:
+        return base.select(*order)
+    hot = base.filter(F.col(rows) > hot_rows).select(*keys)
+    if hot.isEmpty():
+        return base.join(_small_groups(keyed, spec, keys), keys, "left").select(*order)
+    ordinary, large = split_hot(keyed, keys, hot)
+    found = [part(rows_, spec, keys).select(*keys, *held) for part, rows_ in ((_small_groups, ordinary), (_large_groups, large))]
+    return base.join(found[0].unionByName(found[1]), keys, "left").select(*order)
 
 
 def two_level(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.session import materialize
+from cardfeat.session import stage
 
 #: Above this many rows a group may not be held in one buffer; a task may keep
 #: some hundred such buffers at a time. It also bounds the hot keys: a log of N
@@ -36,8 +36,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataF
     are shuffled, so hot keys do not hurt it. Keys that are found are written
     down, since several joins read them.
     """
-    hot = df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
-    return None if hot.isEmpty() else materialize(hot)
+    hot = stage(df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:

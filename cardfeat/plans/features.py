@@ -12,7 +12,7 @@ from cardfeat.functions.scalars import ratio, row_std
 from cardfeat.operators.clean import clear_sentinels, encode_flags, fill_missing
 from cardfeat.operators.encode import one_hot
 from cardfeat.operators.joins import enrich
-from cardfeat.operators.rollup import Rollup, add_shares, roll_up
+from cardfeat.operators.rollup import Rollup, roll_up
 from cardfeat.plans import specs
 from cardfeat.sources.readers import BASE_DAY
 
@@ -93,14 +93,12 @@ def merchant_rollup(
     ready = one_hot(coded(joined), specs.MERCHANT_DOMAINS).withColumn(
         "purchase_day_lag", cal.day_lag(base, F.col("purchase_date"))
     )
-    rolled = roll_up(ready, specs.merchant_new(digits))
-    return add_shares(rolled, "new_transactions_count", "new_card_percentage", joined)
+    return roll_up(ready, specs.merchant_new(digits), share="new_card_percentage")
 
 
 def share_rollup(log: DataFrame, base: cal.DayLike = BASE_DAY, digits: int | None = None) -> DataFrame:
     ready = coded(log).withColumn("purchase_day_lag", cal.day_lag(base, F.col("purchase_date")))
-    rolled = roll_up(ready, specs.share_hist(digits))
-    return add_shares(rolled, "hist_transactions_count", "history_card_percentage", log)
+    return roll_up(ready, specs.share_hist(digits), share="history_card_percentage")
 
 
 def lag_rates(rolled: DataFrame, prefix: str, with_amount_rate: bool = False) -> DataFrame:

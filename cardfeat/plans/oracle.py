@@ -240,7 +240,7 @@ _RISK = _group(
 _add(
     "score_split",
     "SELECT card_id, risk, CASE WHEN risk >= 0.3::DOUBLE THEN -33.5::DOUBLE END AS target "
-    "FROM cards JOIN risks USING (card_id) WHERE split = 'test'",
+    "FROM cards LEFT JOIN risks USING (card_id) WHERE split = 'test'",
     risks=_RISK,
 )
 _add("null_key_drop", "SELECT tx_id, card_id, merchant_id FROM tx_all WHERE merchant_id IS NOT NULL")
@@ -325,7 +325,8 @@ _add(
     _group("e", _stats("", "ptp", "purchase_amount purchase_epoch") + ["max(purchase_amount) - min(purchase_amount) AS purchase_amount_spread"]),
     e="SELECT *, epoch_us(purchase_date) / 1e6 AS purchase_epoch FROM event_log",
 )
-_SHARE = "CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {0} WHERE card_id IS NOT NULL)"
+#: Of all rows, those without a card included.
+_SHARE = "CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {0})"
 
 
 def _shares(source: str, prefix: str) -> list[str]:
@@ -334,6 +335,29 @@ def _shares(source: str, prefix: str) -> list[str]:
 
 
 _add("share_of_total", _group("hist", ["count(*) AS hist_transactions_count"] + _shares("hist", "history_card_percentage")))
+_add(
+    "share_with_null_keys",
+    _group("keyed", ["count(*) AS rows_of_card"] + _shares("keyed", "all_part")),
+    keyed="SELECT CASE WHEN merchant_id IS NOT NULL THEN card_id END AS card_id FROM tx_all",
+)
+_FINITE = "FILTER (WHERE isfinite(amount))"
+for _name in ("stats_missing_values", "stats_missing_values_spread"):
+    _add(
+        _name,
+        _group(
+            "holed",
+            [
+                "count(DISTINCT amount + 0.0) AS amount_nunique",
+                "round(median(amount), 9) AS amount_median",
+                "CASE WHEN bool_or(isinf(amount)) THEN 'infinity'::DOUBLE "
+                f"ELSE coalesce(round(sum(round_even(amount * 1e9, 0) / 1e9) {_FINITE}, 9), 0.0) END AS amount_sum",
+                f"CASE WHEN NOT bool_or(isinf(amount)) THEN round(stddev_samp(amount) {_FINITE}, 6) END AS amount_std",
+                "count(amount) AS amount_count",
+            ],
+        ),
+        holed="SELECT card_id, CASE WHEN installments = 1 AND month_lag = 0 THEN 'infinity'::DOUBLE WHEN installments = 2 THEN -0.0::DOUBLE "
+        "WHEN installments = 3 THEN 0.0::DOUBLE WHEN installments IN (0, 4) THEN NULL ELSE purchase_amount END AS amount FROM tx_all",
+    )
 _add(
     "subsector_mean_of_means",
     f"SELECT card_id, {_real_sum('m')} / count(*) AS new_sum_cal, "

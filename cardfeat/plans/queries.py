@@ -185,9 +185,8 @@ def score_split(spark, d):
     """Test cards above the cut get a constant, the others none, in one table."""
     test = cards(spark, d).filter(F.col("split") == "test").select("card_id").join(_risk(spark, d), "card_id", "left")
     test = materialize(test)  # both halves read it
-    high = test.filter(F.col("risk") >= blend.OUTLIER_PROBABILITY).withColumn("target", F.lit(-33.5))
-    low = test.filter(F.col("risk") < blend.OUTLIER_PROBABILITY)
-    return joins.stack_rows(high, low)
+    risky = F.coalesce(F.col("risk") >= blend.OUTLIER_PROBABILITY, F.lit(False))  # a card without history is not
+    return joins.stack_rows(test.filter(risky).withColumn("target", F.lit(-33.5)), test.filter(~risky))
 
 
 @query
@@ -327,8 +326,42 @@ def ptp(spark, d):
 @query
 def share_of_total(spark, d):
     log = transactions(spark, d, HISTORY, ["card_id"])
-    rolled = rollup.roll_up(log, _spec("hist_", size="hist_transactions_count"))
-    return rollup.add_shares(rolled, "hist_transactions_count", "history_card_percentage", log)
+    return rollup.roll_up(log, _spec("hist_", size="hist_transactions_count"), share="history_card_percentage")
+
+
+@query
+def share_with_null_keys(spark, d):
+    """Shares of all rows when some rows belong to no card."""
+    log = transactions(spark, d, None, ["card_id", "merchant_id"])
+    keyed = log.select(F.when(F.col("merchant_id").isNotNull(), F.col("card_id")).alias("card_id"))
+    return rollup.roll_up(keyed, _spec("all_", size="rows_of_card"), share="all_part")
+
+
+def _holes(spark, d):
+    """Amounts of which some are NaN, infinite, negative zero or null."""
+    log = transactions(spark, d, None, ["card_id", "purchase_amount", "installments", "month_lag"])
+    kind = F.col("installments")
+    amount = F.col("purchase_amount")
+    holed = (
+        F.when(kind == 0, F.lit(float("nan")))
+        .when((kind == 1) & (F.col("month_lag") == 0), F.lit(float("inf")))
+        .when(kind == 2, F.lit(-0.0))
+        .when(kind == 3, F.lit(0.0))
+        .when(kind == 4, F.lit(None).cast("double"))
+        .otherwise(amount)
+    )
+    return log.select("card_id", holed.alias("amount"))
+
+
+@query
+def stats_missing_values(spark, d):
+    return rollup.roll_up(_holes(spark, d), _spec("", rollup.take("nunique median sum std count", "amount")))
+
+
+@query
+def stats_missing_values_spread(spark, d):
+    """The same with every card treated as one with very many rows."""
+    return rollup.roll_up(_holes(spark, d), _spec("", rollup.take("nunique median sum std count", "amount")), hot_rows=0)
 
 
 @query

@@ -47,15 +47,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, column: str) -> DataFrame:
-    """Redistribute an input that has fewer splits than the session has cores.
+#: A file up to this size is one split.
+ONE_SPLIT = 128 << 20
 
-    Such an input is small, however big the cluster. With enough splits the
-    scan is left alone.
+
+def spread(df: DataFrame, path: str, column: str) -> DataFrame:
+    """Deal out the rows of a table that is a single file of one split.
+
+    At most ``ONE_SPLIT`` bytes ever move; any larger table is left alone.
     """
-    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
-        return df.repartition(column)
-    return df
+    spark = df.sparkSession
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file)
+    return df.repartition(column) if status.isFile() and status.getLen() <= ONE_SPLIT else df
 
 
 _c = F.col
@@ -94,7 +98,8 @@ def transactions(
         orders = orders.filter(F.col("o_orderdate") >= start)
     elif period is not None:
         raise ValueError(f"unknown period {period!r}")
-    df = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = spread(table(spark, sf_dir, "lineitem"), f"{sf_dir}/lineitem.parquet", "l_orderkey")
+    df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if _PART & set(wanted):
         df = df.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     if _SUPPLIER & set(wanted):

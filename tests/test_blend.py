@@ -60,3 +60,19 @@ def test_out_of_fold_means_do_not_see_their_row(rows):
     seen = sorted((r["f"], r["fold"], r["y"], r["p"]) for r in got if r["y"] is not None)
     assert seen == [(1, 0, 10.0, 25.0), (1, 1, 20.0, 10.0), (1, 1, 30.0, 10.0), (2, 0, 5.0, None)]
     assert {(r["f"], r["p"]) for r in got if r["y"] is None} == {(1, 20.0), (3, None)}
+
+
+def test_large_means_do_not_swallow_small_spreads(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2))
+    y = x @ [1.0, -2.0] + rng.normal(size=500) * 0.01
+    data = [(float(a) + 1e7, float(b) - 1e7, float(t), i % 5) for i, ((a, b), t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "a double, b double, y double, fold int").repartition(7)
+
+    def centred(keep, alpha):
+        c = x[keep] - x[keep].mean(axis=0)
+        return np.linalg.solve(c.T @ c + alpha * np.eye(2), c.T @ (y[keep] - y[keep].mean()))
+
+    assert blend.linear_fit(df, ["a", "b"], "y")[:2] == pytest.approx(centred(np.arange(500), 0.0), abs=1e-6)
+    for k, got in blend.fold_fits(df, ["a", "b"], "y", 1.0).items():
+        assert got[:2] == pytest.approx(centred(np.arange(500) % 5 != k, 1.0), abs=1e-6)

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardfeat.functions.scoring import GRID, step_score
+from cardfeat.operators import quantiles as q
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
 
 
@@ -46,3 +47,32 @@ def test_scores(rows):
     got = df.select("i", step_score(F.col("x"), columns), step_score(F.col("x"), columns, False)).orderBy("i").collect()
     assert [r[1] for r in got] == [1, 3, 3, 4, 8, 8]
     assert [r[2] for r in got] == [8, 6, 6, 5, 1, 1]
+
+
+def test_a_crowded_bucket_is_cut_until_it_is_small(spark, monkeypatch):
+    """A million different doubles between 1 and 1.00005; no task orders more than a set number."""
+    sizes = []
+
+    def noted(df, name):
+        out = q_stage(df, name)
+        if name == "ranks":
+            sizes.append(out.agg(F.max(F.when(F.col("_low") < F.col("_high"), F.col("_size")))).first()[0])
+        return out
+
+    q_stage = q.stage
+    monkeypatch.setattr(q, "stage", noted)
+    n = 1_000_000
+    df = spark.range(n).select(F.lit(1).alias("k"), (1 + F.col("id") * (0.00005 / n)).alias("v"))
+    got = exact_quantiles(df, ["k"], "v", GRID).first()["quantiles"]
+    assert got == pytest.approx(np.quantile(1 + np.arange(n) * (0.00005 / n), GRID), rel=1e-14)
+    assert sizes[0] > q.CELL_ROWS >= sizes[-1]
+
+
+@pytest.mark.parametrize("cell_rows", [1, 3])
+def test_small_cells_give_the_same(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(q, "CELL_ROWS", cell_rows)
+    inf = float("inf")
+    values = [1.0, 1.0 + 1e-9, 1.0 + 2e-9, 1.0 + 2e-9, 5.0, -inf, inf, inf, float("nan"), -0.0, 0.0, 1e300, 1.7e308, -1.7e308]
+    got = quantiles(spark, values, [0.0, 0.25, 0.5, 0.75, 1.0])
+    clean = sorted(v for v in values if v == v)
+    assert got == [clean[k] for k in (0, 3, 6, 9, 12)]

@@ -91,3 +91,22 @@ def test_wide_specs_are_split_and_joined(rows):
     got = one(df, take("sum max min", *names))
     assert (got["a"]["c7_sum"], got["a"]["c29_max"], got["a"]["c0_min"], got["a"]["size"]) == (15, 30, 0, 2)
     assert (got["b"]["c29_sum"], got["b"]["c29_max"], got["b"]["size"]) == (0, None, 1)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 10_000])
+def test_missing_values_on_both_routes(rows, hot_rows):
+    nan, inf = float("nan"), float("inf")
+    data = [("a", v) for v in (nan, nan, 1.0, 2.0, 3.0, -0.0, 0.0)] + [("b", nan), ("b", None), ("c", 1.0), ("c", inf), ("d", inf), ("d", -inf)]
+    spec = Rollup("", take("nunique median sum std count", "x"), None, 6)
+    got = {r["card_id"]: tuple(r)[1:] for r in roll_up(rows(data, "card_id string, x double"), spec, hot_rows=hot_rows).collect()}
+    assert got["a"] == (4, 1.0, 6.0, 1.30384, 5)
+    assert got["b"] == (0, None, 0.0, None, 0)
+    assert got["c"] == (2, inf, inf, None, 2)
+    assert got["d"][0] == 2 and got["d"][3:] == (None, 2)
+
+
+def test_large_sums_can_be_repeated(spark):
+    df = spark.range(400_000).select(F.lit("a").alias("card_id"), (4000 + F.col("id") * 0.1 / 7).alias("x"))
+    spec = Rollup("", take("sum mean", "x"), None, 6)
+    results = {tuple(roll_up(df.repartition(n), spec).first()) for n in (1, 3, 8, 17, 64)}
+    assert len(results) == 1 and next(iter(results))[1] > 1e9

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardfeat.operators.rollup import add_shares, mean_of_group_means, successive_means, take, two_level
+from cardfeat.operators.rollup import Rollup, mean_of_group_means, roll_up, successive_means, take, two_level
 
 
 def test_mean_of_group_means(rows):
@@ -33,8 +33,8 @@ def test_two_level_takes_the_group_itself(rows):
     assert (r["month_lag_mean"], r["amount_sum_mean"], r["amount_mean_mean"], r["amount_mean_max"]) == (-2.0, 7.5, 6.0, 9.0)
 
 
-def test_shares(rows):
-    log = rows([("a",)] * 2 + [("b",)] * 6 + [(None,)], "card_id string")
-    counts = log.dropna().groupBy("card_id").agg(F.count("*").alias("n"))
-    got = {r["card_id"]: r for r in add_shares(counts, "n", "share", log).collect()}
+def test_shares_are_of_all_rows(rows):
+    log = rows([("a",)] * 2 + [("b",)] * 5 + [(None,)], "card_id string")
+    got = {r["card_id"]: r for r in roll_up(log, Rollup("", (), "n"), share="share").collect()}
+    assert set(got) == {"a", "b"}
     assert (got["a"]["share_mean"], got["a"]["share_sum"]) == (0.25, 0.5)
