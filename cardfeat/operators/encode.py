@@ -20,22 +20,25 @@ def dummy_name(column: str, value: object) -> str:
     return f"{column}_{value}".replace(".", "_")
 
 
-def seen_values(df: DataFrame, column: str) -> list:
+def seen_values(df: DataFrame, column: str, most: int = MAX_ONE_HOT) -> list:
     """The sorted distinct values of a column that is to become one-hot."""
-    values = [r[0] for r in df.select(column).dropna().distinct().limit(MAX_ONE_HOT + 1).collect()]
-    if len(values) > MAX_ONE_HOT:
-        raise ValueError(f"{column} has over {MAX_ONE_HOT} values; one-hot makes a column of each")
+    values = [r[0] for r in df.select(column).dropna().distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has over {most} values; one-hot makes a column of each")
     return sorted(values)
 
 
-def one_hot(df: DataFrame, domains: Mapping[str, Sequence] | Sequence[str], keep: bool = False) -> DataFrame:
+def one_hot(
+    df: DataFrame, domains: Mapping[str, Sequence] | Sequence[str], keep: bool = False, most: int = MAX_ONE_HOT
+) -> DataFrame:
     """One 0/1 column per value; null gives 0 everywhere.
 
     With declared domains the plan is fixed; given only column names, the
-    values are read from the data first.
+    values are read from the data first, and more than ``most`` of them are an
+    error.
     """
     if not isinstance(domains, Mapping):
-        domains = {c: seen_values(df, c) for c in domains}
+        domains = {c: seen_values(df, c, most) for c in domains}
     dummies = {
         dummy_name(c, v): F.when(F.col(c) == F.lit(v), 1).otherwise(0) for c, values in domains.items() for v in values
     }
@@ -83,15 +86,20 @@ def index_column(
     return spread_lookup(df, index, [column], "left", hot_rows)
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], small: int = SMALL_LOOKUP) -> DataFrame:
+def label_encode(
+    df: DataFrame, columns: Sequence[str], small: int = SMALL_LOOKUP, missing: str | None = None
+) -> DataFrame:
     """Replace each column by the index of its text among all its values.
 
     Text order counts, so '10' comes before '2'. Give it train and test rows
-    together.
+    together. Null stays null, unless ``missing`` names a text that stands for
+    it and gets a code like any other.
     """
     order = df.columns
     for c in columns:
-        df = index_column(df.withColumn(c, F.col(c).cast("string")), c, "_index", small)
+        text = F.col(c).cast("string")
+        text = text if missing is None else F.coalesce(text, F.lit(missing))
+        df = index_column(df.withColumn(c, text), c, "_index", small)
         df = df.drop(c).withColumnRenamed("_index", c)
     return df.select(*order)
 

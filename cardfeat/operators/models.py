@@ -45,7 +45,7 @@ def impute_with_flags(df: DataFrame, columns: Sequence[str], fill: float = MISSI
     return df.withColumns(new)
 
 
-def boosted(label: str = "target", rounds: int = 10, depth: int = 5, step: float = 0.1, **extra) -> GBTRegressor:
+def boosted(label: str = "target", rounds: int = 50, depth: int = 5, step: float = 0.1, **extra) -> GBTRegressor:
     settings = dict(
         featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step,
         minInstancesPerNode=MIN_ROWS, featureSubsetStrategy=FEATURE_SHARE, subsamplingRate=ROW_SHARE, seed=SAMPLING_SEED,
@@ -54,7 +54,7 @@ def boosted(label: str = "target", rounds: int = 10, depth: int = 5, step: float
     return GBTRegressor(**{**settings, **extra})
 
 
-def forest(label: str = "target", trees: int = 20, depth: int = 7, **extra) -> RandomForestRegressor:
+def forest(label: str = "target", trees: int = 100, depth: int = 7, **extra) -> RandomForestRegressor:
     settings = dict(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth,
         minInstancesPerNode=MIN_ROWS, featureSubsetStrategy="0.5", subsamplingRate=ROW_SHARE, seed=SAMPLING_SEED,
@@ -62,7 +62,7 @@ def forest(label: str = "target", trees: int = 20, depth: int = 7, **extra) -> R
     return RandomForestRegressor(**{**settings, **extra})
 
 
-def outlier_classifier(label: str = "outliers", rounds: int = 10, depth: int = 5, **extra) -> GBTClassifier:
+def outlier_classifier(label: str = "outliers", rounds: int = 50, depth: int = 5, **extra) -> GBTClassifier:
     settings = dict(
         featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=0.1,
         featureSubsetStrategy="0.64", subsamplingRate=0.8, seed=SAMPLING_SEED,
@@ -121,7 +121,7 @@ def cross_validate(
     features: Sequence[str],
     label: str,
     learner: Callable[[], Estimator],
-    folds: int = 5,
+    folds: int = 10,
     name: str = "prediction",
     key: str = "card_id",
     train_filter: Column | None = None,

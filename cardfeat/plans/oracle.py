@@ -183,10 +183,16 @@ _TYPED = (
     "purchase_amount, purchase_date, subsector_id::SMALLINT AS subsector_id FROM "
 )
 _add("scan_typed", _TYPED + "tx_all")
-_add("scan_inferred", _TYPED + "fresh")
+_add(
+    "scan_inferred",
+    "SELECT card_id::INT AS card_id, * EXCLUDE (card_id, merchant_id), merchant_id::INT AS merchant_id, "
+    "'card_id int, tx_id string, authorized_flag string, category_1 string, category_2 double, category_3 string, city_id int, "
+    "state_id int, installments int, merchant_category_id int, merchant_id int, month_lag int, purchase_amount double, "
+    "purchase_date timestamp, subsector_id int' AS column_types FROM tx_all",
+)
 _add("scan_subset", "SELECT card_id, category_1, installments, purchase_amount, city_id FROM fresh")
 _add("scan_capped", "SELECT * FROM fresh ORDER BY tx_id LIMIT 1000")
-_add("scan_renamed", "SELECT card_id, target AS target0 FROM cards WHERE split = 'train'")
+_add("scan_renamed", "SELECT card_id::INT AS card_id, target AS target0 FROM cards WHERE split = 'train'")
 _add(
     "card_profile",
     "SELECT *, CAST(year(first_active_month) AS INT) AS year, CAST(month(first_active_month) AS INT) AS month, "
@@ -201,32 +207,37 @@ _NEW_MEAN = _group("fresh", [f"{_stat('mean', 'purchase_amount', _FRACTION)} AS
 _add("template_fill", "SELECT c.card_id, p.target FROM cards c LEFT JOIN p USING (card_id) WHERE c.split = 'test'", p=_NEW_MEAN)
 
 
-def _narrow_whole(col: str, held: str) -> str:
+def _narrow_whole(log: str, source: str, col: str, held: str) -> str:
     steps = " ".join(
         f"WHEN min({col})::HUGEINT > -{2 ** (bits - 1)} AND max({col})::HUGEINT < {2 ** (bits - 1) - 1} THEN '{name}'"
         for bits, name in ((8, "tinyint"), (16, "smallint"), (32, "int"), (64, "bigint"))
     )
     return (
-        f"SELECT '{col}' AS column_name, CASE {steps} ELSE '{held}' END AS narrow_type, count({col}) AS filled_rows, "
-        f"round(sum({col}::DOUBLE), 3) AS total FROM fresh"
+        f"SELECT '{log}' AS log, '{col}' AS column_name, CASE {steps} ELSE '{held}' END AS narrow_type, count({col}) AS filled_rows, "
+        f"round(sum({col}::DOUBLE), 3) AS total FROM {source}"
     )
 
 
-def _narrow_real(col: str) -> str:
+def _narrow_real(log: str, source: str, col: str) -> str:
     limit = "3.4028234663852886e38::DOUBLE"
     return (
-        f"SELECT '{col}' AS column_name, CASE WHEN min({col}) > -{limit} AND max({col}) < {limit} THEN 'float' "
+        f"SELECT '{log}' AS log, '{col}' AS column_name, CASE WHEN min({col}) > -{limit} AND max({col}) < {limit} THEN 'float' "
         f"ELSE 'double' END AS narrow_type, count({col}) AS filled_rows, "
-        f"round(sum({col}::FLOAT::DOUBLE), 3) AS total FROM fresh"
+        f"round(sum({col}::FLOAT::DOUBLE), 3) AS total FROM {source}"
     )
 
 
+_LOGS = (("history", "hist"), ("new", "fresh"))
 _add(
     "type_narrowing",
     " UNION ALL ".join(
-        [_narrow_whole(c, "bigint") for c in ("card_id", "merchant_id")]
-        + [_narrow_whole(c, "int") for c in ("city_id", "state_id", "installments", "merchant_category_id", "month_lag", "subsector_id")]
-        + [_narrow_real(c) for c in ("category_2", "purchase_amount")]
+        [_narrow_whole(*log, c, "bigint") for log in _LOGS for c in ("card_id", "merchant_id")]
+        + [
+            _narrow_whole(*log, c, "int")
+            for log in _LOGS
+            for c in ("city_id", "state_id", "installments", "merchant_category_id", "month_lag", "subsector_id")
+        ]
+        + [_narrow_real(*log, c) for log in _LOGS for c in ("category_2", "purchase_amount")]
     ),
 )
 
@@ -795,6 +806,13 @@ _add(
     b=_index("tx_all", "merchant_category_id::VARCHAR"),
 )
 _add("label_encode_spread", "SELECT card_id, i AS label FROM cards LEFT JOIN a ON card_id::VARCHAR = v", a=_index("cards", "card_id::VARCHAR"))
+_add(
+    "label_encode_missing",
+    "SELECT tx_id, a.i AS category_3, b.i AS subsector_id FROM tx_all JOIN a ON coalesce(category_3, 'nan') = a.v "
+    "JOIN b ON coalesce(subsector_id::VARCHAR, 'nan') = b.v",
+    a=_index("tx_all", "coalesce(category_3, 'nan')"),
+    b=_index("tx_all", "coalesce(subsector_id::VARCHAR, 'nan')"),
+)
 _COMB = "CAST(concat(feature_1, feature_2, feature_3) AS INT)"
 _add(
     "feature_comb_index",
@@ -946,3 +964,41 @@ _add(
     "LEFT JOIN nf USING (card_id)",
     nf=_FREQ_NEW,
 )
+
+
+# ---- whole flows, from the twins of their parts ------------------------------
+
+
+def _part(name: str) -> str:
+    return f"({ORACLE[name]})"
+
+
+_add(
+    "merchant_feature_table",
+    f"SELECT c.*, m.* EXCLUDE (card_id), s.* EXCLUDE (card_id) FROM cards c LEFT JOIN {_part('rollup_merchant_new')} m USING (card_id) "
+    f"LEFT JOIN {_part('rollup_share_hist')} s USING (card_id)",
+)
+_add(
+    "rfm_feature_table",
+    "SELECT c.card_id, c.split, i.feature_comb_index, l.* EXCLUDE (card_id), a.* EXCLUDE (card_id), f.hist_card_id_count, "
+    "f.hist_purchase_amount_sum, f.new_card_id_count, h.* EXCLUDE (card_id), n.* EXCLUDE (card_id) FROM cards c "
+    f"LEFT JOIN {_part('feature_comb_index')} i USING (card_id) LEFT JOIN {_part('reference_lags')} l USING (card_id) "
+    f"LEFT JOIN {_part('successive_aggregates')} a USING (card_id) LEFT JOIN {_part('freq_value')} f USING (card_id) "
+    f"LEFT JOIN {_part('rfm_hist')} h USING (card_id) LEFT JOIN {_part('rfm_new')} n USING (card_id)",
+)
+
+# ---- what must hold of the learners -------------------------------------------
+
+_add(
+    "learner_cover",
+    f"SELECT learner, card_id, split, {_fold(5)} AS fold, CAST(1 AS BIGINT) AS n, TRUE AS scored FROM cards, "
+    "(SELECT unnest(['boosted', 'forest', 'outliers']) AS learner)",
+)
+_add("importance_totals", "SELECT unnest(range(1, 6)) AS fold, CAST(24 AS BIGINT) AS inputs, CAST(1 AS DOUBLE) AS total")
+_add(
+    "importance_ranking",
+    "SELECT feature, fold, round(importance, 9) AS importance, round(mean_importance, 9) AS mean_importance FROM per JOIN top USING (feature)",
+    folded=f"SELECT *, {_fold(10)} AS fold FROM cards",
+    per=" UNION ALL ".join(f"SELECT '{c}' AS feature, fold, avg({c}::DOUBLE) AS importance FROM folded GROUP BY fold" for c in _FEATURES),
+    top="SELECT feature, avg(importance) AS mean_importance FROM per GROUP BY feature ORDER BY mean_importance DESC, feature LIMIT 2",
+)

@@ -69,14 +69,20 @@ TYPED = (
 
 @query
 def scan_typed(spark, d):
-    return readers.typed(transactions(spark, d), TYPED)
+    """The whole log through CSV, read with declared types."""
+    path = sinks.scratch_path(spark, "typed-transactions")
+    log = readers.typed(transactions(spark, d), TYPED)
+    sinks.write_csv(log, path)
+    return readers.read_csv(spark, path, log.schema)
 
 
 @query
 def scan_inferred(spark, d):
-    path = sinks.scratch_path(spark, "new-transactions")
-    sinks.write_csv(transactions(spark, d, NEW), path)
-    return readers.typed(readers.read_csv_inferred(spark, path), TYPED)
+    """The whole log through CSV with the types that were inferred, which a last column names."""
+    path = sinks.scratch_path(spark, "transactions")
+    sinks.write_csv(transactions(spark, d), path)
+    found = readers.read_csv_inferred(spark, path)
+    return found.withColumn("column_types", F.lit(", ".join(f"{c} {t}" for c, t in found.dtypes)))
 
 
 @query
@@ -93,9 +99,7 @@ def scan_capped(spark, d):
 def scan_renamed(spark, d):
     path = sinks.scratch_path(spark, "predictions")
     sinks.write_csv(cards(spark, d).filter(F.col("split") == "train").select("card_id", "target"), path)
-    return readers.read_csv_renamed(spark, path, ["card_id", "target0"]).withColumn(
-        "card_id", F.col("card_id").cast("bigint")
-    )
+    return readers.read_csv_renamed(spark, path, ["card_id", "target0"])
 
 
 @query
@@ -133,29 +137,29 @@ def template_fill(spark, d):
 
 @query
 def type_narrowing(spark, d):
-    """Per column of the new transactions: the narrowed type and what it holds."""
-    log = transactions(spark, d, NEW).drop("tx_id")
+    """Per log and column: the narrowed type and what it holds."""
+    return joins.stack_rows(*(_narrowed(spark, d, period) for period in (HISTORY, NEW)))
+
+
+def _narrowed(spark, d, period):
+    log = transactions(spark, d, period).drop("tx_id")
     small = narrow.narrow(log, keep_double=False)
     numeric = list(narrow.column_ranges(log))
     types = dict(small.dtypes)
     sums = small.agg(
         *(F.count(c).alias(f"rows_{c}") for c in numeric), *(F.sum(F.col(c).cast("double")).alias(f"sum_{c}") for c in numeric)
     )
-    return sums.select(
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.lit(types[c]).alias("narrow_type"),
-                        F.col(f"rows_{c}").alias("filled_rows"),
-                        _r(F.col(f"sum_{c}"), 3).alias("total"),
-                    )
-                    for c in numeric
-                )
-            )
-        ).alias("r")
-    ).select("r.*")
+    cells = (
+        F.struct(
+            F.lit(period).alias("log"),
+            F.lit(c).alias("column_name"),
+            F.lit(types[c]).alias("narrow_type"),
+            F.col(f"rows_{c}").alias("filled_rows"),
+            _r(F.col(f"sum_{c}"), 3).alias("total"),
+        )
+        for c in numeric
+    )
+    return sums.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 # ---- projections, filters, cleaning ----------------------------------------
@@ -699,6 +703,13 @@ def label_encode_spread(spark, d):
     return encode.label_encode(cards(spark, d).select("card_id", F.col("card_id").alias("label")), ["label"], small=0)
 
 
+@query
+def label_encode_missing(spark, d):
+    """Missing text gets a code of its own."""
+    log = transactions(spark, d, None, ["tx_id", "category_3", "subsector_id"])
+    return encode.label_encode(log, ["category_3", "subsector_id"], missing="nan")
+
+
 @query
 def feature_comb_index(spark, d):
     return encode.combination_index(cards(spark, d).select("card_id", *FEATURES), FEATURES)
@@ -819,7 +830,8 @@ def feature_table(spark, d):
 @query
 def stacked_submission(spark, d):
     """Three learners, stacked; the test cards' scores in template form."""
-    scores = assemble.stacked_scores(materialize(_model_table(spark, d)), MODEL_FEATURES, n_folds=STACK_FOLDS)
+    learners = (_boosted, _forest, lambda: models.boosted(rounds=ROUNDS, depth=3, step=0.2, seed=models.SAMPLING_SEED + 1))
+    scores = assemble.stacked_scores(materialize(_model_table(spark, d)), MODEL_FEATURES, learners, FOLDS)
     template = cards(spark, d).filter(F.col("split") == "test")
     return sinks.fill_template(template, scores.select("card_id", F.col("stacked").alias("target")))
 
@@ -827,11 +839,62 @@ def stacked_submission(spark, d):
 @query
 def routed_submission(spark, d):
     template = cards(spark, d).filter(F.col("split") == "test")
-    return sinks.fill_template(template, assemble.routed_scores(_model_table(spark, d), MODEL_FEATURES, STACK_FOLDS))
+    scores = assemble.routed_scores(_model_table(spark, d), MODEL_FEATURES, STACK_FOLDS, _risk_learner, _boosted)
+    return sinks.fill_template(template, scores)
+
+
+@query
+def wide_submission(spark, d):
+    """The whole feature table to folds, learner and template."""
+    template = cards(spark, d).filter(F.col("split") == "test")
+    scores = assemble.wide_scores(feature_table(spark, d), _boosted, STACK_FOLDS).scores
+    return sinks.fill_template(template, scores.select("card_id", F.col("prediction").alias("target")))
+
+
+@query
+def merchant_feature_table(spark, d):
+    return assemble.merchant_feature_table(
+        cards(spark, d),
+        transactions(spark, d, HISTORY, specs.RAW_MERCHANT),
+        transactions(spark, d, NEW, specs.RAW_MERCHANT),
+        merchants(spark, d),
+        PERIOD_START,
+        DIGITS,
+    )
+
+
+@query
+def rfm_feature_table(spark, d):
+    """Combination index, two-level aggregates, frequency, reference lags and RFM scores of every card."""
+    new = transactions(spark, d, NEW, ["card_id", "category_1", "installments", "purchase_amount", "city_id"])
+    parts = [_summary(spark, d, HISTORY, "hist_"), _summary(spark, d, NEW, "new_"), card_reference(spark, d)]
+    table = assemble.rfm_feature_table(cards(spark, d), new, parts, PAIRS, DIGITS)
+    rfm_columns = [f"{part}{tag}_quantile" for tag in ("", "new") for part in "rfv"]
+    rfm_columns += [f"rfm{tag}_{part}" for tag in ("", "new") for part in ("score", "code", "index")]
+    two_level_columns = [f"{g}_{v}_{s}" for g, v in PAIRS for s in ("mean", "min", "max", "std")]
+    frequency = ["hist_card_id_count", "hist_purchase_amount_sum", "new_card_id_count"]
+    return table.select(
+        "card_id", "split", "feature_comb_index", "reference_date", *two_level_columns, *frequency, *LAG_COLUMNS, *rfm_columns
+    )
 
 
 # ---- learners --------------------------------------------------------------
 
+#: Rounds and trees of the registered learners; the library's defaults are 50 and 100.
+ROUNDS, TREES = 10, 20
+
+
+def _boosted():
+    return models.boosted(rounds=ROUNDS)
+
+
+def _forest():
+    return models.forest(trees=TREES)
+
+
+def _risk_learner():
+    return models.outlier_classifier(rounds=ROUNDS)
+
 
 def _model_table(spark, d):
     """Card features, frequency and value of both periods, and the lags."""
@@ -854,23 +917,71 @@ def impute_flags(spark, d):
 
 @query
 def gbt_oof(spark, d):
-    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.boosted, STACK_FOLDS).scores
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _boosted, STACK_FOLDS).scores
 
 
 @query
 def rf_oof(spark, d):
-    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.forest, STACK_FOLDS).scores
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _forest, FOLDS).scores
 
 
 @query
 def outlier_classifier(spark, d):
-    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "outliers", models.outlier_classifier, STACK_FOLDS)
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "outliers", _risk_learner, STACK_FOLDS)
     return run.scores
 
 
+def _learners():
+    return {
+        "boosted": ("target", lambda: models.boosted(rounds=3)),
+        "forest": ("target", lambda: models.forest(trees=3, depth=3)),
+        "outliers": ("outliers", lambda: models.outlier_classifier(rounds=3)),
+    }
+
+
+@query
+def learner_cover(spark, d):
+    """What must hold of any learner's scores: every card once, in its fold, with a score, probabilities in range."""
+    table = materialize(_model_table(spark, d))
+    parts = []
+    for name, (label, learner) in _learners().items():
+        scores = models.cross_validate(table, MODEL_FEATURES, label, learner, STACK_FOLDS).scores
+        in_range = F.col("prediction").isNotNull() & (F.lit(label == "target") | F.col("prediction").between(0, 1))
+        parts.append(scores.groupBy("card_id", "split", "fold").agg(F.count("*").alias("n"), F.bool_and(in_range).alias("scored")).withColumn("learner", F.lit(name)))
+    return joins.stack_rows(*parts)
+
+
+@query
+def importance_totals(spark, d):
+    """The importances of every fold's model: one of each input, adding up to 1."""
+    table = materialize(_model_table(spark, d))
+    run = models.cross_validate(table, MODEL_FEATURES, "target", lambda: models.forest(trees=3, depth=3), STACK_FOLDS)
+    sums = run.importances().groupBy("fold").agg(F.count_distinct("feature").alias("inputs"), F.sum("importance").alias("total"))
+    return sums.select(F.col("fold").cast("bigint").alias("fold"), "inputs", _r(F.col("total")).alias("total"))
+
+
+@query
+def importance_ranking(spark, d):
+    """Tables per fold, appended; features by their mean, the strongest kept in all folds.
+
+    A feature's mean in a fold stands for its importance, so that SQL can follow.
+    """
+    table = materialize(folds.add_fold(cards(spark, d), FOLDS).select("fold", *FEATURES))
+
+    def of(fold):
+        means = [F.struct(F.lit(c).alias("feature"), F.avg(F.col(c).cast("double")).alias("importance")) for c in FEATURES]
+        row = table.filter(F.col("fold") == fold).agg(F.explode(F.array(*means)).alias("r"))
+        return row.select("r.feature", "r.importance", F.lit(fold).alias("fold"))
+
+    appended = joins.stack_rows(*(of(k) for k in range(FOLDS)))
+    top = models.mean_importance(appended, 2)
+    best = joins.keep_listed(appended, top, "feature").join(top.withColumnRenamed("importance", "mean_importance"), "feature")
+    return best.select("feature", F.col("fold").cast("bigint").alias("fold"), *(_r(F.col(c), 9).alias(c) for c in ("importance", "mean_importance")))
+
+
 @query
 def feature_importance(spark, d):
-    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.boosted, STACK_FOLDS)
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _boosted, STACK_FOLDS)
     table = run.importances()
     top = models.mean_importance(table)
     best = joins.keep_listed(table, top, "feature")

@@ -16,22 +16,26 @@ from cardfeat.sources.schemas import schema
 BASE_DAY = "2018-02-01"
 
 
-def read_csv(spark: SparkSession, path: str, types: str | T.StructType, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, types: str | T.StructType, columns: Sequence[str] | None = None, mode: str = "FAILFAST"
+) -> DataFrame:
     """A CSV file with a header, read with declared types.
 
     ``types`` is the name of a known table, a DDL string or a struct. With
-    ``columns`` only those are parsed.
+    ``columns`` only those are parsed. A field that does not fit its type, or a
+    line with too few or too many, fails the read; ``mode="PERMISSIVE"`` makes
+    nulls of them.
     """
     if isinstance(types, str):
         types = schema(types) if " " not in types else T.StructType.fromDDL(types)
     # the header line is checked against the schema, so names cannot slip
-    df = spark.read.schema(types).csv(path, header=True, enforceSchema=False)
+    df = spark.read.schema(types).csv(path, header=True, enforceSchema=False, mode=mode)
     return nan_to_null(df.select(*columns) if columns else df)
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
     """A CSV file with types guessed from a pass over it; for exploration."""
-    return nan_to_null(spark.read.csv(path, header=True, inferSchema=True))
+    return nan_to_null(spark.read.csv(path, header=True, inferSchema=True, mode=mode))
 
 
 def read_csv_renamed(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
