@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import LETTERED, Flat, flat, plain, slices, words
+from cardfeat.llm.tables import small_batches
 from cardfeat.session import stage
 
 WINDOW = 13
@@ -279,7 +280,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, prefix: str, text: str = "te
     names = [prefix + k for k in start]
     blocks = _blocks(benchmark, item, "text")
     current, following = next(blocks, None) or read_items([], []), next(blocks, None)
-    frame = docs
+    frame = small_batches(docs)
     for name, kind in zip(names, start.values()):
         frame = frame.withColumn(name, F.lit(None).cast(kind))
 
@@ -348,7 +349,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     and a place ``doc_id``, ``doc_word``. Suffixes without a match of a window
     have no row. Shards give their longest matches; the longest of all remain.
     """
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "item_id string, item_word int, n_words int, doc_id bigint, doc_word int"
     parts = []
     for items in _blocks(benchmark, item, "text"):

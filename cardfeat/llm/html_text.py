@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardfeat.llm.tables import small_batches
+
 #: A path is content if its fused ratio reaches this share of the page's best.
 THRESHOLD = 0.25
 #: Weights of a block and its neighbours when ratios are smoothed.
@@ -277,5 +279,5 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"]
             )
 
-    rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(source).cast("string").alias("html"))
+    rows = small_batches(pages).select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(source).cast("string").alias("html"))
     return rows.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")

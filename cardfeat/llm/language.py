@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, slices
+from cardfeat.llm.tables import small_batches
 
 #: Documents of each language that training reads at most, and windows taken from each.
 SAMPLE, CROPS = 1200, 3
@@ -213,7 +214,7 @@ def identify(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "t
 
     The network learns from rows that ``learn`` (a condition on ``doc_id``) selects and that have a language.
     """
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     languages, windows, labels = _sample(rows, learn)
     net = train(windows, labels, languages) if languages else None
     shared = docs.sparkSession.sparkContext.broadcast(net)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, mix, slices, words
+from cardfeat.llm.tables import small_batches
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
@@ -135,7 +136,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def delete_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the remaining ``text``, ``n_lines`` and ``n_deleted``."""
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
     # at most one run for each line of a document
     runs = repeated_runs(rows, min_words).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     runs = broadcast_if_small(stage(runs.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs")), "runs"))

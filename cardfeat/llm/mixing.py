@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import LETTERED, LOWER, Flat, mix, slices, words
 from cardfeat.llm.quality_classifier import STATISTICS, statistics
-from cardfeat.llm.tables import one_label, with_label
+from cardfeat.llm.tables import one_label, small_batches, with_label
 from cardfeat.session import stage
 
 #: Domains of the labels table and their wanted shares of the expected tokens.
@@ -139,7 +139,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, domain: Column) -> DataFram
 
 def learn_memberships(docs: DataFrame, labels: DataFrame, domains: int = len(TARGETS), domain: Column | None = None) -> Memberships:
     """Fit the classifier on a bounded sample of the labelled documents."""
-    rows = label_sample(docs, labels, label_domain() if domain is None else domain)
+    rows = label_sample(small_batches(docs), labels, label_domain() if domain is None else domain)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +215,7 @@ def with_memberships(docs: DataFrame, memberships: Memberships, key: str = "doc_
                     ["doc_id", "mark", "n_tokens", "posterior"],
                 )
 
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
         run, "doc_id bigint, mark bigint, n_tokens bigint, posterior array<double>"
     )

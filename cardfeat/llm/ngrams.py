@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, Words, join, plain, slices, words
+from cardfeat.llm.tables import small_batches
 
 #: Buckets of hashed words and word pairs.
 BUCKETS = 1 << 15
@@ -47,7 +48,7 @@ def class_counts(rows: DataFrame, classes: int, size: int = BUCKETS) -> np.ndarr
 
     names = [f"_n{c}" for c in range(classes)]
     schema = "_bucket bigint, " + ", ".join(f"{n} bigint" for n in names)
-    sums = rows.select("text", F.col("_class").cast("int")).mapInArrow(count, schema)
+    sums = small_batches(rows).select("text", F.col("_class").cast("int")).mapInArrow(count, schema)
     # at most one row per bucket: bounded by ``size``
     found = sums.groupBy("_bucket").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
     total = np.zeros((classes, size), dtype=np.int64)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, Words, join, slices, sum_per_text, words
 from cardfeat.llm.quality_rules import line_counts, repeated_words
-from cardfeat.llm.tables import SMALL_KEYS
+from cardfeat.llm.tables import SMALL_KEYS, small_batches
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
@@ -115,7 +115,7 @@ def with_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), column], ["doc_id", "stats"])
 
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, stats array<float>")
 
 

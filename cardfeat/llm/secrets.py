@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardfeat.llm.tables import small_batches
+
 #: Kinds in the order in which spans that begin together are listed.
 KINDS = ("assign", "access", "hex", "github", "npm")
 BASE_KINDS = KINDS[:3]
@@ -109,7 +111,8 @@ def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(item))], ["doc_id", "found"])
 
     schema = "doc_id bigint, found array<struct<kind: string, start: int, end: int, value: string>>"
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, schema)
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(scan, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.components import components
-from cardfeat.llm.tables import SMALL_KEYS
+from cardfeat.llm.tables import SMALL_KEYS, small_batches
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
@@ -72,7 +72,7 @@ def with_fingerprints(docs: DataFrame, name: str, text: str = "text", size: int
         values = np.array([fingerprint(t, size) for t in texts], dtype=np.uint64)
         return pd.Series(values.view(np.int64))
 
-    return docs.withColumn(name, hashed(F.col(f"`{text}`").cast("string")))
+    return small_batches(docs).withColumn(name, hashed(F.col(f"`{text}`").cast("string")))
 
 
 def levels(prints: np.ndarray) -> np.ndarray:

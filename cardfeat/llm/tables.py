@@ -22,6 +22,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch; a few hundred texts rather than ten thousand, so that a batch of long ones fits.
+BATCH_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, whose session now hands texts to Python in small batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def one_label(labels: DataFrame, value, key: str = "doc_id") -> DataFrame:
     """One row (key, value) per labelled key; of several the smallest value, none of null keys or values."""
     rows = labels.select(F.col(key).alias("_key"), value.alias("_value")).filter("_key IS NOT NULL AND _value IS NOT NULL")

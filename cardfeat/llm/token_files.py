@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardfeat.llm import rans
+from cardfeat.llm.tables import small_batches
 from cardfeat.llm.tokens import Encoder
 from cardfeat.session import stage
 
@@ -56,7 +57,8 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), binary.cast(pa.binary())], ["doc_id", "ids"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, ids binary")
+    rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, ids binary")
 
 
 def count_ids(tokens: DataFrame) -> np.ndarray:
