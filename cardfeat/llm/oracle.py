@@ -1,3 +1,32 @@
 """DuckDB SQL of the queries on texts that SQL can express."""
 
+from __future__ import annotations
+
 ORACLE: dict[str, str] = {}
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLE["op6_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+wanted AS (
+  SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM sized)),
+sizes AS (SELECT DISTINCT n FROM wanted),
+found AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d CROSS JOIN sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item, p, n FROM found JOIN wanted USING (n, g)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
