@@ -19,8 +19,13 @@ SMALL_LOOKUP = 100_000
 SMALL_KEYS = 1_000_000
 
 
+#: Whatever its rows, a table that is sent has at most about so many bytes, by Spark's usual size of its columns.
+SMALL_BYTES = 32 << 20
+
+
 def is_small(table: DataFrame, rows: int = SMALL_LOOKUP) -> bool:
-    """Whether a table has at most ``rows`` rows; counts no further than that."""
+    """Whether a table has at most ``rows`` rows and is not too wide; counts no further than that."""
+    rows = min(rows, SMALL_BYTES // max(table._jdf.schema().defaultSize(), 1))
     return table.limit(rows + 1).count() <= rows
 
 

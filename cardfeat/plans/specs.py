@@ -1,7 +1,8 @@
 """The composite rollups, as data.
 
 Column names follow the transaction tables; ``*_1_0`` and the like are one-hot
-columns of ``category_2`` and ``category_3``.
+columns of ``category_2`` and ``category_3``. Fixed values: the columns and
+statistics of every rollup here, which name the result's columns.
 """
 
 from __future__ import annotations

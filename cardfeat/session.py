@@ -20,6 +20,8 @@ _SETTINGS = {
     # which Spark stops generating code for a stage
     "spark.sql.codegen.maxFields": "400",
     "spark.ui.enabled": "false",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,6 +41,9 @@ def build_session(master: str | None = None, app: str = "cardfeat", **extra: str
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable.
 
@@ -53,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         context.setCheckpointDir(shared)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cardfeat-", dir=os.environ.get("TMPDIR")))
+        own = tempfile.TemporaryDirectory(prefix="cardfeat-", dir=os.environ.get("TMPDIR"), ignore_cleanup_errors=True)
+        _OWN_FOLDERS.append(own)  # deleted when Python ends
+        context.setCheckpointDir(own.name)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can read")
 

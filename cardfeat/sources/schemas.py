@@ -1,4 +1,4 @@
-"""Column types of the card tables."""
+"""Column types of the card tables. Their names and types."""
 
 from __future__ import annotations
 

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from cardfeat.functions.scalars import below, cap, yes_no
 from cardfeat.operators import clean, encode, joins, narrow, rfm
+from cardfeat.operators.skew import is_small
 
 
 def test_one_hot(rows):
@@ -103,3 +104,23 @@ def test_rfm_pooled_grid(spark):
     assert got[16]["rnew_quantile"] == 8 and got[16]["fnew_quantile"] == 1 and got[16]["rfmnew_code"] == 811
     assert got[0]["rfmnew_code"] == 188 and got[0]["rfmnew_score"] == 17
     assert "split" not in df.columns and set(df.columns) < set(got[0].asDict())
+
+
+def test_missing_text_gets_its_own_code(rows):
+    df = rows([("b",), (None,), ("a",), (None,)], "x string").withColumn("raw", F.col("x"))
+    got = {r["raw"]: r["x"] for r in encode.label_encode(df, ["x"], missing="nan").collect()}
+    assert got == {"a": 0, "b": 1, None: 2}
+    assert {r["raw"]: r["x"] for r in encode.label_encode(df, ["x"]).collect()}[None] is None
+
+
+def test_one_hot_refuses_too_many_values(rows):
+    df = rows([(1,), (2,), (3,)], "x int")
+    with pytest.raises(ValueError, match="over 2"):
+        encode.one_hot(df, ["x"], most=2)
+    assert encode.one_hot(df, ["x"], most=3).columns == ["x_1", "x_2", "x_3"]
+
+
+def test_wide_tables_are_not_small(spark):
+    narrow = spark.range(1000)
+    wide = narrow.select("id", *(F.lit("x").alias(f"c{k}") for k in range(2000)))
+    assert is_small(narrow, 1000) and not is_small(wide, 1000)

@@ -5,7 +5,7 @@ from cardfeat.sources import readers, sinks
 from cardfeat.sources.schemas import SCHEMAS, schema
 
 
-def test_schemas_parse():
+def test_schemas_parse(spark):
     assert all(len(schema(n).fields) > 1 for n in SCHEMAS)
 
 
@@ -43,3 +43,28 @@ def test_round_trip_and_template(spark, rows):
 def test_stack_rows_fills_missing_columns(rows):
     got = joins.stack_rows(rows([(1, 2.0)], "a int, target double"), rows([(3,)], "a int"))
     assert sorted(map(tuple, got.collect())) == [(1, 2.0), (3, None)]
+
+
+def test_broken_lines_are_refused(spark, tmp_path):
+    for number, line in enumerate(("C_2,oops", "C_2,1.0,extra", "C_2")):
+        path = tmp_path / f"broken{number}.csv"
+        path.write_text(f"card_id,target\nC_1,1.0\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+            readers.read_csv(spark, str(path), "card_id string, target double").collect()
+        kept = readers.read_csv(spark, str(path), "card_id string, target double", mode="PERMISSIVE")
+        assert kept.count() == 2
+
+
+def test_staged_tables_can_be_deleted(spark):
+    import os
+
+    from cardfeat import session
+
+    staged = session.stage(spark.range(5).toDF("x"), "test")
+    path = session._STAGED[-1].removeprefix("file:")
+    assert staged.count() == 5 and os.path.isdir(path)
+    others = session._STAGED[:-1]
+    session._STAGED[:] = session._STAGED[-1:]
+    session.drop_stages(spark)
+    session._STAGED[:] = others
+    assert not os.path.exists(path)
