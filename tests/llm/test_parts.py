@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from cardfeat.llm import components as components_module
 from cardfeat.llm import html_text, language, rans, simhash
 from cardfeat.llm.components import components
 from cardfeat.llm.flat import SPACED, flat, slices, words
@@ -98,6 +99,15 @@ def test_components_of_a_long_chain(spark):
     assert got == {(k, 0) for k in range(1, 61)} | {(101, 100)}
 
 
+@pytest.mark.parametrize("hot_rows", [2, 50_000])
+def test_components_with_hubs(spark, monkeypatch, hot_rows):
+    """Stars with many leaves, joined by one link; hubs go their own way."""
+    monkeypatch.setattr(components_module, "HOT_ROWS", hot_rows)
+    links = [(0, k) for k in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(39, 139), (500, 501)]
+    got = {tuple(r) for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
+    assert got == {(k, 0) for k in [*range(1, 40), *range(100, 140)]} | {(501, 500)}
+
+
 def test_tables_over_byte_pairs_give_the_same_network():
     net = language.Network.fresh(["a", "b", "c"])
     rng = np.random.default_rng(0)
