@@ -32,6 +32,8 @@ from cardfeat.llm.tables import small_batches
 
 #: A path is content if its fused ratio reaches this share of the page's best.
 THRESHOLD = 0.25
+#: A block with this share of its text in links has a path of its own, which ends in the link.
+LINKED = 0.6
 #: Weights of a block and its neighbours when ratios are smoothed.
 SMOOTHING = {0: 0.6, 1: 0.2}
 
@@ -134,7 +136,10 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             if text:
                 aside, marked, _ = state()
-                found.append(Block(tuple(s[1] for s in stack if s[1]), text, linked, aside, marked))
+                path = tuple(s[1] for s in stack if s[1])
+                if linked >= LINKED * len(text):
+                    path += ("a",)
+                found.append(Block(path, text, linked, aside, marked))
             pieces, linked = [], 0
 
     def add(text: str) -> None:

@@ -157,3 +157,8 @@ def test_pages_without_article_marks():
 
 def test_article_without_text_gives_nothing():
     assert html_text.main_text("<nav>Menu</nav><article><h1></h1><p><br></article><div>Some other text, here.</div>") == ""
+
+
+def test_blocks_of_links_are_left_out():
+    page = "<html><body><h1>Hello</h1><p>Some text, here it is.</p><p>More, <a href=x>here</a>.</p><hr><p><a href=a>Home</a> | <a href=b>Next</a></p>"
+    assert html_text.main_blocks(page) == ["Hello", "Some text, here it is.", "More, here."]
