@@ -94,7 +94,7 @@ def test_mixing(spark, docs):
     got = {d: (found.rate * found.n_tokens * found[f"p_{d}"]).sum() for d in supply}
     want = {"clean": 1.05 * supply["clean"]}
     want |= {d: min(w / 0.9 * want["clean"], supply[d]) for d, w in (("poor", 0.07), ("toxic", 0.03))}
-    assert all(abs(got[d] - want[d]) <= 1e-4 * sum(supply.values()) for d in supply)
+    assert all(abs(got[d] - want[d]) <= 1e-3 * sum(supply.values()) for d in supply)
 
 
 def test_html_text(spark):
