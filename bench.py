@@ -36,6 +36,7 @@ HEADLINE = [
     "kfold_assign",
     "ols_blend",
     "ridge_stack",
+    "gbt_oof",
 ]
 
 
