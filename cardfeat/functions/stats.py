@@ -35,9 +35,9 @@ def _sum(column: Column, fractional: bool, digits: int | None) -> Column:
     if not fractional or digits is None:
         return F.sum(column)
     whole = F.rint(column)
-    part = column - whole
-    # an infinite term has no fraction
-    grid = F.when(F.abs(part) <= 0.5, F.rint(part * 10.0**SUM_DIGITS).cast("bigint"))
+    scale = 10.0**SUM_DIGITS
+    # what a term on the grid has beside its whole part; very large and infinite terms have nothing
+    grid = F.when(F.abs(column) < 1e15, (F.rint(column * scale) - whole * scale).cast("bigint"))
     added = F.sum(whole) + F.coalesce(F.sum(grid), F.lit(0)) / F.lit(10.0**SUM_DIGITS)
     return F.nanvl(F.round(added, SUM_DIGITS), F.lit(None))
 
