@@ -78,6 +78,8 @@ ASIDE_WORDS = frozenset(
 )
 _ASIDE_PART = re.compile("comment|sidebar|footer|navbar|cookie|advert|sponsor|newsletter|breadcrumb|masthead|popup|subscri|topnav|mainmenu|submenu")
 _ARTICLE_ASIDE = re.compile(r"comment|repl(?:y|ies)|teaser|related|promo|sponsor|advert|\bads?\b")
+#: Names of elements whose articles are none of the page's own; other names may stand for the layout around it.
+_FIRM = re.compile(_ARTICLE_ASIDE.pattern + "|disqus|respond|recommend|sidebar|footer|widget|popup|modal|cookie")
 #: Tags that stay with the paragraphs beside them.
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption section details summary".split())
 
@@ -95,23 +97,25 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _is_aside(tag: str, attributes: dict[str, str]) -> bool:
+def _is_aside(tag: str, attributes: dict[str, str]) -> int:
+    """0, 1 if a name marks the element as aside but an article in it may be the page's, 2 if nothing in it may."""
     if tag in ("html", "body"):
-        return False
+        return 0
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     if tag in ("article", "main"):
-        return bool(_ARTICLE_ASIDE.search(names)) and tag == "article"
+        return 2 if tag == "article" and _ARTICLE_ASIDE.search(names) else 0
     if tag in ASIDE_TAGS or attributes.get("role", "").lower() in ASIDE_ROLES:
-        return True
+        return 2
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
+        return 2
+    found = 0
     for name in names.split():
         words = re.split(r"[^a-z0-9]+", name)
         if words[0] in ("has", "with", "no", "without", "is"):  # says something of other elements
             continue
         if ASIDE_WORDS.intersection(words) or _ASIDE_PART.search(name):
-            return True
-    return False
+            found = max(found, 2 if _FIRM.search(name) else 1)
+    return found
 
 
 def _is_marked(tag: str, attributes: dict[str, str]) -> bool:
@@ -122,13 +126,13 @@ def blocks(page: str) -> tuple[list[Block], bool]:
     """Text blocks in page order, and whether the page marks an article or main part."""
     found: list[Block] = []
     # open elements: tag, step of the path (None for inline ones), aside, marked, link
-    stack: list[tuple[str, str | None, bool, bool, bool]] = []
+    stack: list[tuple[str, str | None, int, bool, bool]] = []
     pieces: list[str] = []
     linked = 0
     any_marked = False
 
-    def state() -> tuple[bool, bool, bool]:
-        return stack[-1][2:] if stack else (False, False, False)
+    def state() -> tuple[int, bool, bool]:
+        return stack[-1][2:] if stack else (0, False, False)
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -139,7 +143,7 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 path = tuple(s[1] for s in stack if s[1])
                 if linked >= LINKED * len(text):
                     path += ("a",)
-                found.append(Block(path, text, linked, aside, marked))
+                found.append(Block(path, text, linked, aside > 0, marked))
             pieces, linked = [], 0
 
     def add(text: str) -> None:
@@ -205,9 +209,10 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                     break
         attributes = _attributes(m[3]) if m[3].strip() else {}
         aside, marked, link = state()
-        here_marked = _is_marked(tag, attributes) and not aside
-        here_aside = aside or _is_aside(tag, attributes)
-        any_marked |= here_marked and not here_aside
+        own, here_marked = _is_aside(tag, attributes), _is_marked(tag, attributes)
+        here_aside = own if here_marked and aside < 2 else max(aside, own)
+        here_marked = here_marked and not here_aside
+        any_marked |= here_marked
         step = None
         if tag in BLOCK:
             names = " ".join(filter(None, (attributes.get("class"), attributes.get("id")))).lower()

@@ -162,3 +162,9 @@ def test_article_without_text_gives_nothing():
 def test_blocks_of_links_are_left_out():
     page = "<html><body><h1>Hello</h1><p>Some text, here it is.</p><p>More, <a href=x>here</a>.</p><hr><p><a href=a>Home</a> | <a href=b>Next</a></p>"
     assert html_text.main_blocks(page) == ["Hello", "Some text, here it is.", "More, here."]
+
+
+def test_an_article_inside_a_named_layout_is_the_main_part():
+    page = """<body><div class="content-with-menu"><ul class="menu"><li>Home</li></ul><article><p>Body.</p></article></div>
+    <div class="related"><article><p>Other</p></article></div><section id="comments"><article><p>Nice</p></article></section></body>"""
+    assert html_text.main_blocks(page) == ["Body."]
