@@ -71,6 +71,7 @@ class Flat:
 
     data: np.ndarray
     offsets: np.ndarray
+    _sums: np.ndarray | None = None  #: running sums that hashes of byte ranges are taken from
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -92,9 +93,11 @@ class Flat:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each byte range."""
-        terms = (self.data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(self.data))
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(terms, out=sums[1:])
+        if self._sums is None:
+            terms = (self.data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(self.data))
+            self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(terms, out=self._sums[1:])
+        sums = self._sums
         raw = (sums[ends] - sums[starts]) * _power(_INVERSE, len(self.data) + 1)[starts]
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -151,9 +154,24 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
+def lowered(part: Flat) -> Flat:
+    """The texts with A-Z in lower case."""
+    return Flat(LOWER[part.data], part.offsets)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted different keys, a place where each occurs, and the number of each key's place among them."""
+    order = np.argsort(keys)
+    found = keys[order]
+    fresh = np.concatenate(([True], found[1:] != found[:-1])) if len(keys) else np.zeros(0, dtype=bool)
+    number = np.empty(len(keys), dtype=np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return found[fresh], order[fresh], number
+
+
 def words(part: Flat, kind: np.ndarray = SPACED, lower: bool = False) -> Words:
     if lower:
-        part = Flat(LOWER[part.data], part.offsets)
+        part = lowered(part)
     starts, ends, first = part.spans(kind[part.data])
     return Words(starts, ends, part.hashes(starts, ends), first)
 

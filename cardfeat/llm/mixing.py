@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.llm.flat import LETTERED, LOWER, Flat, mix, slices, words
+from cardfeat.llm.flat import LETTERED, Flat, lowered, mix, slices, words
 from cardfeat.llm.quality_classifier import STATISTICS, statistics
 from cardfeat.llm.tables import one_label, small_batches, with_label
 from cardfeat.session import stage
@@ -62,12 +62,13 @@ def label_domain() -> Column:
 
 def features(part: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words per text, hashed features with their texts, and statistics of the texts of a slice."""
-    w = words(part, LETTERED, lower=True)
-    low = Flat(LOWER[part.data], part.offsets)
+    low = lowered(part)
+    w = words(low, LETTERED)
     hashes = [w.hashes] + [mix(low.hashes(w.starts, np.minimum(w.starts + k, w.ends)) + np.uint64(k)) for k in BEGINNINGS]
     shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
     found = (np.concatenate(hashes) >> shift).astype(np.int64)
-    return words(part).counts, found, np.tile(w.text, len(hashes)), statistics(part).astype(np.float64)
+    spaced = words(part)
+    return spaced.counts, found, np.tile(w.text, len(hashes)), statistics(part, spaced).astype(np.float64)
 
 
 @dataclass

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.llm.flat import Flat, Words, join, slices, sum_per_text, words
+from cardfeat.llm.flat import Flat, Words, distinct, join, slices, sum_per_text, words
 from cardfeat.llm.quality_rules import line_counts, repeated_words
 from cardfeat.llm.tables import SMALL_KEYS, small_batches
 from cardfeat.operators.skew import broadcast_if_small
@@ -58,9 +58,9 @@ _UPPER, _DIGIT = _bytes(range(0x41, 0x5B)), _bytes(range(0x30, 0x3A))
 _STOP, _SHOUT, _SYMBOL, _BAR, _HIGH = _bytes(".,;:"), _bytes("!?"), _bytes("#*$%&<>{}[]=+~^@\\/"), _bytes("|"), _bytes(range(0x80, 0x100))
 
 
-def statistics(part: Flat) -> np.ndarray:
-    """One row of statistics for each text of a slice."""
-    w: Words = words(part)
+def statistics(part: Flat, w: Words | None = None) -> np.ndarray:
+    """One row of statistics for each text of a slice; ``w`` are its words, if they are known already."""
+    w = words(part) if w is None else w
     n = len(part)
     count = w.counts
     size = np.maximum(np.diff(part.offsets), 1).astype(float)
@@ -70,7 +70,7 @@ def statistics(part: Flat) -> np.ndarray:
     last = part.data[w.ends - 1] if len(w.ends) else part.data[:0]
     first = part.data[w.starts] if len(w.starts) else part.data[:0]
     text = w.text
-    per_text = np.unique(join(w.hashes, text.astype(np.uint64)), return_index=True)[1]
+    per_text = distinct(join(w.hashes, text.astype(np.uint64)))[1]
     same = np.concatenate(([False], (w.hashes[1:] == w.hashes[:-1]) & (text[1:] == text[:-1]))) if len(text) else np.zeros(0, bool)
 
     def share(kind: np.ndarray) -> np.ndarray:

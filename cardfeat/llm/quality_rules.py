@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.llm.flat import SPACED, Flat, Words, join, mix, slices, sum_per_text, windows, words
+from cardfeat.llm.flat import SPACED, Flat, Words, distinct, join, mix, slices, sum_per_text, windows, words
 from cardfeat.llm.ngrams import class_counts, log_ratios, mean_ratios, text_slices
 from cardfeat.llm.tables import one_label, with_label
 
@@ -42,7 +42,7 @@ def line_counts(part: Flat, w: Words) -> tuple[np.ndarray, np.ndarray]:
     worded = np.searchsorted(w.starts, ends) > np.searchsorted(w.starts, starts)
     starts, ends, text = starts[worded], ends[worded], text[worded]
     keys = join(part.hashes(starts, ends), text.astype(np.uint64))
-    _, once = np.unique(keys, return_index=True)
+    _, once, _ = distinct(keys)
     return np.bincount(text, minlength=len(part)), np.bincount(text[once], minlength=len(part))
 
 

@@ -18,7 +18,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from cardfeat.llm.flat import Flat, slices
+from cardfeat.llm.flat import Flat, distinct, slices
 
 #: What keeps pieces from being encoded together.
 _INNER = re.compile(r"\s")
@@ -161,7 +161,7 @@ class Encoder:
         if len(whole):
             cut = ~np.isin(text, whole)
             starts, ends, text = starts[cut], ends[cut], text[cut]
-        hashes, one, at = np.unique(part.hashes(starts, ends), return_index=True, return_inverse=True)
+        hashes, one, at = distinct(part.hashes(starts, ends))
         place = np.searchsorted(self.known, hashes)
         old = np.zeros(len(hashes), dtype=bool)
         inside = place < len(self.known)
