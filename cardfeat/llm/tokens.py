@@ -2,8 +2,9 @@
 
 Before its merges the tokenizer cuts a text at white space: of a run of white
 space all but the last character stand alone, and the last one belongs to the
-word that follows if it is a space. The same cuts are made here on the flat
-bytes, and every different piece is encoded once. Texts with white space
+word that follows if it is a space. It also cuts where letters or digits end.
+The same cuts are made here on the flat bytes, the latter only before ASCII
+marks other than the apostrophe, and every different piece is encoded once. Texts with white space
 outside ASCII, control separators or the mark of a special token go to the
 tokenizer whole. Both ways give the ids that the tokenizer gives for the text.
 
@@ -31,6 +32,13 @@ _TOGETHER = 2048
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[b for b in range(0x21, 0x7F) if not _ALNUM[b] and b != 0x27]] = True
+#: Second bytes of the Latin letters whose first byte is C3.
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
 #: Lead bytes of white space outside ASCII, and the ASCII separators that some libraries take for it.
 _WIDE = np.zeros(256, dtype=bool)
 _WIDE[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -74,6 +82,9 @@ def cuts(part: Flat) -> np.ndarray:
     after = np.concatenate((space[1:], [False])) | last
     blank = np.concatenate(([False], part.data[:-1] == 32))
     begin = first | (space & ~before) | (space & ~after) | (~space & before & ~blank)
+    word = _ALNUM[part.data]
+    word[1:] |= _LATIN[part.data[1:]] & (part.data[:-1] == 0xC3)
+    begin[1:] |= _MARK[part.data[1:]] & word[:-1]
     return np.flatnonzero(begin)
 
 

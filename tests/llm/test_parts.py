@@ -32,7 +32,7 @@ def test_pieces_encode_like_whole_texts():
     e = Encoder(TOKENIZER)
     random.seed(3)
     texts = ["", "don't 'll we'll", "x<|endoftext|>y  <|endoftext|> z", "日本 語　a", "a b \x85c", "\x1c a", "\r\n x"]
-    texts += ["".join(random.choice(" \n\tab.,'é1A  ") for _ in range(random.randint(0, 20))) for _ in range(2000)]
+    texts += ["".join(random.choice(" \n\tab.,'é1A!×ñ”  ") for _ in range(random.randint(0, 20))) for _ in range(2000)]
     ids, offsets = [], [0]
     for _, i, o in e.encode_column(pa.array(texts)):
         offsets += (o[1:] + len(np.concatenate(ids) if ids else [])).tolist()
