@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cardfeat.operators.rollup import Rollup, mean_of_group_means, roll_up, successive_means, take, two_level
 
