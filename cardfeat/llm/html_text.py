@@ -5,9 +5,11 @@ the root (names, classes and ids). For every path the characters and the
 punctuation marks per block are taken, smoothed over neighbouring blocks, fused
 with the share of text outside links, and compared with the best path of the
 page. Elements that by name, role or class hold menus, adverts, notices, forms,
-comments and the like weigh nothing; where a page marks its article or main
-part, only blocks inside weigh, and they share the best ratio found there, so
-that short paragraphs and headings stay with their text.
+comments and the like weigh nothing. Short paragraphs and headings share the
+ratio of the path with most text beside them. Where a page marks an article or
+main part, ratios inside count twice, and the path with most text is looked for
+there, unless the text beside the marks is much longer: then a marked teaser is
+a block like any other. All other paths, inside and outside, are judged by ratio.
 
 White space inside a block, line-break elements included, becomes one space.
 Null and empty pages have an empty text; broken markup is read as browsers do
@@ -21,7 +23,7 @@ import html
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,6 +36,10 @@ from cardfeat.llm.tables import small_batches
 THRESHOLD = 0.25
 #: A block with this share of its text in links has a path of its own, which ends in the link.
 LINKED = 0.6
+#: Ratios and text of a marked article or main part count so many times.
+MARKED = 2
+#: Characters that a mark counts for at least, so that a stray line does not replace an empty article.
+LEAST_MARKED = 140
 #: Weights of a block and its neighbours when ratios are smoothed.
 SMOOTHING = {0: 0.6, 1: 0.2}
 
@@ -83,6 +89,8 @@ _FIRM = re.compile(_ARTICLE_ASIDE.pattern + "|disqus|respond|recommend|sidebar|f
 #: Tags that stay with the paragraphs beside them.
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption section details summary".split())
 
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 
 @dataclass
 class Block:
@@ -91,6 +99,7 @@ class Block:
     linked: int  #: characters inside links
     aside: bool  #: inside an element without main text
     marked: bool  #: inside the article or main part
+    depth: int  #: steps of the path down to the outermost mark, if marked
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -143,7 +152,9 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 path = tuple(s[1] for s in stack if s[1])
                 if linked >= LINKED * len(text):
                     path += ("a",)
-                found.append(Block(path, text, linked, aside > 0, marked))
+                outermost = next((i for i, s in enumerate(stack) if s[3]), -1)
+                depth = sum(1 for s in stack[: outermost + 1] if s[1])
+                found.append(Block(path, text, linked, aside > 0, marked, depth))
             pieces, linked = [], 0
 
     def add(text: str) -> None:
@@ -217,6 +228,8 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if tag in BLOCK:
             names = " ".join(filter(None, (attributes.get("class"), attributes.get("id")))).lower()
             step = tag + ("." + re.sub(r"\d+", "", names) if names else "")
+        if here_marked and tag not in ("article", "main"):  # its path differs from that of a like element without mark
+            step = (step or tag) + ".(main)"
         stack.append((tag, step, here_aside, marked or here_marked, link or tag == "a"))
     flush()
     return found, any_marked
@@ -237,7 +250,7 @@ def fused_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
         total = weight = 0.0
         for distance, w in SMOOTHING.items():
             for j in {i - distance, i + distance}:
-                if 0 <= j < len(values) and found[j].aside == found[i].aside:
+                if 0 <= j < len(values) and (found[j].aside, found[j].marked) == (found[i].aside, found[i].marked):
                     total += w * values[j]
                     weight += w
         return total / weight
@@ -249,28 +262,62 @@ def fused_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
     return fused
 
 
+def _flows(steps: tuple[str, ...]) -> bool:
+    return all(s.split(".")[0] in FLOW for s in steps)
+
+
+def _column(lead: tuple[str, ...], paths: Iterable[tuple[str, ...]], depth: int | None = None) -> list[tuple[str, ...]]:
+    """The paths of blocks beside the paragraphs of ``lead``; with the depth of a mark also those between both."""
+    inside = lead[:-1] if lead and lead[-1].split(".")[0] in FLOW else lead
+    while inside and inside[-1].split(".")[0] in FLOW - {"section"}:
+        inside = inside[:-1]
+    out = [lead]
+    for p in paths:
+        common = next((i for i, (a, b) in enumerate(zip(p, inside)) if a != b), min(len(p), len(inside)))
+        tail = p[common:]
+        if depth is None:
+            beside = common == len(inside) and len(tail) > 0
+        else:
+            beside = common >= min(depth, len(inside))
+            if tail[-1:] == ("a",) and len(p) > 1 and p[-2].split(".")[0] in _HEADINGS:
+                tail = tail[:-1]  # a headline that links to its own page
+        if p != lead and beside and _flows(tail):
+            out.append(p)
+    return out
+
+
 def main_blocks(page: str) -> list[str]:
     """Texts of the content blocks of a page, in page order."""
     found, any_marked = blocks(page)
-    weighed = [b for b in found if not b.aside and (b.marked or not any_marked)]
+    weighed = [b for b in found if not b.aside]
     if not weighed:
         return []
     ratio = fused_ratios(weighed)
-    if any_marked:  # what the page marks as its article shares the best ratio inside it
-        best = max(ratio.values())
-        ratio = dict.fromkeys(ratio, best)
-    else:
-        # blocks beside the paragraphs of the path with most text share its ratio
-        size: dict[tuple[str, ...], float] = defaultdict(float)
-        for b in weighed:
-            size[b.path] += len(b.text) * ratio[b.path]
-        lead = max(size, key=lambda p: (size[p], p))
-        inside = lead[:-1] if lead and lead[-1].split(".")[0] in FLOW else lead
-        while inside and inside[-1].split(".")[0] in FLOW - {"section"}:
-            inside = inside[:-1]
-        for p in ratio:
-            if p[: len(inside)] == inside and all(s.split(".")[0] in FLOW for s in p[len(inside) :]) and len(p) > len(inside):
-                ratio[p] = max(ratio[p], ratio[lead])
+    depths = {b.path: b.depth for b in weighed if b.marked}
+    size: dict[tuple[str, ...], float] = defaultdict(float)
+    text: dict[tuple[str, ...], int] = defaultdict(int)  # characters outside links
+    for b in weighed:
+        size[b.path] += len(b.text) * ratio[b.path]
+        text[b.path] += max(len(b.text) - b.linked, 0)
+    for p in depths:
+        ratio[p] *= MARKED
+
+    def lead_of(paths: list[tuple[str, ...]]) -> tuple[str, ...] | None:
+        return max(paths, key=lambda p: (size[p], p), default=None)
+
+    beside = [p for p in ratio if p not in depths]
+    lead = lead_of(beside)
+    column = _column(lead, beside) if lead is not None else []
+    if any_marked and sum(text[p] for p in column) <= MARKED * max(sum(text[p] for p in depths), LEAST_MARKED):
+        lead = lead_of(list(depths))
+        if lead is None:  # the article is empty
+            return []
+        column = _column(lead, depths, depths[lead])
+    # blocks beside the paragraphs of the path with most text share its ratio
+    # (a marked column shares the best one of the page: what is longer elsewhere does not replace it)
+    floor = max(ratio.values()) if lead in depths else ratio[lead]
+    for p in column:
+        ratio[p] = max(ratio[p], floor)
     limit = THRESHOLD * max(ratio.values())
     return [b.text for b in weighed if ratio[b.path] >= limit]
 

@@ -168,3 +168,26 @@ def test_an_article_inside_a_named_layout_is_the_main_part():
     page = """<body><div class="content-with-menu"><ul class="menu"><li>Home</li></ul><article><p>Body.</p></article></div>
     <div class="related"><article><p>Other</p></article></div><section id="comments"><article><p>Nice</p></article></section></body>"""
     assert html_text.main_blocks(page) == ["Body."]
+
+
+STORY = [f"Paragraph {k} of the story, with words; and more. It is long enough to count, as you can see, and goes on, and on, for a while." for k in "abcd"]
+_STORY_HTML = "".join(f"<p>{p}</p>" for p in STORY)
+
+
+def test_a_marked_teaser_does_not_replace_a_story_in_plain_boxes():
+    page = f"""<body><div class=text><h1>Title</h1>{_STORY_HTML}</div>
+    <div class=more><article><h3>Other</h3><p>Read this as well.</p></article></div></body>"""
+    assert html_text.main_blocks(page) == ["Title", *STORY]
+    assert html_text.main_blocks(page.replace("<article>", "<div role=article>").replace("</article>", "</div>")) == ["Title", *STORY]
+
+
+def test_boxes_inside_an_article_are_judged_by_ratio():
+    page = f"""<body><div class=latest><div>Other</div></div><article><h1>Title</h1><div class=body>{_STORY_HTML}<h2><a href=x>Part two</a></h2><p>Short.</p></div>
+    <div class=more><div>Get it here</div><div>Print it</div></div></article></body>"""
+    assert html_text.main_blocks(page) == ["Title", *STORY, "Part two", "Short."]
+
+
+def test_long_text_beside_an_article_does_not_replace_it():
+    long = "One very long notice, in a box of its own; it goes on, and on. " * 8
+    page = f"<body><article><h1>Title</h1>{_STORY_HTML}<p>Short.</p></article><div class=box><div>{long}</div></div></body>"
+    assert html_text.main_blocks(page)[:6] == ["Title", *STORY, "Short."]
