@@ -4,10 +4,13 @@ Lines are hashed without white space at their ends. A window is the shortest
 run of lines from some line on that has ``min_words`` words; the smallest line
 hash in it is its fingerprint, so every run of that many words that two
 documents share has a fingerprint in common. Places are joined on fingerprint
-and hash of the window: a common line in other surroundings meets nothing. All
-places but the first are extended line by line along the first one. An
-extension to the front needs no comparison: if the line before agrees as well,
-the window that begins there is itself a repeated one.
+and hash of the window: a common line in other surroundings meets nothing. Every
+window is kept, not only one for each minimum. All places but the first are
+extended as far as any earlier place goes on with the same lines: along the
+first place and, where that goes on otherwise, by the hashes of the longer runs,
+of each of which the first place is taken. An extension to the front needs no
+comparison: if the line before agrees as well, the window that begins there is
+itself a repeated one.
 
 Of every repeated run the first place, in the order of document id (null
 first), text hash and line, stays; the lines of all others are deleted, also
@@ -53,9 +56,10 @@ def lines(part: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
-    """All windows of a slice: text, first line, number of lines, fingerprint, hash, and the lines after it.
+    """All windows of a slice: text, first line, number of lines, fingerprint, hash, and longer runs.
 
-    ``tail`` holds the hashes of the following lines, as far as they have fewer than ``min_words`` words together.
+    ``tail`` holds the hashes of the window with one, two … of the following lines, as far as these have fewer than
+    ``min_words`` words together.
     """
     hashes, count, first = lines(part)
     n = len(hashes)
@@ -78,7 +82,10 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     inverse = np.multiply.accumulate(inverse)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes) * power[:n])))
     size = last - at + 1
-    whole = mix((sums[last + 1] - sums[at]) * inverse[at] + size.astype(np.uint64))
+
+    def run_hash(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
     stop = np.searchsorted(ends, ends[last] + min_words, side="left")
     tail = np.minimum(stop, first[text[at] + 1]) - last - 1
     where = np.arange(tail.sum()) - np.repeat(np.cumsum(tail) - tail, tail) + np.repeat(last + 1, tail)
@@ -87,8 +94,8 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
         "start": at - first[text[at]],
         "size": size,
         "fingerprint": low,
-        "window": whole,
-        "tail": hashes[where],
+        "window": run_hash(at, last + 1),
+        "tail": run_hash(np.repeat(at, tail), where + 1),
         "tail_size": tail,
     }
 
@@ -124,20 +131,30 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of lines [``start``, ``end``) of documents (``doc_id``, ``mark``) that occur earlier."""
     found = stage(places(docs, min_words), "windows")
     key = ["fingerprint", "window"]
-    first = found.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "start", "tail")).alias("first"))
-    first = broadcast_if_small(stage(first.filter("n > 1").drop("n"), "repeated"))
+    place = ["doc_id", "mark", "start"]
+    first = found.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*place, "tail")).alias("first"))
+    first = broadcast_if_small(stage(first.filter("n > 1"), "repeated"))
     agree = F.zip_with("tail", "first.tail", lambda a, b: a.eqNullSafe(b))
     differs = F.array_position(agree, False)
-    further = F.when(differs > 0, differs - 1).otherwise(F.size("tail")).cast("int")
+    further = F.when(differs > 0, differs - 1).otherwise(F.least(F.size("tail"), F.size("first.tail"))).cast("int")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")) & (F.col("start") == F.col("first.start"))
-    later = found.join(first, key).filter(~same)
-    return later.select("doc_id", "mark", "start", (F.col("start") + F.col("size") + further).alias("end"))
+    later = found.join(first, key).filter(~same).withColumn("further", further)
+    # runs that the first place does not have; if only one other place has the window, nobody else can
+    apart = later.filter((F.col("n") > 2) & (F.col("further") < F.size("tail")))
+    rest = F.posexplode(F.expr("slice(tail, further + 1, size(tail))")).alias("k", "run")
+    apart = stage(apart.select("window", *place, (F.col("start") + F.col("size") + F.col("further")).alias("at"), rest), "apart")
+    key = ["window", "run"]
+    before = apart.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("first"))
+    before = broadcast_if_small(stage(before.filter("n > 1").drop("n"), "extended"))
+    runs = later.select(*place, (F.col("start") + F.col("size") + F.col("further")).alias("end"))
+    longer = apart.join(before, key).filter(~same).select(*place, (F.col("at") + F.col("k") + 1).alias("end"))
+    return runs.union(longer.groupBy(*place).agg(F.max("end").alias("end")))
 
 
 def delete_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the remaining ``text``, ``n_lines`` and ``n_deleted``."""
     rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
-    # at most one run for each line of a document
+    # at most two runs for each line of a document
     runs = repeated_runs(rows, min_words).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     runs = broadcast_if_small(stage(runs.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs")), "runs"))
     joined = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")

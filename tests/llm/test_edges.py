@@ -1,5 +1,7 @@
 """Null ids and texts, empty and very long texts, ties, repeated rows, clashing names, empty tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,39 @@ def _repeats():
     return a[2], a[2], b[2]
 
 
+def test_line_dedup_extends_along_any_earlier_place(spark):
+    common = "\n".join(" ".join(f"{c}{k}" for k in range(30)) for c in "pq")
+    x, y = ("\n".join(" ".join(f"{c}{n}{k}" for k in range(10)) for n in range(3)) for c in "xy")
+    texts = [common, f"{common}\n{x}", f"{common}\n{x}", f"{common}\n{x}\nend", f"{common}\n{y}", f"{common}\n{x[:x.rindex(chr(10))]}\n{y}"]
+    found = line_dedup.delete_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    got = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in found}
+    assert got == {0: (common, 0), 1: (x, 2), 2: ("", 5), 3: ("end", 5), 4: (y, 2), 5: (y, 4)}
+
+
+def test_line_dedup_compares_with_all_earlier_places(spark):
+    draw = random.Random(5)
+    texts = ["\n".join(draw.choice(["a", "b", "c d", ""]) for _ in range(draw.randrange(12))) for _ in range(60)]
+    split = [t.split("\n") for t in texts]
+    places = []  # document, first line, end, in order
+    for k, lines in enumerate(split):
+        for a in range(len(lines)):
+            b = next((b for b in range(a + 1, len(lines) + 1) if len(" ".join(lines[a:b]).split()) >= 5), None)
+            if lines[a] and b:
+                places.append((k, a, b))
+    gone = [set() for _ in texts]
+    for n, (k, a, b) in enumerate(places):
+        for k0, a0, b0 in places[:n]:
+            if split[k0][a0:b0] != split[k][a:b]:
+                continue
+            more = 0
+            while b + more < len(split[k]) and split[k0][b0 + more : b0 + more + 1] == [split[k][b + more]]:
+                more += 1
+            gone[k] |= set(range(a, b + more))
+    found = line_dedup.delete_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 5).collect()
+    assert {r["doc_id"]: r["n_deleted"] for r in found} == {k: len(g) for k, g in enumerate(gone)}
+    assert {r["doc_id"]: r["text"] for r in found} == {k: "\n".join(x for n, x in enumerate(split[k]) if n not in g) for k, g in enumerate(gone)}
+
+
 def test_simhash(edge_docs, no_docs, edge_rows):
     found = simhash.simhash_classes(edge_docs)
     assert by_row(found, "fingerprint") == sorted(((i is not None, i or 0, f"{brute.fingerprint(t):016x}") for i, t in edge_rows), key=repr)
