@@ -8,8 +8,10 @@ its occurrences; the interval at its greatest length gives the longest match.
 
 Words are compared by 64-bit hashes. Training suffixes that begin with a word
 of no item sort outside every interval and are left out of the array. The
-benchmark is read in blocks of at most ``BLOCK_WORDS`` words; several blocks
-are searched one after another, each against all documents.
+benchmark is read in blocks of at most some ``BLOCK_WORDS`` words; several blocks
+are searched one after another, each against all documents. Verdicts need windows
+only, so longer items are cut for them into pieces that share all but one word of
+a window. ``longest_matches`` keeps items whole.
 
 Null texts have no words and are never contaminated. Rows are judged one by
 one, so repeated rows and ids get equal results. An item without id counts as
@@ -19,6 +21,7 @@ marks nothing; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.llm.flat import LETTERED, Flat, flat, plain, slices, words
+from cardfeat.llm.flat import LETTERED, Flat, flat, mix, plain, slices, words
 from cardfeat.llm.tables import small_batches
 from cardfeat.session import stage
 
@@ -36,6 +39,9 @@ WINDOW = 13
 HIT_SHARE = 20
 #: Words of the benchmark that one pass holds, in every task.
 BLOCK_WORDS = 4_000_000
+_BASE = 0x9E3779B97F4A7C15
+#: A word as in LETTERED, before letters are lowered.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 @dataclass
@@ -68,11 +74,19 @@ def read_items(ids: list[str], texts: list[str], window: int = WINDOW) -> Items:
     wanted = w.first[text] + counts[text] - np.arange(len(text)) >= size[text]
     at = np.flatnonzero(wanted)
     sizes, rests = size[text[at]], (w.first[text] + counts[text] - np.arange(len(text)))[at]
+    power = np.full(len(text) + 1, _BASE, dtype=np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    inverse = np.full(len(text) + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+    inverse[0] = 1
+    inverse = np.multiply.accumulate(inverse)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(w.hashes) * power[: len(text)])))
+    rest_hashes = (sums[at + rests] - sums[at]) * inverse[at]
     groups: dict[tuple, int] = {}
     starts, owners, places, keep = [], [], [], []
     for k, i in enumerate(at):
-        # suffixes with the same words to the end of their item need one search
-        key = (int(sizes[k]), codes[moved[i] : moved[i] + rests[k]].tobytes())
+        # suffixes with the same words to the end of their item need one search; they are told apart by hashes
+        key = (int(sizes[k]), int(rests[k]), int(rest_hashes[k]))
         g = groups.setdefault(key, len(starts))
         if g == len(starts):
             starts.append(moved[i])
@@ -244,19 +258,36 @@ def hits(part: Flat, items: Items) -> tuple[np.ndarray, dict[int, tuple[list[tup
     return s.counts, found
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[Items]:
-    """The benchmark in blocks of a bounded number of words."""
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about ``BLOCK_WORDS`` words, each window in one of them."""
+    starts, end = [], 0  # of the words of a piece
+    step = max(BLOCK_WORDS, WINDOW)
+    for word in _WORD.finditer(text):
+        if len(starts) == step + WINDOW - 1:
+            yield text[starts[0] : end]
+            starts = starts[step:]
+        starts.append(word.start())
+        end = word.end()
+    if starts:
+        yield text[starts[0] : end]
+
+
+def _blocks(benchmark: DataFrame, key: str, text: str, whole: bool = False) -> Iterator[Items]:
+    """The benchmark in blocks of a bounded number of words, or at least one ``whole`` item."""
     ids: list[str] = []
     texts: list[str] = []
     size = 0
     rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     for row in rows.toLocalIterator():
-        ids.append(row["k"])
-        texts.append(row["t"])
-        size += len(row["t"]) // 2 + 1  # a word and what follows it have two characters at least
-        if size >= BLOCK_WORDS:
-            yield read_items(ids, texts)
-            ids, texts, size = [], [], 0
+        # a word and what follows it have two characters at least
+        short = whole or len(row["t"]) // 2 + 1 <= BLOCK_WORDS
+        for piece in (row["t"],) if short else _pieces(row["t"]):
+            ids.append(row["k"])
+            texts.append(piece)
+            size += len(piece) // 2 + 1
+            if size >= BLOCK_WORDS:
+                yield read_items(ids, texts)
+                ids, texts, size = [], [], 0
     if ids:
         yield read_items(ids, texts)
 
@@ -352,7 +383,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "item_id string, item_word int, n_words int, doc_id bigint, doc_word int"
     parts = []
-    for items in _blocks(benchmark, item, "text"):
+    for items in _blocks(benchmark, item, "text", whole=True):
         shared = rows.sparkSession.sparkContext.broadcast(items)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Null ids and texts, empty and very long texts, ties, repeated rows, clashing names, empty tables."""
 
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,29 @@ def test_decontaminate(spark, edge_docs, no_docs, edge_rows, items, monkeypatch)
     assert decontaminate.contamination(no_docs, items).count() == 0
 
 
+def test_long_items_take_memory_in_proportion():
+    text = " ".join(f"w{k}" for k in range(6_000))
+    tracemalloc.start()
+    items = decontaminate.read_items(["1", "2"], [text, "x " + text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(items.starts) == 6_000 - 12 + 1 and peak < 40 << 20
+    assert items.owners[0] == ["1", "2"] and items.places[0] == [("1", 0), ("2", 1)]
+
+
+def test_long_items_are_cut_without_loss(spark, monkeypatch):
+    words = [f"W{k}" for k in range(100)]
+    docs = [(a, " ".join(words[a : a + 13])) for a in range(88)] + [(100, " ".join(words[50:62])), (101, ", ".join(words).lower())]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "; ".join(words)), (8, "W3 w4")], "item_id bigint, text string")
+    want = sorted(map(tuple, decontaminate.contamination(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 30)
+    sizes = [b.depth for b in decontaminate._blocks(items, "item_id", "text")]
+    assert len(sizes) > 2 and max(sizes) <= 42
+    assert sorted(map(tuple, decontaminate.contamination(docs, items).collect())) == want
+    assert [r[2] for r in want if r[0] == 100] == [0]
+
+
 def test_longest_matches(spark):
     words = [f"w{k}" for k in range(40)]
     docs = [(1, " ".join(words[5:25])), (2, "x " + " ".join(words[3:20])), (3, "nothing here")]
