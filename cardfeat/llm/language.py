@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, slices
-from cardfeat.llm.tables import small_batches
+from cardfeat.llm.tables import cut_rows, small_batches
 
 #: Documents of each language that training reads at most, and windows taken from each.
 SAMPLE, CROPS = 1200, 3
@@ -186,6 +186,8 @@ def _sample(docs: DataFrame, learn: Column) -> tuple[list[str], np.ndarray, np.n
     limits = [x for lang in languages for x in (F.lit(lang), F.lit(min(scale, int(scale * 1.1 * SAMPLE / counts[lang]) + 1)))]
     mark = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.length("text")), F.lit(scale))
     chosen = known.select("text", "lang", mark.alias("mark")).filter(F.col("mark") < F.create_map(*limits)[F.col("lang")])
+    # rows that share id and length share a mark
+    chosen = cut_rows(chosen, "lang", dict.fromkeys(languages, int(1.1 * SAMPLE)), F.xxhash64("mark", "text"))
 
     def crop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

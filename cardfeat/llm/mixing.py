@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import LETTERED, Flat, lowered, mix, slices, words
 from cardfeat.llm.quality_classifier import STATISTICS, statistics
-from cardfeat.llm.tables import one_label, small_batches, with_label
+from cardfeat.llm.tables import cut_rows, one_label, small_batches, with_label
 from cardfeat.session import stage
 
 #: Domains of the labels table and their wanted shares of the expected tokens.
@@ -134,12 +134,17 @@ def fit_memberships(found: list[np.ndarray], values: list[np.ndarray], stats: np
 
 
 def label_sample(docs: DataFrame, labels: DataFrame, domain: Column) -> DataFrame:
-    """At most about SAMPLE labelled documents (``doc_id``, ``text``, ``_value``), chosen by a hash of the id."""
+    """At most about SAMPLE labelled documents (``doc_id``, ``text``, ``_value``), chosen by a hash of the id.
+
+    Where ids repeat so often that there are more rows, each label keeps a share by its ids, or 100 rows.
+    """
     labelled = one_label(labels, domain)
     share = SAMPLE / max(labelled.count(), 1)
     if share < 1:
         labelled = labelled.filter(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return with_label(docs, labelled, columns=("doc_id", "text"))
+    ids = {r["_value"]: r["n"] for r in labelled.groupBy("_value").agg(F.count("*").alias("n")).collect()}
+    limits = {value: max(100, SAMPLE * n // sum(ids.values())) for value, n in ids.items()}
+    return cut_rows(with_label(docs, labelled, columns=("doc_id", "text")), "_value", limits, F.xxhash64("doc_id", "text"))
 
 
 def learn_memberships(docs: DataFrame, labels: DataFrame, domains: int = len(TARGETS), domain: Column | None = None) -> Memberships:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardfeat.operators.skew import is_small
@@ -46,3 +46,20 @@ def with_label(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", column
     if is_small(labelled, SMALL_KEYS):
         labelled = F.broadcast(labelled)
     return docs.join(labelled, docs[key] == labelled["_key"]).select(*(docs[c] for c in columns), labelled["_value"])
+
+
+def cut_rows(rows: DataFrame, group: str, limits: dict, row: Column) -> DataFrame:
+    """The rows, or about ``limits[group]`` of each group where one has more than a quarter too many.
+
+    ``row`` is a hash of all that tells rows apart: rows alike count as one, and others are chosen by a hash of it.
+    Groups without a limit keep nothing.
+    """
+    counts = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).collect()}
+    if all(n <= 1.25 * limits.get(g, 0) for g, n in counts.items()):
+        return rows
+    hashed = rows.withColumn("_row", row)
+    alike = hashed.select(group, "_row").distinct().groupBy(group).agg(F.count("*").alias("n"))
+    scale = 1 << 30
+    shares = {r[group]: min(scale, int(scale * limits.get(r[group], 0) / r["n"])) for r in alike.collect()}
+    share = F.create_map(*(x for g, n in shares.items() for x in (F.lit(g), F.lit(n))))[F.col(group)]
+    return hashed.filter(F.pmod(F.xxhash64("_row", F.lit(7)), F.lit(scale)) < share).dropDuplicates([group, "_row"]).drop("_row")

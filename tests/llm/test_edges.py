@@ -219,6 +219,36 @@ def test_mixing(edge_docs, no_docs, edge_labels, no_labels, edge_rows):
     assert mixing.sample_mix(no_docs, edge_labels).count() == 0
 
 
+def test_rows_of_one_id_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SAMPLE", 400)
+    rows = [(1, f"text {k}") for k in range(4_000)] + [(2, "always the same")] * 4_000 + [(k, f"other {k}") for k in range(3, 203)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 203)], "doc_id bigint, quality int, toxic int")
+    sample = mixing.label_sample(docs, labels, mixing.label_domain()).collect()
+    assert 200 <= len(sample) <= 500 and {r["_value"] for r in sample} == {0, 1}
+    assert sorted(mixing.label_sample(docs.repartition(3), labels, mixing.label_domain()).collect()) == sorted(sample)
+
+
+def test_rows_without_id_do_not_fill_the_language_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 40)
+    rows = [(None, f"text {k:05}", "en") for k in range(4_000)] + [(None, "ever alike", "en")] * 4_000 + [(k, f"andere {k}", "de") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    seen = []
+    to_pandas = type(docs).toPandas
+
+    def counted(frame):
+        seen.append(to_pandas(frame))
+        return seen[-1]
+
+    monkeypatch.setattr(type(docs), "toPandas", counted)
+    # the mark that all rows of one length share may or may not be in the sample, so several lengths are tried
+    for more in range(60):
+        language._sample(docs.withColumn("text", F.concat("text", F.lit("x" * more))), F.lit(True))
+        if len(seen[-1]) > 30:
+            break
+    assert 30 < len(seen[-1]) <= 30 + 2 * 44
+
+
 def test_html(spark):
     page = "<html><body><nav>Menu</nav><article><h1>T</h1><p>Tom &amp; Jerry\n run.<p>x<div class=ad>Buy</div></article></body></html>"
     rows = [(1, "u", page), (2, None, None), (None, "v", ""), (1, "u", page), (3, "w", "<p>" + "long text, more. " * 100_000)]
