@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, html_text, language, line_dedup, mixing, secrets, simhash, token_files
+from cardfeat.llm import decontaminate, fill_in_middle, html_text, language, line_dedup, mixing, secrets, simhash, token_files
 from cardfeat.llm import quality_classifier as classifier
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
@@ -90,3 +90,8 @@ def op3_line_dedup(spark, d):
 @query
 def op9_mixing(spark, d):
     return mixing.mix_rates(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query
+def op13_fill_in_middle(spark, d):
+    return fill_in_middle.digest(fill_in_middle.fill_in_middle(read(spark, d, "documents")))

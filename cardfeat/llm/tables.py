@@ -15,6 +15,8 @@ SCHEMAS = {
     "labels": "doc_id bigint, quality int, toxic int",
     "benchmark": "item_id bigint, text string",
     "pages": "page_id bigint, url string, html string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
