@@ -13,7 +13,7 @@ import duckdb
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
