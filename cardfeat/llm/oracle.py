@@ -55,3 +55,38 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(text) AS restored_sha256
 FROM parts
 """
+
+_BITS = "list_concat([ascii(c)], list_transform(range(8), lambda k: -1))"
+_BYTES = f"flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: {_BITS}))"
+_STEP = "CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END"
+_CRC32 = f"xor(list_reduce(list_concat([4294967295], {_BYTES}), lambda a, x: {_STEP}), 4294967295)"
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+named AS (
+  SELECT conv_id, turn, substr(sha256(strlen(role) || ':' || role || text), 1, 32) AS hash, strlen(text) AS size FROM t),
+own AS (
+  SELECT conv_id, list(hash ORDER BY turn NULLS FIRST, hash) AS hashes, list(size ORDER BY turn NULLS FIRST, hash) AS sizes
+  FROM named GROUP BY conv_id),
+headed AS (SELECT *, conv_id - conv_id % 5 AS family, {_CRC32} % 9 AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(f.hashes, [])[1:h], c.hashes[h + 1:]) AS hashes,
+    list_concat(coalesce(f.sizes, [])[1:h], c.sizes[h + 1:]) AS sizes
+  FROM headed c LEFT JOIN own f ON f.conv_id = c.family),
+prefixes AS (
+  SELECT conv_id, d, d = len(hashes) AS is_end, sha256(array_to_string(hashes[1:d], '')) AS node,
+    CASE WHEN d > 0 THEN sha256(array_to_string(hashes[1:d - 1], '')) END AS parent, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size
+  FROM (SELECT *, unnest(range(0, len(hashes) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, any_value(d) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CASE WHEN is_end THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefixes GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT p.node, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.depth LEFT JOIN children c ON c.node = n.node GROUP BY p.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+  b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN below b ON b.node = n.node
+"""
