@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardfeat.llm import decontaminate, fill_in_middle, html_text, language, line_dedup, mixing, prefix_trie, secrets, simhash, token_files
+from cardfeat.llm import cross_polytope, decontaminate, fill_in_middle, html_text, language, line_dedup, mixing, prefix_trie, secrets, simhash, token_files
 from cardfeat.llm import quality_classifier as classifier
 from cardfeat.llm import quality_rules as rules
 from cardfeat.llm.tables import read
@@ -92,6 +92,11 @@ def op9_mixing(spark, d):
     return mixing.mix_rates(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+@query
+def op11_cross_polytope(spark, d):
+    return cross_polytope.linked_vectors(read(spark, d, "embeddings"))
+
+
 @query
 def op12_prefix_trie(spark, d):
     return prefix_trie.prefix_trie(prefix_trie.rebuilt_paths(read(spark, d, "conversations")))
