@@ -9,6 +9,7 @@ that every fit starts from finished vectors.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardfeat.operators.folds import add_fold
+from cardfeat.operators.patience import PatientBoosting, PatientClassifier
+from cardfeat.operators.trees import node_table, split_counts
 from cardfeat.session import materialize
 
 #: Fixed values of the learners that have a counterpart in Spark: minimum rows
@@ -71,6 +74,17 @@ def outlier_classifier(label: str = "outliers", rounds: int = 50, depth: int = 5
     return GBTClassifier(**{**settings, **extra})
 
 
+def patient(label: str = "target", **settings) -> PatientBoosting:
+    """Boosting until the held-out fold stops getting better, as far as 10,000 rounds."""
+    shares = dict(min_rows=MIN_ROWS, feature_share=FEATURE_SHARE, row_share=ROW_SHARE, seed=SAMPLING_SEED)
+    return PatientBoosting(label, **{**shares, **settings})
+
+
+def patient_classifier(label: str = "outliers", **settings) -> PatientClassifier:
+    shares = dict(min_rows=1, feature_share="0.64", row_share=0.8, seed=SAMPLING_SEED)
+    return PatientClassifier(label, **{**shares, **settings})
+
+
 def predicted(model: Model) -> Column:
     """The score column of a fitted model's output: P(1) for a classifier."""
     if model.hasParam("probabilityCol"):
@@ -98,8 +112,20 @@ class CrossValidated:
     models: list[Model]
     inputs: list[str]
 
-    def importances(self) -> DataFrame:
-        """Importance of every feature in every fold (folds x features rows)."""
+    def nodes(self) -> DataFrame:
+        """One row per node of every fold's trees."""
+        return node_table(self.scores.sparkSession, self.models, self.inputs)
+
+    def importances(self, kind: str = "gain") -> DataFrame:
+        """Importance of every feature in every fold (folds x features rows).
+
+        ``gain``: the share of the impurity that splits on the feature take away. ``split``: how
+        many nodes split on it.
+        """
+        if kind == "split":
+            return split_counts(self.nodes(), self.inputs)
+        if kind != "gain":
+            raise ValueError(f"unknown kind of importance {kind!r}")
         spark = self.scores.sparkSession
         rows = [
             (name, float(value), fold)
@@ -110,7 +136,9 @@ class CrossValidated:
 
 
 def _fit(learner: Estimator, train: DataFrame, fold: int) -> Model:
-    """Fit on all other folds; a learner with early stopping watches this one."""
+    """Fit on all other folds; a learner with early stopping watches this one, and one with a folder keeps a part of it for each."""
+    if isinstance(learner, PatientBoosting) and learner.path:
+        learner.path = f"{learner.path}/fold-{fold}"
     if learner.hasParam("validationIndicatorCol") and learner.isSet("validationIndicatorCol"):
         return learner.fit(train.withColumn(learner.getValidationIndicatorCol(), F.col("fold") == fold))
     return learner.fit(train.filter(F.col("fold") != fold))
@@ -138,8 +166,8 @@ def cross_validate(
     train, test = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "test")
     # the fits are separate Spark jobs; side by side they fill each other's gaps
     with ThreadPool(min(folds, parallelism)) as pool:
-        fit = inheritable_thread_target(df.sparkSession)(lambda fold: _fit(learner(), train, fold))
-        models = pool.map(fit, range(folds))
+        fit = inheritable_thread_target(df.sparkSession)(lambda fold, scope: scope.run(_fit, learner(), train, fold))
+        models = pool.starmap(fit, [(fold, copy_context()) for fold in range(folds)])
     held_out = [
         model.transform(train.filter(F.col("fold") == fold)).select(key, "split", "fold", predicted(model).alias(name))
         for fold, model in enumerate(models)

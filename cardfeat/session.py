@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,26 +79,55 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 _STAGED: list[str] = []
+#: Where the folders of the innermost :func:`stage_scope` are listed.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("stages", default=None)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder next to the checkpoints, readable by every executor; it is deleted with the stages."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    (_STAGED if scope is None else scope).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Unlike a row checkpoint the result keeps column pruning and size
-    statistics. The files stay until :func:`drop_stages`, since the frame that
-    is returned is read lazily.
+    statistics. The files stay until the end of the :func:`stage_scope`, or
+    until :func:`drop_stages`, since the frame that is returned is read lazily.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> None:
-    """Delete what :func:`stage` wrote; frames that read it must be done."""
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark._jvm
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete what was staged outside of any scope; frames that read it must be done."""
+    _delete(spark, _STAGED)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at its end all that is staged inside, and nothing else.
+
+    Results must be written or collected before the end. Scopes may be nested,
+    and each thread has its own.
+    """
+    staged: list[str] = []
+    token = _SCOPE.set(staged)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, staged)

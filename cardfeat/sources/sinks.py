@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from cardfeat.session import scratch_path
 
-from cardfeat.session import ensure_checkpoint_dir
+__all__ = ["fill_template", "scratch_path", "write_csv", "write_parquet"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -22,8 +22,3 @@ def fill_template(template: DataFrame, predictions: DataFrame, key: str = "card_
     """The template's keys with the predicted target; a missing one is null."""
     return template.select(key).join(predictions.select(key, "target"), key, "left")
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder next to the checkpoints, readable by every executor."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
