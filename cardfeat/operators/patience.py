@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from cardfeat.session import ensure_checkpoint_dir, scratch_path
 
-#: Rounds at most, and rounds without a better one after which a run ends.
-ROUNDS, PATIENCE = 10_000, 150
+#: Rounds at most, rounds without a better one after which a run ends, weight of a tree.
+ROUNDS, PATIENCE, STEP = 10_000, 150, 0.005
 CHUNK = 25
 #: Held-out probabilities are kept this far from 0 and 1 in the log loss.
 _EDGE = 1e-12
@@ -109,7 +109,7 @@ class PatientBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         patience: int = PATIENCE,
         chunk: int = CHUNK,
         depth: int = 5,
-        step: float = 0.1,
+        step: float = STEP,
         min_rows: int = 30,
         feature_share: str = "0.9",
         row_share: float = 0.9,

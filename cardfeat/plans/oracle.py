@@ -994,6 +994,16 @@ _add(
     f"SELECT learner, card_id, split, {_fold(5)} AS fold, CAST(1 AS BIGINT) AS n, TRUE AS scored FROM cards, "
     "(SELECT unnest(['boosted', 'forest', 'outliers']) AS learner)",
 )
+_add(
+    "patience_cover",
+    f"SELECT learner, card_id, split, {_fold(5)} AS fold, CAST(1 AS BIGINT) AS n, TRUE AS scored, TRUE AS in_time FROM cards, "
+    "(SELECT unnest(['patient', 'patient_outliers']) AS learner)",
+)
+_add(
+    "tree_splits",
+    "SELECT unnest(range(1, 6)) AS fold, CAST(100 AS BIGINT) AS trees, CAST(24 AS BIGINT) AS inputs, TRUE AS splits_fit, "
+    "TRUE AS leaves_fit, TRUE AS rows_fit",
+)
 _add("importance_totals", "SELECT unnest(range(1, 6)) AS fold, CAST(24 AS BIGINT) AS inputs, CAST(1 AS DOUBLE) AS total")
 _add(
     "importance_ranking",

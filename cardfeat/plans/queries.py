@@ -17,6 +17,7 @@ from cardfeat.functions.scoring import GRID
 from cardfeat.functions.stats import SUM_DIGITS
 from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, rfm, rollup
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
+from cardfeat.operators.trees import split_counts
 from cardfeat.plans import assemble
 from cardfeat.plans import features as feat
 from cardfeat.plans import specs
@@ -830,8 +831,7 @@ def feature_table(spark, d):
 @query
 def stacked_submission(spark, d):
     """Three learners, stacked; the test cards' scores in template form."""
-    learners = (_boosted, _forest, lambda: models.boosted(rounds=ROUNDS, depth=3, step=0.2, seed=models.SAMPLING_SEED + 1))
-    scores = assemble.stacked_scores(materialize(_model_table(spark, d)), MODEL_FEATURES, learners, FOLDS)
+    scores = assemble.stacked_scores(materialize(_model_table(spark, d)), MODEL_FEATURES, n_folds=FOLDS)
     template = cards(spark, d).filter(F.col("split") == "test")
     return sinks.fill_template(template, scores.select("card_id", F.col("stacked").alias("target")))
 
@@ -839,7 +839,7 @@ def stacked_submission(spark, d):
 @query
 def routed_submission(spark, d):
     template = cards(spark, d).filter(F.col("split") == "test")
-    scores = assemble.routed_scores(_model_table(spark, d), MODEL_FEATURES, STACK_FOLDS, _risk_learner, _boosted)
+    scores = assemble.routed_scores(_model_table(spark, d), MODEL_FEATURES, STACK_FOLDS)
     return sinks.fill_template(template, scores)
 
 
@@ -847,7 +847,7 @@ def routed_submission(spark, d):
 def wide_submission(spark, d):
     """The whole feature table to folds, learner and template."""
     template = cards(spark, d).filter(F.col("split") == "test")
-    scores = assemble.wide_scores(feature_table(spark, d), _boosted, STACK_FOLDS).scores
+    scores = assemble.wide_scores(feature_table(spark, d), n_folds=STACK_FOLDS).scores
     return sinks.fill_template(template, scores.select("card_id", F.col("prediction").alias("target")))
 
 
@@ -880,22 +880,6 @@ def rfm_feature_table(spark, d):
 
 # ---- learners --------------------------------------------------------------
 
-#: Rounds and trees of the registered learners; the library's defaults are 50 and 100.
-ROUNDS, TREES = 10, 20
-
-
-def _boosted():
-    return models.boosted(rounds=ROUNDS)
-
-
-def _forest():
-    return models.forest(trees=TREES)
-
-
-def _risk_learner():
-    return models.outlier_classifier(rounds=ROUNDS)
-
-
 def _model_table(spark, d):
     """Card features, frequency and value of both periods, and the lags."""
     profile = readers.card_profile(_with_reference(spark, d), PERIOD_START)
@@ -917,37 +901,61 @@ def impute_flags(spark, d):
 
 @query
 def gbt_oof(spark, d):
-    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _boosted, STACK_FOLDS).scores
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.boosted, STACK_FOLDS).scores
 
 
 @query
 def rf_oof(spark, d):
-    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _forest, FOLDS).scores
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.forest, FOLDS).scores
 
 
 @query
 def outlier_classifier(spark, d):
-    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "outliers", _risk_learner, STACK_FOLDS)
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "outliers", models.outlier_classifier, STACK_FOLDS)
     return run.scores
 
 
-def _learners():
-    return {
-        "boosted": ("target", lambda: models.boosted(rounds=3)),
-        "forest": ("target", lambda: models.forest(trees=3, depth=3)),
-        "outliers": ("outliers", lambda: models.outlier_classifier(rounds=3)),
-    }
+#: With a tree's weight of 0.1 instead of 0.005 a twentieth of the rounds goes as far.
+PATIENT = dict(step=0.1, rounds=500, patience=8, chunk=8)
+#: The same with half the patience, where only the rule itself is looked at.
+IMPATIENT = {**PATIENT, "patience": 4, "chunk": 4}
+
+
+def _patient():
+    return models.patient(**PATIENT)
 
 
 @query
-def learner_cover(spark, d):
+def patient_oof(spark, d):
+    """Boosting that ends once the held-out fold has not got better for some rounds."""
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _patient, STACK_FOLDS).scores
+
+
+def _cover(table, name: str, label: str, learner):
     """What must hold of any learner's scores: every card once, in its fold, with a score, probabilities in range."""
+    run = models.cross_validate(table, MODEL_FEATURES, label, learner, STACK_FOLDS)
+    in_range = F.col("prediction").isNotNull() & (F.lit(label == "target") | F.col("prediction").between(0, 1))
+    cover = run.scores.groupBy("card_id", "split", "fold").agg(F.count("*").alias("n"), F.bool_and(in_range).alias("scored"))
+    return cover.withColumn("learner", F.lit(name)), run
+
+
+@query
+def learner_cover(spark, d):
     table = materialize(_model_table(spark, d))
-    parts = []
-    for name, (label, learner) in _learners().items():
-        scores = models.cross_validate(table, MODEL_FEATURES, label, learner, STACK_FOLDS).scores
-        in_range = F.col("prediction").isNotNull() & (F.lit(label == "target") | F.col("prediction").between(0, 1))
-        parts.append(scores.groupBy("card_id", "split", "fold").agg(F.count("*").alias("n"), F.bool_and(in_range).alias("scored")).withColumn("learner", F.lit(name)))
+    learners = {"boosted": ("target", models.boosted), "forest": ("target", models.forest), "outliers": ("outliers", models.outlier_classifier)}
+    return joins.stack_rows(*(_cover(table, name, *how)[0] for name, how in learners.items()))
+
+
+@query
+def patience_cover(spark, d):
+    """The same of the learners with patience, and that each of their runs ended as soon as it could."""
+    table, parts = materialize(_model_table(spark, d)), []
+    for name, label, learner in (("patient", "target", models.patient), ("patient_outliers", "outliers", models.patient_classifier)):
+        cover, run = _cover(table, name, label, lambda learner=learner: learner(**IMPATIENT))
+        waited = [(k, len(m.errors) - m.rounds, len(m.errors), m.errors[m.rounds - 1] <= min(m.errors)) for k, m in enumerate(run.models)]
+        waited = spark.createDataFrame(waited, "fold bigint, waited int, run int, best boolean")
+        in_time = F.col("best") & ((F.col("run") == IMPATIENT["rounds"]) | F.col("waited").between(IMPATIENT["patience"], IMPATIENT["patience"] + IMPATIENT["chunk"] - 1))
+        parts.append(cover.join(F.broadcast(waited.select("fold", in_time.alias("in_time"))), "fold"))  # a row per fold
     return joins.stack_rows(*parts)
 
 
@@ -955,11 +963,42 @@ def learner_cover(spark, d):
 def importance_totals(spark, d):
     """The importances of every fold's model: one of each input, adding up to 1."""
     table = materialize(_model_table(spark, d))
-    run = models.cross_validate(table, MODEL_FEATURES, "target", lambda: models.forest(trees=3, depth=3), STACK_FOLDS)
+    run = models.cross_validate(table, MODEL_FEATURES, "target", models.forest, STACK_FOLDS)
     sums = run.importances().groupBy("fold").agg(F.count_distinct("feature").alias("inputs"), F.sum("importance").alias("total"))
     return sums.select(F.col("fold").cast("bigint").alias("fold"), "inputs", _r(F.col("total")).alias("total"))
 
 
+@query
+def tree_splits(spark, d):
+    """The node tables of every fold's forest: trees, inputs, and how inner nodes, leaves and rows fit together."""
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.forest, STACK_FOLDS)
+    nodes = materialize(run.nodes())
+    inner = F.col("feature").isNotNull()
+    per_tree = nodes.groupBy("fold", "tree").agg(F.count_if(inner).alias("inner"), F.count_if(~inner).alias("leaves"))
+    shape = per_tree.groupBy("fold").agg(
+        F.count("*").alias("trees"), F.sum("inner").alias("inner"), F.bool_and(F.col("leaves") == F.col("inner") + 1).alias("leaves_fit")
+    )
+    side = nodes.select("fold", "tree", F.col("node").alias("below"), F.col("rows").alias("rows_below"))
+    parents = nodes.filter(inner).select("fold", "tree", "node", "rows", F.explode(F.array("left", "right")).alias("below"))
+    sums = parents.join(side, ["fold", "tree", "below"]).groupBy("fold", "tree", "node", "rows").agg(F.sum("rows_below").alias("sum"))
+    fit = sums.groupBy("fold").agg(F.bool_and(F.col("sum") == F.col("rows")).alias("rows_fit"))
+    counts = split_counts(nodes, run.inputs).groupBy("fold").agg(F.count("*").alias("inputs"), F.sum("importance").alias("splits"))
+    joined = shape.join(counts, "fold").join(fit, "fold", "left")
+    return joined.select(
+        F.col("fold").cast("bigint").alias("fold"), "trees", "inputs", (F.col("splits") == F.col("inner")).alias("splits_fit"),
+        "leaves_fit", F.coalesce("rows_fit", F.lit(True)).alias("rows_fit"),
+    )
+
+
+@query
+def split_importance(spark, d):
+    """Features by the number of nodes that split on them, averaged over folds; the strongest with their counts per fold."""
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.boosted, STACK_FOLDS)
+    table = materialize(run.importances("split"))
+    top = models.mean_importance(table)
+    return joins.keep_listed(table, top, "feature").join(top.withColumnRenamed("importance", "mean_importance"), "feature")
+
+
 @query
 def importance_ranking(spark, d):
     """Tables per fold, appended; features by their mean, the strongest kept in all folds.
@@ -981,7 +1020,7 @@ def importance_ranking(spark, d):
 
 @query
 def feature_importance(spark, d):
-    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _boosted, STACK_FOLDS)
+    run = models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", models.boosted, STACK_FOLDS)
     table = run.importances()
     top = models.mean_importance(table)
     best = joins.keep_listed(table, top, "feature")
