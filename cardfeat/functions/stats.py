@@ -8,8 +8,9 @@ Sums of doubles depend on the order in which tasks deliver their parts. With
 ``digits`` set, the whole parts and the fractions (to ``SUM_DIGITS`` decimals)
 are added up apart, both as whole numbers, so that a rerun or a retried task
 gives the same sum and mean to the last bit; spreads are rounded to ``digits``.
-This holds while the whole parts add up to less than some 10^15. Infinite terms
-give an infinite sum, both infinities none.
+This holds while the whole parts add up to less than 2^53 (some 10^16); beyond,
+a sum is right to the accuracy of doubles. Nothing overflows below 2^43 (some
+10^13) terms. Infinite terms give an infinite sum, both infinities none.
 """
 
 from __future__ import annotations
@@ -31,15 +32,28 @@ def _stable(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
-def _sum(column: Column, fractional: bool, digits: int | None) -> Column:
-    if not fractional or digits is None:
-        return F.sum(column)
+#: Bits of the low limb of a fraction: 2**43 limbs fit into a bigint.
+LIMB = 20
+
+
+def _exact_sum(column: Column) -> Column:
+    """The sum of doubles on a grid of ``SUM_DIGITS`` decimals: the same for any order of the terms.
+
+    Whole parts are added up as doubles, which is exact up to 2**53. What the grid has beside them is
+    a whole number of units; its high and its low part are added up apart, so neither can overflow.
+    """
     whole = F.rint(column)
     scale = 10.0**SUM_DIGITS
-    # what a term on the grid has beside its whole part; very large and infinite terms have nothing
-    grid = F.when(F.abs(column) < 1e15, (F.rint(column * scale) - whole * scale).cast("bigint"))
-    added = F.sum(whole) + F.coalesce(F.sum(grid), F.lit(0)) / F.lit(10.0**SUM_DIGITS)
-    return F.nanvl(F.round(added, SUM_DIGITS), F.lit(None))
+    # very large and infinite terms have nothing beside their whole part
+    units = F.when(F.abs(column) < 1e15, (F.rint(column * scale) - whole * scale).cast("bigint"))
+    high, low = F.sum(F.shiftright(units, LIMB)), F.sum(units.bitwiseAND(F.lit((1 << LIMB) - 1).cast("bigint")))
+    # both parts are exact; together they stay so below 2**53 units, and else are one rounding off
+    rest = F.coalesce(high * float(1 << LIMB) + low, F.lit(0.0))
+    return F.nanvl(F.round(F.sum(whole) + rest / scale, SUM_DIGITS), F.lit(None))
+
+
+def _sum(column: Column, fractional: bool, digits: int | None) -> Column:
+    return F.sum(column) if not fractional or digits is None else _exact_sum(column)
 
 
 def total(column: Column, fractional: bool, digits: int | None = None) -> Column:

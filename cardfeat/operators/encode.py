@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardfeat.functions.scalars import joined_digits
+from cardfeat.functions.stats import total
 from cardfeat.operators.joins import lookup, spread_lookup
+from cardfeat.operators.positions import number_by
 from cardfeat.operators.skew import HOT_ROWS, SMALL_LOOKUP, is_small
 from cardfeat.session import materialize
 
@@ -52,28 +55,15 @@ def dense_index(df: DataFrame, column: str, name: str, small: int = SMALL_LOOKUP
 
     The values are written to the checkpoint folder, so the rows are read for
     them only once. A small set is numbered in one task. A larger one is
-    range-partitioned, numbered inside each partition and shifted by the
-    partitions before; it is written again in that order, since a second run
-    of the range split could cut elsewhere.
+    range-partitioned and numbered there (:func:`number_by`); above 2^31 values
+    the positions are bigint.
     """
     values = materialize(df.select(column).dropna().distinct())
     if is_small(values, small):
         return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1), True
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = materialize(
-        values.repartitionByRange(parts, column)
-        .sortWithinPartitions(column)
-        .select(column, F.spark_partition_id().alias("_part"), in_part.alias("_pos"))
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ordered.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    indexed = ordered.join(F.broadcast(starts), "_part")  # at most one row per partition
-    return indexed.select(column, (F.col("_start") + F.col("_pos")).cast("int").alias(name)), False
+    indexed = number_by(values, [column], name)
+    # positions fit into an int unless there are more values than ints
+    return indexed.withColumn(name, F.col(name).cast("int")) if values.count() <= 1 << 31 else indexed, False
 
 
 def index_column(
@@ -86,6 +76,27 @@ def index_column(
     return spread_lookup(df, index, [column], "left", hot_rows)
 
 
+def sparse_one_hot(df: DataFrame, column: str, name: str | None = None, small: int = SMALL_LOOKUP) -> tuple[DataFrame, DataFrame]:
+    """One sparse vector of 0 and 1 per row, however many values the column has.
+
+    Returns the rows with the vector ``<column>_one_hot`` in place of the column, and the values
+    with their position in it (in sorted order). Null gives a vector of zeros. The vector
+    goes into :func:`cardfeat.operators.models.cross_validate` as one of its ``vectors``.
+    """
+    name = name or f"{column}_one_hot"
+    position = f"_{name}_position"
+    index, few = dense_index(df, column, position, small)
+    many = index.count()
+    placed = df.join(F.broadcast(index), column, "left") if few else spread_lookup(df, index, [column], "left")
+    # Spark's encoder drops the last of the values it is told of: the one that stands for null
+    told = {"ml_attr": {"type": "nominal", "num_vals": many + 1, "name": position}}
+    known = F.coalesce(F.col(position), F.lit(many)).cast("double").alias(position, metadata=told)
+    rest = [c for c in df.columns if c != column]
+    encoder = OneHotEncoder(inputCols=[position], outputCols=[name], dropLast=True)
+    placed = placed.select(*rest, known)
+    return encoder.fit(placed).transform(placed).drop(position), index.withColumnRenamed(position, "position")
+
+
 def label_encode(
     df: DataFrame, columns: Sequence[str], small: int = SMALL_LOOKUP, missing: str | None = None
 ) -> DataFrame:
@@ -114,9 +125,9 @@ def combination_index(
 
 def target_means(train: DataFrame, column: str, target: Column, digits: int | None = None) -> DataFrame:
     """Mean of the target per value."""
-    total = F.sum(target).cast("double")
-    total = total if digits is None else F.round(total, digits)
-    return train.groupBy(column).agg(F.try_divide(total, F.count(target).cast("double")).alias(f"{column}_bp"))
+    added = total(target.cast("double"), True, digits)
+    added = added if digits is None else F.round(added, digits)
+    return train.groupBy(column).agg(F.try_divide(added, F.count(target).cast("double")).alias(f"{column}_bp"))
 
 
 def target_encode(df: DataFrame, train: DataFrame, columns: Sequence[str], target: Column) -> DataFrame:

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardfeat.operators.skew import HOT_ROWS, SMALL_KEYS, SMALL_LOOKUP, broadcast_if_small, hot_keys, is_small, split_hot
+from cardfeat.operators.skew import HOT_ROWS, SMALL_KEYS, SMALL_LOOKUP, broadcast_if_small, hot_keys, sent_or_shuffled, split_hot
+
 
 def lookup(
     df: DataFrame,
@@ -20,11 +21,12 @@ def lookup(
 ) -> DataFrame:
     """Join a table of values whose keys may be very unevenly used.
 
-    The table is counted (up to the limit) and broadcast when small, so the
-    rows do not move; a larger one goes through :func:`spread_lookup`.
+    The table's rows and bytes are measured (up to the limit) and it is broadcast
+    when small, so the rows do not move; a larger one goes through :func:`spread_lookup`.
     """
-    if is_small(table, small):
-        return df.join(F.broadcast(table), list(on), how)
+    table, sent = sent_or_shuffled(table, small)
+    if sent:
+        return df.join(table, list(on), how)
     return spread_lookup(df, table, on, how, hot_rows)
 
 

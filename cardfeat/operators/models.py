@@ -96,12 +96,25 @@ def numeric_columns(df: DataFrame, but: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in set(but)]
 
 
-def prepare(df: DataFrame, features: Sequence[str], label: str, folds: int, key: str = "card_id") -> DataFrame:
-    """Key, split, label, fold and feature vector, written out once."""
+def vector_size(df: DataFrame, column: str) -> int:
+    """The length of a vector column, as Spark's encoders note it."""
+    return df.schema[column].metadata["ml_attr"]["num_attrs"]
+
+
+def input_names(df: DataFrame, features: Sequence[str], vectors: Sequence[str] = ()) -> list[str]:
+    """The name of every entry of the feature vector."""
+    named = [n for c in features for n in (c, f"{c}_is_null")]
+    return named + [f"{v}_{k}" for v in vectors for k in range(vector_size(df, v))]
+
+
+def prepare(
+    df: DataFrame, features: Sequence[str], label: str, folds: int, key: str = "card_id", vectors: Sequence[str] = ()
+) -> DataFrame:
+    """Key, split, label, fold and feature vector, written out once; ``vectors`` are vector columns among the features."""
     filled = impute_with_flags(df, features)
-    inputs = [n for c in features for n in (c, f"{c}_is_null")]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(add_fold(filled, folds, key))
-    return materialize(vectors.select(key, "split", F.col(label).cast("double").alias(label), "fold", "features"))
+    inputs = [n for c in features for n in (c, f"{c}_is_null")] + list(vectors)
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(add_fold(filled, folds, key))
+    return materialize(assembled.select(key, "split", F.col(label).cast("double").alias(label), "fold", "features"))
 
 
 @dataclass
@@ -154,15 +167,16 @@ def cross_validate(
     key: str = "card_id",
     train_filter: Column | None = None,
     parallelism: int = 4,
+    vectors: Sequence[str] = (),
 ) -> CrossValidated:
     """Fit ``learner`` per fold over rows of split 'train'.
 
     ``train_filter`` leaves rows out of the fits (and out of the result)
-    without touching test rows.
+    without touching test rows. ``vectors`` names sparse one-hot columns.
     """
     if train_filter is not None:
         df = df.filter((F.col("split") != "train") | train_filter)
-    table = prepare(df, features, label, folds, key)
+    table = prepare(df, features, label, folds, key, vectors)
     train, test = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "test")
     # the fits are separate Spark jobs; side by side they fill each other's gaps
     with ThreadPool(min(folds, parallelism)) as pool:
@@ -180,8 +194,7 @@ def cross_validate(
         averaged = scored.withColumn("_sum", F.col("_sum") + predicted(model)).select(*table.columns, "_sum")
     average = (F.col("_sum") / folds).alias(name)
     scores = out_of_fold.unionByName(averaged.select(key, "split", "fold", average))
-    inputs = [n for c in features for n in (c, f"{c}_is_null")]
-    return CrossValidated(scores, models, inputs)
+    return CrossValidated(scores, models, input_names(df, features, vectors))
 
 
 def mean_importance(importances: DataFrame, top: int = 1000) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardfeat.session import stage
 
@@ -19,19 +20,70 @@ SMALL_LOOKUP = 100_000
 SMALL_KEYS = 1_000_000
 
 
-#: Whatever its rows, a table that is sent has at most about so many bytes, by Spark's usual size of its columns.
+#: Whatever its rows, a table that is sent has at most so many bytes, as measured on its rows.
 SMALL_BYTES = 32 << 20
+#: What a value takes in a row besides itself: its slot, its length and offset, padding.
+_SLOT = 24
+
+
+def _added(sizes: list[Column]) -> Column:
+    """The sum of the sizes, added in pairs so that a wide table does not make a deep expression."""
+    sizes = sizes or [F.lit(0).cast("bigint")]
+    while len(sizes) > 1:
+        sizes = [a + b for a, b in zip(sizes[::2], sizes[1::2])] + sizes[len(sizes) & ~1 :]
+    return sizes[0]
+
+
+def value_bytes(value: Column, dtype: T.DataType) -> Column:
+    """About how many bytes a value takes, by its own length."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + _SLOT
+    elif isinstance(dtype, T.StructType):
+        size = _added([value_bytes(value[f.name], f.dataType) for f in dtype.fields]) + _SLOT
+    elif isinstance(dtype, T.ArrayType):
+        if isinstance(dtype.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)):
+            sizes = F.transform(value, lambda x: value_bytes(x, dtype.elementType))
+            size = F.aggregate(sizes, F.lit(_SLOT).cast("bigint"), lambda a, x: a + x)
+        else:
+            size = F.size(value).cast("bigint") * 8 + _SLOT
+    elif isinstance(dtype, T.MapType):
+        size = value_bytes(F.map_keys(value), T.ArrayType(dtype.keyType)) + value_bytes(F.map_values(value), T.ArrayType(dtype.valueType))
+    else:
+        size = F.lit(16 if isinstance(dtype, T.DecimalType) else 8)
+    return F.coalesce(size.cast("bigint"), F.lit(8).cast("bigint"))
+
+
+def measured(table: DataFrame, rows: int = SMALL_LOOKUP) -> tuple[int, int]:
+    """Rows and bytes of a table; counts no further than one row above ``rows``.
+
+    Only the sizes of the rows travel, not the rows.
+    """
+    size = _added([value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema.fields])
+    n, total = table.select(size.alias("size")).limit(rows + 1).agg(F.count("*"), F.sum("size")).first()
+    return n, total or 0
 
 
 def is_small(table: DataFrame, rows: int = SMALL_LOOKUP) -> bool:
-    """Whether a table has at most ``rows`` rows and is not too wide; counts no further than that."""
-    rows = min(rows, SMALL_BYTES // max(table._jdf.schema().defaultSize(), 1))
-    return table.limit(rows + 1).count() <= rows
+    """Whether a table has at most ``rows`` rows and ``SMALL_BYTES`` bytes."""
+    n, size = measured(table, rows)
+    return n <= rows and size <= SMALL_BYTES
+
+
+def sent_or_shuffled(table: DataFrame, rows: int = SMALL_LOOKUP) -> tuple[DataFrame, bool]:
+    """The table with the hint that its measured size calls for, and whether it is sent.
+
+    A table over ``SMALL_BYTES`` is kept from being sent by Spark's own guess, which does not
+    look into strings and arrays.
+    """
+    n, size = measured(table, rows)
+    if n <= rows and size <= SMALL_BYTES:
+        return F.broadcast(table), True
+    return (table.hint("merge") if size > SMALL_BYTES else table), False
 
 
 def broadcast_if_small(table: DataFrame, rows: int = SMALL_LOOKUP) -> DataFrame:
-    """The table marked for broadcast, or as it is when it has more rows."""
-    return F.broadcast(table) if is_small(table, rows) else table
+    """The table marked for broadcast, or as it is when it has more rows or bytes."""
+    return sent_or_shuffled(table, rows)[0]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:

@@ -192,6 +192,11 @@ _add(
 )
 _add("scan_subset", "SELECT card_id, category_1, installments, purchase_amount, city_id FROM fresh")
 _add("scan_capped", "SELECT * FROM fresh ORDER BY tx_id LIMIT 1000")
+_add("scan_head", "SELECT * FROM lineitem LIMIT 1000")
+_add(
+    "zip_by_position",
+    "SELECT c_custkey AS card_id, c_acctbal AS balance, CASE WHEN row_number() OVER () <= 100 THEN 'train' ELSE 'test' END AS split FROM customer",
+)
 _add("scan_renamed", "SELECT card_id::INT AS card_id, target AS target0 FROM cards WHERE split = 'train'")
 _add(
     "card_profile",
@@ -805,6 +810,19 @@ _add(
     a=_index("tx_all", "installments::VARCHAR"),
     b=_index("tx_all", "merchant_category_id::VARCHAR"),
 )
+_add(
+    "one_hot_sparse",
+    "SELECT v AS merchant_id, i AS position, count(*) AS n FROM a JOIN fresh ON merchant_id = v GROUP BY ALL",
+    a=_index("fresh", "merchant_id"),
+)
+_add(
+    "lasting_codes",
+    "SELECT tx_id, merchant_id::VARCHAR AS merchant_id, code FROM tx_all LEFT JOIN coded ON merchant_id::VARCHAR = v "
+    "UNION ALL SELECT NULL, '-' || merchant_id, NULL FROM merchants",
+    a=_index("hist", "merchant_id::VARCHAR"),
+    b=_index("(SELECT merchant_id FROM fresh WHERE merchant_id::VARCHAR NOT IN (SELECT v FROM a))", "merchant_id::VARCHAR"),
+    coded="SELECT v, i::BIGINT AS code FROM a UNION ALL SELECT v, i + (SELECT count(*) FROM a) FROM b",
+)
 _add("label_encode_spread", "SELECT card_id, i AS label FROM cards LEFT JOIN a ON card_id::VARCHAR = v", a=_index("cards", "card_id::VARCHAR"))
 _add(
     "label_encode_missing",
@@ -859,6 +877,7 @@ def _fold(k: int) -> str:
     return f"CAST(CAST('0x' || substr(md5(card_id::VARCHAR || '|15'), 1, 8) AS BIGINT) % {k} AS BIGINT)"
 
 
+_add("equal_folds", "SELECT c_custkey AS card_id, (row_number() OVER (ORDER BY md5(concat(c_custkey, '|15')), c_custkey) - 1) % 10 AS fold FROM customer")
 _add("kfold_assign", f"SELECT card_id, {_fold(10)} AS fold FROM cards")
 
 

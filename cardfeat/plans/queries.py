@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +17,15 @@ from cardfeat.functions import calendar as cal
 from cardfeat.functions.scalars import below, cap
 from cardfeat.functions.scoring import GRID
 from cardfeat.functions.stats import SUM_DIGITS
-from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, rfm, rollup
+from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, positions, rfm, rollup
+from cardfeat.operators.dictionary import Dictionary
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
 from cardfeat.operators.trees import split_counts
 from cardfeat.plans import assemble
 from cardfeat.plans import features as feat
 from cardfeat.plans import specs
 from cardfeat.plans.assemble import OUTLIER_TARGET
-from cardfeat.session import materialize
+from cardfeat.session import materialize, scratch_path
 from cardfeat.sources import readers, sinks
 from cardfeat.sources.tpch import HISTORY, NEW, PERIOD_START, card_reference, cards, event_log, merchants, transactions
 
@@ -96,6 +99,20 @@ def scan_capped(spark, d):
     return readers.capped(transactions(spark, d, NEW), 1000, ["tx_id"])
 
 
+@query
+def scan_head(spark, d):
+    """The first lines of the order lines' files, without reading the rest."""
+    return readers.read_head(spark.read.parquet, f"{d}/lineitem.parquet", 1000)
+
+
+@query
+def zip_by_position(spark, d):
+    """Two scans side by side, row by row, and the first hundred rows marked as train."""
+    ids, balances = (spark.read.parquet(f"{d}/customer.parquet").select(F.col(c).alias(n)) for c, n in (("c_custkey", "card_id"), ("c_acctbal", "balance")))
+    marks = positions.split_at(spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("card_id")), 100)
+    return positions.zip_files(ids, balances).join(marks, "card_id")
+
+
 @query
 def scan_renamed(spark, d):
     path = sinks.scratch_path(spark, "predictions")
@@ -690,6 +707,28 @@ def one_hot_seen(spark, d):
     return encode.one_hot(cards(spark, d).select("card_id", "feature_1", "feature_2"), ["feature_1", "feature_2"])
 
 
+@query
+def one_hot_sparse(spark, d):
+    """One sparse vector per new transaction; the vectors' sum, entry by entry, per merchant."""
+    log = transactions(spark, d, NEW, ["tx_id", "merchant_id"])
+    vectors, values = encode.sparse_one_hot(log, "merchant_id")
+    total = vectors.agg(Summarizer.sum(F.col("merchant_id_one_hot")).alias("total"))
+    entries = total.select(F.posexplode(vector_to_array("total")).alias("position", "n"))
+    return values.join(entries, "position").select("merchant_id", "position", F.col("n").cast("bigint").alias("n"))
+
+
+@query
+def lasting_codes(spark, d):
+    """Codes fitted on the history's merchants, appended to by the new period's; a merchant of neither has none."""
+    known = Dictionary(spark, scratch_path(spark, "merchant-codes"))
+    for period in (HISTORY, NEW):
+        log = transactions(spark, d, period, ["tx_id", "merchant_id"]).withColumn("merchant_id", F.col("merchant_id").cast("string"))
+        known.append(log, "merchant_id")
+    every = transactions(spark, d, None, ["tx_id", "merchant_id"]).withColumn("merchant_id", F.col("merchant_id").cast("string"))
+    unseen = merchants(spark, d).select(F.lit(None).cast("string").alias("tx_id"), F.concat(F.lit("-"), F.col("merchant_id")).alias("merchant_id"))
+    return known.encode(every.unionByName(unseen), "merchant_id", "code")
+
+
 @query
 def label_encode(spark, d):
     """Index of the text among all texts: '10' before '2'."""
@@ -757,6 +796,11 @@ def kfold_assign(spark, d):
     return folds.add_fold(cards(spark, d).select("card_id"), FOLDS)
 
 
+@query
+def equal_folds(spark, d):
+    return folds.add_equal_folds(cards(spark, d).select("card_id"), FOLDS)
+
+
 @query
 def oof_target_means(spark, d):
     return _base_predictions(spark, d, STACK_FOLDS).select("card_id", "split", "fold", "oof1", "oof2", "oof3")
