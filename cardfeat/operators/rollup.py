@@ -22,6 +22,7 @@ from cardfeat.functions.stats import SUM_DIGITS, Aggregate, statistic
 from cardfeat.operators.clean import drop_null_keys, nan_to_null
 from cardfeat.operators.quantiles import exact_quantiles
 from cardfeat.operators.skew import HOT_ROWS, split_hot
+from cardfeat.operators.spreads import SPREADS, of_large_groups, of_small_groups
 from cardfeat.session import stage
 
 DISTINCT, MEDIAN = "nunique", "median"
@@ -38,10 +39,14 @@ class Measure:
 
 @dataclass(frozen=True)
 class Rollup:
+    """``repeatable`` takes std, var and skew from each group's values in their order, not from
+    sums in the order of the tasks: slower, but equal bits on every run without any rounding."""
+
     prefix: str
     measures: tuple[Measure, ...]
     size: str | None = None
     digits: int | None = None
+    repeatable: bool = False
 
     def name(self, measure: Measure) -> str:
         return f"{self.prefix}{measure.column}_{measure.stat}"
@@ -63,12 +68,26 @@ def custom(name: str, column: str, aggregate: Aggregate) -> Measure:
     return Measure(column, name, aggregate)
 
 
+def held_stats(spec: Rollup) -> tuple[str, ...]:
+    """Statistics that need the values of a group."""
+    return (DISTINCT, MEDIAN, *(SPREADS if spec.repeatable else ()))
+
+
+def _spread_columns(spec: Rollup) -> dict[str, dict[str, str]]:
+    """Column to statistic to result name."""
+    found: dict[str, dict[str, str]] = {}
+    for m in spec.measures:
+        if spec.repeatable and m.stat in SPREADS and m.custom is None:
+            found.setdefault(m.column, {})[m.stat] = spec.name(m)
+    return found
+
+
 def _mergeable(df: DataFrame, spec: Rollup) -> list[Column]:
     """Aggregates that combine on the map side."""
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = [F.count(F.lit(1)).alias(spec.size)] if spec.size else []
     for m in spec.measures:
-        if m.stat in (DISTINCT, MEDIAN) and m.custom is None:
+        if m.stat in held_stats(spec) and m.custom is None:
             continue
         made = m.custom(F.col(m.column)) if m.custom else statistic(m.stat, F.col(m.column), types[m.column], spec.digits)
         columns.append(made.alias(spec.name(m)))
@@ -94,7 +113,10 @@ def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     held = [F.size(F.collect_set(m.column)).cast("bigint").alias(spec.name(m)) for m in _held(spec, DISTINCT)]
     middle = (lambda c: F.median(c)) if spec.digits is None else (lambda c: F.round(F.median(c), SUM_DIGITS))
     held += [middle(m.column).alias(spec.name(m)) for m in _held(spec, MEDIAN)]
-    return df.groupBy(*keys).agg(*held)
+    parts = [df.groupBy(*keys).agg(*held)] if held else []
+    if spreads := _spread_columns(spec):
+        parts.append(of_small_groups(df, keys, spreads))
+    return _joined(parts, keys)
 
 
 def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
@@ -109,6 +131,10 @@ def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
         if not parts:
             parts.append(df.select(*keys).distinct())
         parts.append(found)
+    for column, names in _spread_columns(spec).items():
+        if not parts:
+            parts.append(df.select(*keys).distinct())
+        parts.append(of_large_groups(df, keys, column, names))
     return _joined(parts, keys)
 
 
@@ -121,7 +147,7 @@ def roll_up(
 ) -> DataFrame:
     """Apply ``spec`` per key.
 
-    Specs with distinct counts or medians first take all other statistics and
+    Specs with distinct counts, medians or repeatable spreads first take all other statistics and
     the rows of each key, and write them down; keys with more than ``hot_rows``
     rows, if any, then take the spread-out way for the rest. Both ways give the
     same.
@@ -134,7 +160,7 @@ def roll_up(
     df = nan_to_null(df.select(*needed))
     keyed = drop_null_keys(df, keys)
     order = [*keys, *spec.columns]
-    held = [spec.name(m) for s in (DISTINCT, MEDIAN) for m in _held(spec, s)]
+    held = [spec.name(m) for s in held_stats(spec) for m in _held(spec, s)]
     if not held and not share:
         return keyed.groupBy(*keys).agg(*_mergeable(df, spec)).select(*order)
     rows = "_rows"

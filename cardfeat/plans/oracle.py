@@ -330,6 +330,8 @@ _add(
 )
 _add("stats_std_var_median", _group("hist", _money("", "std var median")))
 _add("skew_corrected", _group("hist", _money("", "skew") + _stats("", "skew", "month_lag")))
+for _name in ("repeatable_spreads", "repeatable_spreads_dealt"):
+    _add(_name, _group("hist", _money("", "std var skew") + _stats("", "std var skew", "month_lag")))
 _NUNIQUE = (
     "merchant_id city_id state_id merchant_category_id subsector_id installments category_1 category_2 category_3 "
     "month_lag purchase_date"

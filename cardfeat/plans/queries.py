@@ -17,7 +17,7 @@ from cardfeat.functions import calendar as cal
 from cardfeat.functions.scalars import below, cap
 from cardfeat.functions.scoring import GRID
 from cardfeat.functions.stats import SUM_DIGITS
-from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, positions, rfm, rollup
+from cardfeat.operators import blend, clean, encode, folds, joins, models, narrow, positions, rfm, rollup, skew
 from cardfeat.operators.dictionary import Dictionary
 from cardfeat.operators.quantiles import exact_quantiles, table_quantiles
 from cardfeat.operators.trees import split_counts
@@ -319,6 +319,25 @@ def skew_corrected(spark, d):
     return rollup.roll_up(log, _spec("", rollup.take("skew", "purchase_amount", "installments", "month_lag")))
 
 
+def _repeatable(spark, d, hot_rows):
+    """Spreads from each card's values in their order; rounded here only to be compared with SQL."""
+    log = transactions(spark, d, HISTORY, ["card_id", "purchase_amount", "installments", "month_lag"])
+    spec = rollup.Rollup("", rollup.take("std var skew", "purchase_amount", "installments", "month_lag"), repeatable=True)
+    rolled = rollup.roll_up(log, spec, hot_rows=hot_rows)
+    return rolled.select("card_id", *(_r(F.col(c)).alias(c) for c in spec.columns))
+
+
+@query
+def repeatable_spreads(spark, d):
+    return _repeatable(spark, d, skew.HOT_ROWS)
+
+
+@query
+def repeatable_spreads_dealt(spark, d):
+    """The same with every card treated as one with very many rows."""
+    return _repeatable(spark, d, 0)
+
+
 NUNIQUE = [
     "merchant_id", "city_id", "state_id", "merchant_category_id", "subsector_id", "installments",
     "category_1", "category_2", "category_3", "month_lag", "purchase_date",

@@ -1,5 +1,7 @@
 """Per-group statistics against values worked out by hand."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,51 @@ def test_large_sums_can_be_repeated(spark):
     spec = Rollup("", take("sum mean", "x"), None, 6)
     results = {tuple(roll_up(df.repartition(n), spec).first()) for n in (1, 3, 8, 17, 64)}
     assert len(results) == 1 and next(iter(results))[1] > 1e9
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 0])
+def test_repeatable_spreads_have_equal_bits(spark, hot_rows):
+    i = F.col("id")
+    df = spark.range(3_000).select(
+        F.when(i % 3 == 0, "hot").otherwise((i % 20).cast("string")).alias("card_id"), (1e6 + F.sin(i) / 7).alias("x"),
+        F.when(i % 5 != 0, (i % 11) * 0.1).alias("y"), F.lit(0.1).alias("same"),
+    )
+    spec = Rollup("", take("std var skew", "x", "y", "same"), "size", repeatable=True)
+    runs = [sorted(map(tuple, roll_up(df.repartition(n), spec, hot_rows=hot_rows).collect())) for n in (1, 3, 7, 16, 40)]
+    assert all(run == runs[0] for run in runs)
+    want = {}
+    for r in df.collect():
+        want.setdefault(r["card_id"], []).append(r)
+    for card, size, *got in runs[0]:
+        values = want[card]
+        assert size == len(values)
+        for k, name in enumerate(("x", "y", "same")):
+            own = sorted(v[name] for v in values if v[name] is not None)
+            if not own:
+                assert got[3 * k : 3 * k + 3] == [None] * 3
+                continue
+            n, mean = len(own), math.fsum(own) / len(own)
+            m2, m3 = (math.fsum((v - mean) ** p for v in own) for p in (2, 3))
+            var = m2 / (n - 1) if name != "same" else 0.0
+            skew = math.sqrt(n * (n - 1)) * math.sqrt(n) * m3 / ((n - 2) * m2**1.5) if name != "same" else 0.0
+            assert got[3 * k : 3 * k + 3] == pytest.approx([math.sqrt(var), var, skew], rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 0])
+def test_repeatable_spreads_of_few_and_odd_values(rows, hot_rows):
+    nan, inf = float("nan"), float("inf")
+    data = [("a", 10.0), ("b", 1.0), ("b", 4.0), ("c", 1.0), ("c", 1.0), ("c", 1.0), ("d", None), ("d", nan), ("e", 1.0), ("e", inf), (None, 3.0)]
+    data += [("f", v) for v in (1.0, 2.0, 5.0, 11.0, nan)]
+    spec = Rollup("", take("std var skew median count", "x"), None, 6, repeatable=True)
+    got = {r["card_id"]: tuple(r)[1:] for r in roll_up(rows(data, "card_id string, x double"), spec, hot_rows=hot_rows).collect()}
+    assert got["a"][:3] == (None, None, None) and got["b"][1:3] == (4.5, None) and got["c"][:3] == (0.0, 0.0, 0.0)
+    assert got["d"] == (None, None, None, None, 0) and got["e"][:3] == (None, None, None) and set(got) == set("abcdef")
+    assert got["f"][:2] == (4.5, 20.25) and got["f"][2] == pytest.approx(1.248285, abs=1e-6) and got["f"][3:] == (3.5, 4)
+
+
+def test_spreads_of_few_deals(spark):
+    from cardfeat.operators.spreads import of_large_groups
+
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit("z").alias("z"), F.sqrt("id").alias("x"))
+    whole, dealt = (of_large_groups(df, ["k", "z"], "x", {"var": "var", "skew": "skew"}, deals).first() for deals in (1, 7))
+    assert tuple(whole)[:2] == (1, "z") and tuple(whole)[2:] == pytest.approx(tuple(dealt)[2:], rel=1e-12)
