@@ -36,11 +36,18 @@ def moments(values: Column) -> Column:
     # `transform` over one element binds the mean, so that it is not worked out for every term
     def around(head: Column) -> Column:
         step = lambda x: x["v"] - head["mean"]
+        left = F.try_divide(_added(values, lambda x: x["n"] * step(x)), head["n"])
         m2 = _added(values, lambda x: x["n"] * step(x) * step(x))
         m3 = _added(values, lambda x: x["n"] * step(x) * step(x) * step(x))
-        return _struct(head["n"], head["mean"], m2, m3)
+        return F.struct(head["n"].alias("n"), head["mean"].alias("mean"), left.alias("left"), m2.alias("m2"), m3.alias("m3"))
 
-    return F.transform(F.array(first), around)[0]
+    # a mean is off by a rounding; what it leaves over is taken out of the sums around it
+    def corrected(m: Column) -> Column:
+        m2 = m["m2"] - m["n"] * m["left"] * m["left"]
+        m3 = m["m3"] - 3.0 * m["left"] * m["m2"] + 2.0 * m["n"] * m["left"] * m["left"] * m["left"]
+        return _struct(m["n"], m["mean"] + m["left"], m2, m3)
+
+    return F.transform(F.transform(F.array(first), around), corrected)[0]
 
 
 def merged(parts: Column) -> Column:

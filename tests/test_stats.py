@@ -1,6 +1,7 @@
 """Per-group statistics against values worked out by hand."""
 
 import math
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,8 +136,8 @@ def test_repeatable_spreads_have_equal_bits(spark, hot_rows):
             if not own:
                 assert got[3 * k : 3 * k + 3] == [None] * 3
                 continue
-            n, mean = len(own), math.fsum(own) / len(own)
-            m2, m3 = (math.fsum((v - mean) ** p for v in own) for p in (2, 3))
+            n, mean = len(own), sum(map(Fraction, own)) / len(own)
+            m2, m3 = (float(sum((Fraction(v) - mean) ** p for v in own)) for p in (2, 3))
             var = m2 / (n - 1) if name != "same" else 0.0
             skew = math.sqrt(n * (n - 1)) * math.sqrt(n) * m3 / ((n - 2) * m2**1.5) if name != "same" else 0.0
             assert got[3 * k : 3 * k + 3] == pytest.approx([math.sqrt(var), var, skew], rel=1e-9, abs=1e-9)
