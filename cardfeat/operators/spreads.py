@@ -5,6 +5,7 @@ order is that of the values themselves: an ordinary group is sorted and gone thr
 twice, once for the mean and once around it. A hot group is first counted per value,
 its values are dealt out by a hash, each deal is taken like a group, and the deals
 are merged in the order of their numbers. No part holds more than its share of a group.
+Which way a group goes depends on its size alone; the two agree up to the last bits.
 """
 
 from __future__ import annotations
