@@ -1,22 +1,26 @@
 """Removal of repeated runs of lines, found by winnowing over line hashes.
 
 Lines are hashed without white space at their ends. A window is the shortest
-run of lines from some line on that has ``min_words`` words; the smallest line
-hash in it is its fingerprint, so every run of that many words that two
-documents share has a fingerprint in common. Places are joined on fingerprint
-and hash of the window: a common line in other surroundings meets nothing. Every
-window is kept, not only one for each minimum. All places but the first are
+run of lines from some line on that has ``min_words`` words. Its smallest line
+hash (of lines with words; the first of equal ones) is its minimum, and the place
+of a minimum is a fingerprint, however many windows it serves. Two places that share a
+run of that many words share the windows in it, and so their fingerprints: windows whose
+fingerprint stands at one place only are repeated nowhere and go no further. The others
+are joined on fingerprint and hash of the whole window, so a common line in other
+surroundings meets nothing. All places but the first are
 extended as far as any earlier place goes on with the same lines: along the
 first place and, where that goes on otherwise, by the hashes of the longer runs,
-of each of which the first place is taken. An extension to the front needs no
-comparison: if the line before agrees as well, the window that begins there is
-itself a repeated one.
+of each of which the first place is taken. To the front a match reaches as far as
+the windows before it match: if the line before agrees as well, the window that
+begins there has a shared fingerprint too and is itself a repeated one.
 
 Of every repeated run the first place, in the order of document id (null
 first), text hash and line, stays; the lines of all others are deleted, also
 within one document. Each deleted line keeps an earlier copy. Runs of fewer
 words are left alone. Rows with equal id and text are one document and get
-equal results. Null texts stay null; an empty table gives an empty result.
+equal results. Null texts stay null; an empty table gives an empty result. A text's
+cost grows with its lines: its runs, one at most for each line and way of
+extending, are marked in one sweep.
 """
 
 from __future__ import annotations
@@ -25,11 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, mix, slices, words
 from cardfeat.llm.tables import small_batches
+from cardfeat.operators.joins import lookup
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
@@ -55,9 +61,29 @@ def lines(part: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return part.hashes(left, right), b - a, first
 
 
+def _lowest(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where the smallest hash from ``first`` to ``last`` stands, the first of equal ones."""
+    best = np.arange(len(hashes))
+    found = first.copy()
+    length = last - first + 1
+    size = 1
+    while len(length) and size <= length.max():
+        # ``best`` now has the place of the minimum of ``size`` hashes from each on; two such runs cover a window
+        here = np.flatnonzero((length >= size) & (length < 2 * size))
+        x, y = best[first[here]], best[last[here] - size + 1]
+        found[here] = np.where(hashes[y] < hashes[x], y, x)
+        if len(best) <= size:
+            break
+        x, y = best[:-size], best[size:]
+        best = np.where(hashes[y] < hashes[x], y, x)
+        size *= 2
+    return found
+
+
 def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     """All windows of a slice: text, first line, number of lines, fingerprint, hash, and longer runs.
 
+    ``fresh`` marks the first window of each place of a fingerprint.
     ``tail`` holds the hashes of the window with one, two … of the following lines, as far as these have fewer than
     ``min_words`` words together.
     """
@@ -70,10 +96,9 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     at = np.flatnonzero((last < n) & (count > 0))
     at = at[last[at] < first[text[at] + 1]]
     last = last[at]
-    low = hashes[at].copy()
-    for k in range(1, int((last - at).max(initial=0)) + 1):
-        inside = at + k <= last
-        low[inside] = np.minimum(low[inside], hashes[at[inside] + k])
+    lowest = _lowest(np.where(count > 0, hashes, np.uint64(2**64 - 1)), at, last)
+    fresh = np.ones(len(at), dtype=bool)
+    fresh[1:] = lowest[1:] != lowest[:-1]  # places of minima never go back from one window to the next
     power = np.full(n + 1, _BASE, dtype=np.uint64)
     power[0] = 1
     power = np.multiply.accumulate(power)
@@ -93,7 +118,8 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
         "text": text[at],
         "start": at - first[text[at]],
         "size": size,
-        "fingerprint": low,
+        "fingerprint": hashes[lowest],
+        "fresh": fresh,
         "window": run_hash(at, last + 1),
         "tail": run_hash(np.repeat(at, tail), where + 1),
         "tail_size": tail,
@@ -102,7 +128,7 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
 
 def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Windows of all documents (``doc_id``, ``mark``, ``text``) with their fingerprints."""
-    names = ["doc_id", "mark", "fingerprint", "window", "start", "size", "tail"]
+    names = ["doc_id", "mark", "fingerprint", "fresh", "window", "start", "size", "tail"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,6 +141,7 @@ def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
                         pa.array(found["fingerprint"].view(np.int64)),
+                        pa.array(found["fresh"]),
                         pa.array(found["window"].view(np.int64)),
                         pa.array(found["start"].astype(np.int32)),
                         pa.array(found["size"].astype(np.int32)),
@@ -123,13 +150,15 @@ def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names,
                 )
 
-    schema = "doc_id bigint, mark bigint, fingerprint bigint, window bigint, start int, size int, tail array<bigint>"
+    schema = "doc_id bigint, mark bigint, fingerprint bigint, fresh boolean, window bigint, start int, size int, tail array<bigint>"
     return docs.select("doc_id", "mark", "text").mapInArrow(run, schema)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of lines [``start``, ``end``) of documents (``doc_id``, ``mark``) that occur earlier."""
     found = stage(places(docs, min_words), "windows")
+    shared = found.filter("fresh").groupBy("fingerprint").agg(F.count("*").alias("places")).filter("places > 1").select("fingerprint")
+    found = lookup(found.drop("fresh"), stage(shared, "shared"), ["fingerprint"], "inner")
     key = ["fingerprint", "window"]
     place = ["doc_id", "mark", "start"]
     first = found.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*place, "tail")).alias("first"))
@@ -151,16 +180,43 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return runs.union(longer.groupBy(*place).agg(F.max("end").alias("end")))
 
 
+def without_runs(texts: pa.Array, runs: pa.Array) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """The texts without the lines of their runs, their lines, and how many of them went."""
+    out, n_lines, n_deleted = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    bounds = pc.list_value_length(runs).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(bounds)
+    inside = runs.flatten()
+    starts, stops = (inside.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    for k, text in enumerate(texts):
+        if not text.is_valid:
+            out.append(None)
+            continue
+        text = text.as_py()
+        n_lines[k] = text.count("\n") + 1
+        if bounds[k]:
+            own = slice(ends[k] - bounds[k], ends[k])
+            # the number of runs that are open at each line
+            change = np.bincount(starts[own], minlength=n_lines[k] + 1) - np.bincount(stops[own], minlength=n_lines[k] + 1)
+            gone = np.cumsum(change)[: n_lines[k]] > 0
+            n_deleted[k] = np.count_nonzero(gone)
+            text = "\n".join([line for line, less in zip(text.split("\n"), gone.tolist()) if not less])
+        out.append(text)
+    return out, n_lines, n_deleted
+
+
 def delete_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the remaining ``text``, ``n_lines`` and ``n_deleted``."""
     rows = small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
-    # at most two runs for each line of a document
-    runs = repeated_runs(rows, min_words).groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    runs = broadcast_if_small(stage(runs.agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs")), "runs"))
-    joined = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    all_lines = F.split("text", "\n", -1)
-    left = F.filter(all_lines, lambda line, i: ~F.exists("runs", lambda r: (r["start"] <= i) & (i < r["end"])))
-    kept = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counted = joined.select("doc_id", kept.alias("text"), F.size(all_lines).alias("n"), F.when(F.col("runs").isNotNull(), F.size(left)).alias("m"))
-    total = F.when(F.col("text").isNull(), 0).otherwise(F.col("n")).cast("bigint")
-    return counted.select("doc_id", "text", total.alias("n_lines"), F.coalesce(F.col("n") - F.col("m"), F.lit(0)).cast("bigint").alias("n_deleted"))
+    # one end for each line at most, the furthest
+    ends = repeated_runs(rows, min_words).groupBy("doc_id", "mark", "start").agg(F.max("end").alias("end"))
+    runs = ends.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    runs = broadcast_if_small(stage(runs, "runs"))
+    joined = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left").select("doc_id", "text", "runs")
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, n_lines, n_deleted = without_runs(batch.column(1), batch.column(2))
+            columns = [batch.column(0), pa.array(left, pa.string()), pa.array(n_lines), pa.array(n_deleted)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_lines", "n_deleted"])
+
+    return joined.mapInArrow(sweep, "doc_id bigint, text string, n_lines bigint, n_deleted bigint")
