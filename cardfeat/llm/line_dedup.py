@@ -5,8 +5,9 @@ run of lines from some line on that has ``min_words`` words. Its smallest line
 hash (of lines with words; the first of equal ones) is its minimum, and the place
 of a minimum is a fingerprint, however many windows it serves. Two places that share a
 run of that many words share the windows in it, and so their fingerprints: windows whose
-fingerprint stands at one place only are repeated nowhere and go no further. The others
-are joined on fingerprint and hash of the whole window, so a common line in other
+fingerprint stands at one place only are repeated nowhere. So texts are read twice, first
+for their fingerprints, whose shared ones make a sieve of bounded size, then for the windows
+that it lets through. These are joined on fingerprint and hash of the whole window, so a common line in other
 surroundings meets nothing. All places but the first are
 extended as far as any earlier place goes on with the same lines: along the
 first place and, where that goes on otherwise, by the hashes of the longer runs,
@@ -26,6 +27,7 @@ extending, are marked in one sweep.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,12 @@ from pyspark.sql import functions as F
 
 from cardfeat.llm.flat import Flat, mix, slices, words
 from cardfeat.llm.tables import small_batches
-from cardfeat.operators.joins import lookup
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
 MIN_WORDS = 50
+#: A sieve has 2**28 bits (32 MB) at most, in rows of as many bits as Spark's bitmaps have.
+MAX_BITS, ROW_BITS = 28, 15
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -80,25 +83,55 @@ def _lowest(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
     return found
 
 
-def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
-    """All windows of a slice: text, first line, number of lines, fingerprint, hash, and longer runs.
+@dataclass
+class Runs:
+    """The windows of a slice: line hashes, words up to each line's end, first and last line, and place of the minimum."""
 
-    ``fresh`` marks the first window of each place of a fingerprint.
-    ``tail`` holds the hashes of the window with one, two … of the following lines, as far as these have fewer than
-    ``min_words`` words together.
-    """
+    hashes: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    text: np.ndarray
+    at: np.ndarray
+    last: np.ndarray
+    lowest: np.ndarray
+
+    @property
+    def fresh(self) -> np.ndarray:
+        """The first window of each place of a minimum; the places never go back from one window to the next."""
+        fresh = np.ones(len(self.at), dtype=bool)
+        fresh[1:] = self.lowest[1:] != self.lowest[:-1]
+        return fresh
+
+
+def runs(part: Flat, min_words: int = MIN_WORDS) -> Runs:
     hashes, count, first = lines(part)
-    n = len(hashes)
     text = np.repeat(np.arange(len(part)), np.diff(first))
     ends = np.cumsum(count)
-    begins = ends - count
-    last = np.searchsorted(ends, begins + min_words, side="left")  # last line of each window
-    at = np.flatnonzero((last < n) & (count > 0))
+    last = np.searchsorted(ends, ends - count + min_words, side="left")  # last line of each window
+    at = np.flatnonzero((last < len(hashes)) & (count > 0))
     at = at[last[at] < first[text[at] + 1]]
     last = last[at]
-    lowest = _lowest(np.where(count > 0, hashes, np.uint64(2**64 - 1)), at, last)
-    fresh = np.ones(len(at), dtype=bool)
-    fresh[1:] = lowest[1:] != lowest[:-1]  # places of minima never go back from one window to the next
+    return Runs(hashes, ends, first, text, at, last, _lowest(np.where(count > 0, hashes, np.uint64(2**64 - 1)), at, last))
+
+
+def fingerprints(part: Flat, min_words: int = MIN_WORDS) -> np.ndarray:
+    """The hashes at the places of minima, each place once."""
+    found = runs(part, min_words)
+    return found.hashes[found.lowest[found.fresh]]
+
+
+def windows(part: Flat, min_words: int = MIN_WORDS, shared: Sieve | None = None) -> dict[str, np.ndarray]:
+    """Windows of a slice: text, first line, number of lines, fingerprint, hash, and longer runs.
+
+    ``tail`` holds the hashes of the window with one, two … of the following lines, as far as these have fewer than
+    ``min_words`` words together. With ``shared`` only windows whose fingerprint it lets through.
+    """
+    found = runs(part, min_words)
+    hashes, ends, first, text, at, last = found.hashes, found.ends, found.first, found.text, found.at, found.last
+    n, marks = len(hashes), hashes[found.lowest]
+    if shared is not None:
+        stays = shared.lets(marks)
+        at, last, marks = at[stays], last[stays], marks[stays]
     power = np.full(n + 1, _BASE, dtype=np.uint64)
     power[0] = 1
     power = np.multiply.accumulate(power)
@@ -118,22 +151,56 @@ def windows(part: Flat, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
         "text": text[at],
         "start": at - first[text[at]],
         "size": size,
-        "fingerprint": hashes[lowest],
-        "fresh": fresh,
+        "fingerprint": marks,
         "window": run_hash(at, last + 1),
         "tail": run_hash(np.repeat(at, tail), where + 1),
         "tail_size": tail,
     }
 
 
-def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Windows of all documents (``doc_id``, ``mark``, ``text``) with their fingerprints."""
-    names = ["doc_id", "mark", "fingerprint", "fresh", "window", "start", "size", "tail"]
+class Sieve:
+    """Bits of hashes: lets all of them through, and few others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def lets(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & np.uint64(8 * len(self.bits) - 1)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    @classmethod
+    def of(cls, hashes: DataFrame, name: str) -> Sieve:
+        """The sieve of a column of hashes: some 32 bits for each, ``MAX_BITS`` at most, set in Spark."""
+        size = 1 << min(max(int(32 * hashes.count() - 1).bit_length(), ROW_BITS), MAX_BITS)
+        at = F.col(name).bitwiseAND(F.lit(size - 1).cast("bigint"))
+        part, bit = F.shiftright(at, ROW_BITS).alias("part"), at.bitwiseAND(F.lit((1 << ROW_BITS) - 1).cast("bigint")).alias("bit")
+        bits = np.zeros((size >> ROW_BITS, 1 << (ROW_BITS - 3)), dtype=np.uint8)
+        for row in hashes.select(part, bit).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+            bits[row["part"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+        return cls(bits.ravel())
+
+
+def shared_fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Fingerprints that stand at two places or more, in one document or in several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part in slices(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(part, min_words).view(np.int64))], ["fingerprint"])
+
+    found = docs.select("text").mapInArrow(run, "fingerprint bigint")
+    return found.groupBy("fingerprint").agg(F.count("*").alias("places")).filter("places > 1").select("fingerprint")
+
+
+def places(docs: DataFrame, min_words: int = MIN_WORDS, shared: Sieve | None = None) -> DataFrame:
+    """Windows of all documents (``doc_id``, ``mark``, ``text``) with their fingerprints; with ``shared`` those it lets through."""
+    names = ["doc_id", "mark", "fingerprint", "window", "start", "size", "tail"]
+    sieve = None if shared is None else docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in slices(batch.column(2)):
-                found = windows(part, min_words)
+                found = windows(part, min_words, None if sieve is None else sieve.value)
                 rows = pa.array(found["text"] + first)
                 offsets = np.concatenate(([0], np.cumsum(found["tail_size"]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -141,7 +208,6 @@ def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
                         pa.array(found["fingerprint"].view(np.int64)),
-                        pa.array(found["fresh"]),
                         pa.array(found["window"].view(np.int64)),
                         pa.array(found["start"].astype(np.int32)),
                         pa.array(found["size"].astype(np.int32)),
@@ -150,15 +216,14 @@ def places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names,
                 )
 
-    schema = "doc_id bigint, mark bigint, fingerprint bigint, fresh boolean, window bigint, start int, size int, tail array<bigint>"
+    schema = "doc_id bigint, mark bigint, fingerprint bigint, window bigint, start int, size int, tail array<bigint>"
     return docs.select("doc_id", "mark", "text").mapInArrow(run, schema)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Runs of lines [``start``, ``end``) of documents (``doc_id``, ``mark``) that occur earlier."""
-    found = stage(places(docs, min_words), "windows")
-    shared = found.filter("fresh").groupBy("fingerprint").agg(F.count("*").alias("places")).filter("places > 1").select("fingerprint")
-    found = lookup(found.drop("fresh"), stage(shared, "shared"), ["fingerprint"], "inner")
+    sieve = Sieve.of(stage(shared_fingerprints(docs, min_words), "shared"), "fingerprint")
+    found = stage(places(docs, min_words, sieve), "windows")
     key = ["fingerprint", "window"]
     place = ["doc_id", "mark", "start"]
     first = found.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(*place, "tail")).alias("first"))

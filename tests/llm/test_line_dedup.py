@@ -25,11 +25,11 @@ def test_shared_windows_have_shared_fingerprints():
     draw = random.Random(3)
     shared = "\n".join(" ".join(f"w{draw.randrange(30)}" for _ in range(draw.randrange(6))) for _ in range(40))
     texts = [("\n".join(f"own {k} {j}" for j in range(draw.randrange(5))) + "\n" + shared + f"\nend {k}") for k in range(20)]
-    found = dedup.windows(flat(pa.array(texts)), 12)
+    part = flat(pa.array(texts))
+    found, runs = dedup.windows(part, 12), dedup.runs(part, 12)
     places = {}
-    for k in range(len(found["text"])):
-        if found["fresh"][k]:
-            places.setdefault(int(found["fingerprint"][k]), set()).add(int(found["text"][k]))
+    for k in np.flatnonzero(runs.fresh):
+        places.setdefault(int(runs.hashes[runs.lowest[k]]), set()).add(int(runs.text[runs.at[k]]))
     common = {}
     for k in range(len(found["text"])):
         common.setdefault(int(found["window"][k]), []).append(k)
@@ -38,7 +38,17 @@ def test_shared_windows_have_shared_fingerprints():
     for group in repeated:
         assert len({int(found["fingerprint"][k]) for k in group}) == 1
         assert len(places[int(found["fingerprint"][group[0]])]) == 20
-    assert found["fresh"].sum() < 0.6 * len(found["fresh"])  # one place serves several windows
+    assert sorted(dedup.fingerprints(part, 12)) == sorted(runs.hashes[runs.lowest[runs.fresh]])
+    assert runs.fresh.sum() < 0.6 * len(runs.at)  # one place serves several windows
+
+
+def test_sieve(spark):
+    draw = np.random.default_rng(1)
+    hashes = draw.integers(0, 1 << 64, 5_000, dtype=np.uint64)
+    sieve = dedup.Sieve.of(spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h bigint"), "h")
+    assert len(sieve.bits) * 8 == 1 << 18 and sieve.lets(hashes).all()
+    assert 0.01 < sieve.lets(draw.integers(0, 1 << 64, 100_000, dtype=np.uint64)).mean() < 0.03
+    assert not dedup.Sieve.of(spark.createDataFrame([], "h bigint"), "h").lets(hashes).any()
 
 
 def test_sweep():
