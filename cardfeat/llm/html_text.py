@@ -14,7 +14,9 @@ a block like any other. All other paths, inside and outside, are judged by ratio
 White space inside a block, line-break elements included, becomes one space.
 Null and empty pages have an empty text; broken markup is read as browsers do
 for paragraphs, list items and table cells. Rows are read one by one, so
-repeated rows get equal results. An empty table gives an empty result.
+repeated rows get equal results. An empty table gives an empty result. A page takes
+time and memory in proportion to its length, however deep its elements are nested or
+how many are never closed.
 """
 
 from __future__ import annotations
@@ -92,9 +94,41 @@ FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table the
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+class Paths:
+    """Paths of block elements as numbers: a path is its parent's number and one step more; 0 is the empty path."""
+
+    def __init__(self) -> None:
+        self.parent, self.step, self.depth = [0], [""], [0]
+        self._known: dict[tuple[int, str], int] = {}
+
+    def child(self, path: int, step: str) -> int:
+        found = self._known.get((path, step))
+        if found is None:
+            found = self._known[path, step] = len(self.parent)
+            self.parent.append(path)
+            self.step.append(step)
+            self.depth.append(self.depth[path] + 1)
+        return found
+
+    def tag(self, path: int) -> str:
+        return self.step[path].split(".")[0]
+
+    def ranks(self) -> list[int]:
+        """The place of each path in the order of their steps, a path before its continuations."""
+        below: list[list[int]] = [[] for _ in self.parent]
+        for path in range(1, len(self.parent)):
+            below[self.parent[path]].append(path)
+        rank, todo, place = [0] * len(self.parent), [0], 0
+        while todo:
+            path = todo.pop()
+            rank[path], place = place, place + 1
+            todo += sorted(below[path], key=lambda p: self.step[p], reverse=True)
+        return rank
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: int
     text: str
     linked: int  #: characters inside links
     aside: bool  #: inside an element without main text
@@ -102,6 +136,53 @@ class Block:
     depth: int  #: steps of the path down to the outermost mark, if marked
 
 
+@dataclass
+class Frame:
+    """An open element."""
+
+    tag: str
+    path: int  #: of the block elements down to here
+    aside: int
+    marked: bool
+    link: bool
+    depth: int  #: steps down to the outermost mark, if marked
+
+
+class Open:
+    """The open elements, with the places of each tag and of block elements among them."""
+
+    def __init__(self) -> None:
+        self.frames = [Frame("", 0, 0, False, False, 0)]
+        self._places: dict[str, list[int]] = defaultdict(list)
+        self._blocks: list[int] = []
+
+    @property
+    def top(self) -> Frame:
+        return self.frames[-1]
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost of these elements, 0 if none is open."""
+        return max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+
+    @property
+    def last_block(self) -> int:
+        return self._blocks[-1] if self._blocks else 0
+
+    def push(self, frame: Frame) -> None:
+        self._places[frame.tag].append(len(self.frames))
+        if frame.tag in BLOCK:
+            self._blocks.append(len(self.frames))
+        self.frames.append(frame)
+
+    def drop(self, place: int) -> None:
+        """Close all elements from this place on."""
+        while len(self.frames) > place:
+            frame = self.frames.pop()
+            self._places[frame.tag].pop()
+            if frame.tag in BLOCK:
+                self._blocks.pop()
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
@@ -131,43 +212,35 @@ def _is_marked(tag: str, attributes: dict[str, str]) -> bool:
     return tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody"
 
 
-def blocks(page: str) -> tuple[list[Block], bool]:
-    """Text blocks in page order, and whether the page marks an article or main part."""
+def blocks(page: str) -> tuple[list[Block], bool, Paths]:
+    """Text blocks in page order, whether the page marks an article or main part, and the paths."""
     found: list[Block] = []
-    # open elements: tag, step of the path (None for inline ones), aside, marked, link
-    stack: list[tuple[str, str | None, int, bool, bool]] = []
+    paths, stack = Paths(), Open()
     pieces: list[str] = []
     linked = 0
     any_marked = False
 
-    def state() -> tuple[int, bool, bool]:
-        return stack[-1][2:] if stack else (0, False, False)
-
     def flush() -> None:
         nonlocal pieces, linked
         if pieces:
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             if text:
-                aside, marked, _ = state()
-                path = tuple(s[1] for s in stack if s[1])
-                if linked >= LINKED * len(text):
-                    path += ("a",)
-                outermost = next((i for i, s in enumerate(stack) if s[3]), -1)
-                depth = sum(1 for s in stack[: outermost + 1] if s[1])
-                found.append(Block(path, text, linked, aside > 0, marked, depth))
+                top = stack.top
+                path = paths.child(top.path, "a") if linked >= LINKED * len(text) else top.path
+                found.append(Block(path, text, linked, top.aside > 0, top.marked, top.depth))
             pieces, linked = [], 0
 
     def add(text: str) -> None:
         nonlocal linked
         if text:
             pieces.append(text)
-            if state()[2]:
+            if stack.top.link:
                 linked += len(text)
 
-    def pop(index: int) -> None:
-        if any(s[0] in BLOCK for s in stack[index:]):
+    def close(place: int) -> None:
+        if stack.last_block >= place:
             flush()
-        del stack[index:]
+        stack.drop(place)
 
     at, end = 0, len(page)
     while at < end:
@@ -181,12 +254,10 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop(i)
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
-                    break  # an inline end tag does not close a block
+            place = stack.last((tag,))
+            # an inline end tag does not close a block
+            if place and (tag in BLOCK or place > stack.last_block):
+                close(place)
             continue
         if tag == "br":
             add(" ")
@@ -196,32 +267,24 @@ def blocks(page: str) -> tuple[list[Block], bool]:
                 flush()
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             if not m[3].rstrip().endswith("/"):
-                at = close.end() if close else end
+                ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                at = ended.end() if ended else end
             continue
         if tag in BLOCK:
             flush()
-        if tag in ENDS_PARAGRAPH:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    pop(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
+        if tag in ENDS_PARAGRAPH and 0 < stack.last_block == stack.last(("p",)):
+            close(stack.last_block)
         if tag in CLOSES:
             closed, shields = CLOSES[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closed:
-                    pop(i)
-                    if tag != "tr":
-                        break
-                elif stack[i][0] in shields:
+            while (place := stack.last(closed)) > stack.last(shields):
+                close(place)
+                if tag != "tr":
                     break
         attributes = _attributes(m[3]) if m[3].strip() else {}
-        aside, marked, link = state()
+        top = stack.top
         own, here_marked = _is_aside(tag, attributes), _is_marked(tag, attributes)
-        here_aside = own if here_marked and aside < 2 else max(aside, own)
+        here_aside = own if here_marked and top.aside < 2 else max(top.aside, own)
         here_marked = here_marked and not here_aside
         any_marked |= here_marked
         step = None
@@ -230,12 +293,14 @@ def blocks(page: str) -> tuple[list[Block], bool]:
             step = tag + ("." + re.sub(r"\d+", "", names) if names else "")
         if here_marked and tag not in ("article", "main"):  # its path differs from that of a like element without mark
             step = (step or tag) + ".(main)"
-        stack.append((tag, step, here_aside, marked or here_marked, link or tag == "a"))
+        path = paths.child(top.path, step) if step else top.path
+        depth = top.depth if top.marked else paths.depth[path] if here_marked else 0
+        stack.push(Frame(tag, path, here_aside, top.marked or here_marked, top.link or tag == "a", depth))
     flush()
-    return found, any_marked
+    return found, any_marked, paths
 
 
-def fused_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
+def fused_ratios(found: list[Block]) -> dict[int, float]:
     """Smoothed and fused ratio of every path."""
     chars, marks, links, count = (defaultdict(float) for _ in range(4))
     for b in found:
@@ -255,64 +320,74 @@ def fused_ratios(found: list[Block]) -> dict[tuple[str, ...], float]:
                     weight += w
         return total / weight
 
-    fused: dict[tuple[str, ...], float] = defaultdict(float)
+    fused: dict[int, float] = defaultdict(float)
     for i, b in enumerate(found):
         value = smooth(text_ratio, i) * (1 + math.log1p(smooth(mark_ratio, i)))
         fused[b.path] += value * (1 - links[b.path] / chars[b.path]) / count[b.path]
     return fused
 
 
-def _flows(steps: tuple[str, ...]) -> bool:
-    return all(s.split(".")[0] in FLOW for s in steps)
-
-
-def _column(lead: tuple[str, ...], paths: Iterable[tuple[str, ...]], depth: int | None = None) -> list[tuple[str, ...]]:
+def _column(tree: Paths, lead: int, paths: Iterable[int], depth: int | None = None) -> list[int]:
     """The paths of blocks beside the paragraphs of ``lead``; with the depth of a mark also those between both."""
-    inside = lead[:-1] if lead and lead[-1].split(".")[0] in FLOW else lead
-    while inside and inside[-1].split(".")[0] in FLOW - {"section"}:
-        inside = inside[:-1]
+    inside = tree.parent[lead] if tree.tag(lead) in FLOW else lead
+    while tree.tag(inside) in FLOW - {"section"}:
+        inside = tree.parent[inside]
+    # how far each path runs along ``inside``, and whether all its further steps stay with paragraphs
+    common = [-1] * len(tree.parent)
+    flows = [True] * len(tree.parent)
+    path = inside
+    while common[path] < 0:
+        common[path] = tree.depth[path]
+        path = tree.parent[path]
+    for path in range(1, len(common)):
+        if common[path] < 0:
+            above = tree.parent[path]
+            common[path] = common[above]
+            flows[path] = flows[above] and tree.tag(path) in FLOW
+    wanted = tree.depth[inside] if depth is None else min(depth, tree.depth[inside])
     out = [lead]
     for p in paths:
-        common = next((i for i, (a, b) in enumerate(zip(p, inside)) if a != b), min(len(p), len(inside)))
-        tail = p[common:]
+        last = p
         if depth is None:
-            beside = common == len(inside) and len(tail) > 0
+            beside = common[p] == wanted and tree.depth[p] > common[p]
         else:
-            beside = common >= min(depth, len(inside))
-            if tail[-1:] == ("a",) and len(p) > 1 and p[-2].split(".")[0] in _HEADINGS:
-                tail = tail[:-1]  # a headline that links to its own page
-        if p != lead and beside and _flows(tail):
+            beside = common[p] >= wanted
+            if tree.depth[p] > max(common[p], 1) and tree.step[p] == "a" and tree.tag(tree.parent[p]) in _HEADINGS:
+                last = tree.parent[p]  # a headline that links to its own page
+        if p != lead and beside and flows[last]:
             out.append(p)
     return out
 
 
 def main_blocks(page: str) -> list[str]:
     """Texts of the content blocks of a page, in page order."""
-    found, any_marked = blocks(page)
+    found, any_marked, tree = blocks(page)
     weighed = [b for b in found if not b.aside]
     if not weighed:
         return []
     ratio = fused_ratios(weighed)
     depths = {b.path: b.depth for b in weighed if b.marked}
-    size: dict[tuple[str, ...], float] = defaultdict(float)
-    text: dict[tuple[str, ...], int] = defaultdict(int)  # characters outside links
+    size: dict[int, float] = defaultdict(float)
+    text: dict[int, int] = defaultdict(int)  # characters outside links
     for b in weighed:
         size[b.path] += len(b.text) * ratio[b.path]
         text[b.path] += max(len(b.text) - b.linked, 0)
     for p in depths:
         ratio[p] *= MARKED
 
-    def lead_of(paths: list[tuple[str, ...]]) -> tuple[str, ...] | None:
-        return max(paths, key=lambda p: (size[p], p), default=None)
+    def lead_of(paths: list[int]) -> int | None:
+        most = max((size[p] for p in paths), default=None)
+        best = [p for p in paths if size[p] == most]
+        return max(best, key=tree.ranks().__getitem__) if len(best) > 1 else next(iter(best), None)
 
     beside = [p for p in ratio if p not in depths]
     lead = lead_of(beside)
-    column = _column(lead, beside) if lead is not None else []
+    column = _column(tree, lead, beside) if lead is not None else []
     if any_marked and sum(text[p] for p in column) <= MARKED * max(sum(text[p] for p in depths), LEAST_MARKED):
         lead = lead_of(list(depths))
         if lead is None:  # the article is empty
             return []
-        column = _column(lead, depths, depths[lead])
+        column = _column(tree, lead, depths, depths[lead])
     # blocks beside the paragraphs of the path with most text share its ratio
     # (a marked column shares the best one of the page: what is longer elsewhere does not replace it)
     floor = max(ratio.values()) if lead in depths else ratio[lead]
