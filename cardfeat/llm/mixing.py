@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardfeat.llm.flat import LETTERED, Flat, lowered, mix, slices, words
 from cardfeat.llm.quality_classifier import STATISTICS, statistics
@@ -48,7 +49,7 @@ BUCKETS = 1 << 15
 BEGINNINGS = (4, 5)
 STEPS, BATCH = 1_200, 64
 SEED = 29
-ROUNDS, CLOSE = 20, 1e-6
+ROUNDS, CLOSE, HALVINGS = 20, 1e-6, 4
 #: Penalty on the steps, as a share of all tokens.
 RIDGE = 1e-4
 #: Expected tokens are added up as whole numbers of this fraction, so that no order matters.
@@ -231,6 +232,25 @@ def with_memberships(docs: DataFrame, memberships: Memberships, key: str = "doc_
     )
 
 
+def beside_memberships(docs: DataFrame, memberships: Memberships, tokens: str, posterior: str) -> DataFrame:
+    """The documents with their words and posteriors as two more columns."""
+    learned = docs.sparkSession.sparkContext.broadcast(memberships)
+    text = "text"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(batch.schema.get_field_index(text)).cast(pa.string())
+            parts = [learned.value.of(part) for _, part in slices(column)]
+            counts, p = np.concatenate([c for c, _ in parts]), np.concatenate([p for _, p in parts])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts.astype(np.int64)), lists], [*batch.schema.names, tokens, posterior])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(tokens, T.LongType()), T.StructField(posterior, T.ArrayType(T.DoubleType()))])
+    return small_batches(docs).mapInArrow(run, schema)
+
+
 def _totals(rows: DataFrame, steps: np.ndarray, domains: int) -> tuple[np.ndarray, np.ndarray]:
     """Expected tokens of each domain at the rates after ``steps``, and second moments of documents with a rate above zero."""
     width = domains + domains * domains
@@ -271,12 +291,14 @@ def fit_mix(rows: DataFrame, memberships: Memberships, weights: list[float], epo
             break
         # a step that would meet all targets if no more rates were cut
         step = np.linalg.solve(moments + np.eye(domains) * RIDGE * every, miss)
-        for _ in range(4):
+        for _ in range(HALVINGS):
             moved, changed = _totals(rows, steps + step, domains)
             if np.abs(residual(steps + step, moved)).sum() < np.abs(miss).sum():
+                steps, totals, moments = steps + step, moved, changed
                 break
             step = step / 2
-        steps, totals, moments = steps + step, moved, changed
+        else:  # no step gets closer: the rates stay as they are
+            break
     return Mix(memberships, steps, targets, totals)
 
 
@@ -318,21 +340,26 @@ def sample_mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     """The documents drawn at their rates, at most once each, with all their columns."""
     targets = TARGETS if targets is None else targets
     memberships = learn_memberships(docs, labels, len(targets))
-    rows = stage(with_memberships(docs, memberships), "memberships")
-    mix = docs.sparkSession.sparkContext.broadcast(fit_mix(rows, memberships, list(targets.values())))
-    draw = "_draw"
-    while draw in docs.columns:
-        draw += "_"
+    free, taken = [], set(docs.columns)
+    for name in ("tokens", "posterior"):
+        while name in taken:
+            name += "_"
+        free.append(name)
+    # every text is scored once; its scores stand beside the row
+    scored = stage(beside_memberships(docs, memberships, *free), "memberships")
+    tokens, posterior = (F.col(f"`{name}`") for name in free)
+    mix = fit_mix(scored.select(tokens.alias("n_tokens"), posterior.alias("posterior")), memberships, list(targets.values()))
+    steps = mix.steps
     drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    marked = docs.withColumn(draw, drawn)
+    draw = "draw"
+    while draw in scored.columns:
+        draw += "_"
+    marked = scored.withColumn(draw, drawn)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = batch.schema.get_field_index("text")
-            rates = [mix.value.rates(mix.value.memberships.of(part)[1]) for _, part in slices(batch.column(at).cast(pa.string()))]
-            kept = np.concatenate(rates) + np.asarray(batch.column(batch.num_columns - 1)) >= 1.0
-            yield batch.filter(pa.array(kept))
+            if batch.num_rows:
+                rates = _rates(_posterior(batch.column(batch.num_columns - 2), len(steps)), steps)
+                yield batch.filter(pa.array(rates + np.asarray(batch.column(batch.num_columns - 1)) >= 1.0))
 
-    return marked.mapInArrow(keep, marked.schema).drop(draw)
+    return marked.mapInArrow(keep, marked.schema).select(*(F.col(f"`{c}`") for c in docs.columns))

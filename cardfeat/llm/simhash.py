@@ -22,11 +22,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardfeat.llm.components import components
 from cardfeat.llm.tables import SMALL_KEYS, small_batches
+from cardfeat.operators.joins import lookup
 from cardfeat.operators.skew import broadcast_if_small
 from cardfeat.session import stage
 
@@ -36,6 +37,8 @@ SEED = 42
 #: Fingerprints in a tile: a 48th of all within these bounds, so that there are enough pairs
 #: of tiles for all cores and not more of them than the shuffle can carry.
 MIN_TILE, MAX_TILE, TILES = 1024, 32768, 48
+#: Squares of pairs of tiles, as tasks of their own; beyond so many pairs a square holds several.
+SQUARES = 4096
 #: Shingles that are hashed at a time, and links that are kept before they are reduced to a forest.
 _CHUNK = 1 << 15
 _KEPT_LINKS = 1 << 20
@@ -191,33 +194,57 @@ def _pairs(tiles: DataFrame, radius: int) -> DataFrame:
     return other.union(ranges.select(F.col("tile").alias("a"), F.col("tile").alias("b")))
 
 
+def _cells(tiles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs dealt into squares of tiles: a row per square and tile in it, with the square's pairs.
+
+    A square of G x G pairs needs 2 G tiles, so a tile travels once per row of squares, not once
+    per pair. There are at least ``SQUARES`` squares if there are as many pairs.
+    """
+    side = max(1, int((pairs.count() / SQUARES) ** 0.5))
+    number = tiles.select("tile", (F.row_number().over(Window.orderBy("tile")) - 1).alias("n"))  # a row per tile
+    first, second = (number.select(F.col("tile").alias(x), F.floor(F.col("n") / side).alias(f"n{x}")) for x in "ab")
+    dealt = pairs.join(F.broadcast(first), "a").join(F.broadcast(second), "b")
+    squares = dealt.groupBy(F.col("na").alias("row"), F.col("nb").alias("column")).agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    needed = F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.array(p["a"], p["b"]))))
+    wanted = stage(squares.withColumn("tile", F.explode(needed)), "squares")
+    sent = wanted.join(tiles.select("tile", "prints"), "tile")
+    return sent.repartition(max(1, squares.count()), "row", "column").sortWithinPartitions("row", "column", "tile")
+
+
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (u, v) that connect all fingerprints ``fp`` at most ``radius`` bits apart."""
     tiles = _tiles(prints, radius)
-    pairs = stage(_pairs(tiles, radius), "pairs")
-    left = tiles.select(F.col("tile").alias("a"), F.col("prints").alias("x"))
-    right = tiles.select(F.col("tile").alias("b"), F.col("prints").alias("y"))
-    work = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    work = work.repartition(min(max(pairs.count(), 1), 2000), "a", "b")
+    cells = _cells(tiles, stage(_pairs(tiles, radius), "pairs"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, x, y in zip(*(batch.column(k) for k in range(4))):
-                u, v = tile_links(
-                    np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64), radius, a.as_py() == b.as_py()
-                )
+        square, held, pairs = None, {}, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            for pair in pairs:
+                a, b = pair["a"], pair["b"]
+                u, v = tile_links(held[a], held[b], radius, a == b)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
-    return work.mapInArrow(compare, "u bigint, v bigint")
+        for batch in batches:
+            for row, column, listed, tile, raw in zip(*(batch.column(k) for k in range(5))):
+                place = row.as_py(), column.as_py()
+                if place != square:
+                    yield from done()
+                    square, held, pairs = place, {}, listed.as_py()
+                held[tile.as_py()] = np.frombuffer(raw.as_py(), dtype=np.uint64)
+        yield from done()
+
+    return cells.select("row", "column", "pairs", "tile", "prints").mapInArrow(compare, "u bigint, v bigint")
 
 
 def classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Each different ``fp`` of (``id``, ``fp``) with its component: a fingerprint ``root`` and the smallest id."""
     prints = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "prints")
     roots = components(links(prints, radius)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    named = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = stage(prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(smallest, "root").select("fp", "root", "component_id")
+    # a component may hold a third of all fingerprints
+    return lookup(named, stage(smallest, "smallest"), ["root"], "inner").select("fp", "root", "component_id")
 
 
 def simhash_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -225,7 +252,8 @@ def simhash_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = stage(with_fingerprints(rows, "fp", size=size).select("id", "fp"), "fingerprints")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return rows.join(classes(rows, radius), "fp").select(F.col("id").alias("doc_id"), shown, "component_id")
+    # one fingerprint may stand for a third of all rows, such as that of texts without words
+    return lookup(rows, stage(classes(rows, radius), "classes"), ["fp"], "inner").select(F.col("id").alias("doc_id"), shown, "component_id")
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -238,10 +266,12 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", size: int = SHINGLE,
         print_ += "_"
     whole = stage(with_fingerprints(docs, print_, size=size), "printed")
     rows = whole.select(F.col(key).alias("id"), F.col(print_).alias("fp"))
-    counted = rows.groupBy("id", "fp").agg(F.count("*").alias("n")).join(classes(rows, radius), "fp")
+    counted = rows.groupBy("id", "fp").agg(F.count("*").alias("n"))
+    counted = stage(lookup(counted, stage(classes(rows, radius), "classes"), ["fp"], "inner"), "counted")
     ranked = counted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("best"))
     stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("fp") == F.col("best.fp"))
-    judged = stage(counted.join(ranked, "root").select("id", "fp", "n", stays.alias("stays")), "judged")
+    judged = stage(lookup(counted, stage(ranked, "ranked"), ["root"], "inner").select("id", "fp", "n", stays.alias("stays")), "judged")
+
     def listed(some: DataFrame):
         keys = broadcast_if_small(some.select(F.col("id").alias("_id"), F.col("fp").alias("_fp")), SMALL_KEYS)
         return keys, whole[key].eqNullSafe(keys["_id"]) & (whole[print_] == keys["_fp"])

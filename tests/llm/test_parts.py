@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cardfeat.llm import components as components_module
-from cardfeat.llm import html_text, language, rans, simhash
+from cardfeat.llm import html_text, language, mixing, rans, simhash
 from cardfeat.llm.components import components
 from cardfeat.llm.flat import SPACED, flat, slices, words
 from cardfeat.llm.queries import TOKENIZER
@@ -93,6 +94,59 @@ def test_tiles_are_skipped_only_without_links(spark, monkeypatch):
     assert got == {int(p): least[c] for p, c in zip(prints.view(np.int64), label)}
 
 
+@pytest.mark.parametrize("squares", [1, 20, 10**6])
+def test_squares_of_tiles_hold_all_pairs(spark, monkeypatch, squares):
+    monkeypatch.setattr(simhash, "MIN_TILE", 8)
+    monkeypatch.setattr(simhash, "TILES", 10**6)
+    monkeypatch.setattr(simhash, "SQUARES", squares)
+    rng = np.random.default_rng(5)
+    prints = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64) & np.uint64(0xFFF000F))
+    table = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp bigint")
+    tiles = simhash._tiles(table, 4)
+    pairs = simhash._pairs(tiles, 4)
+    cells = simhash._cells(tiles, pairs).collect()
+    listed = [(p["a"], p["b"]) for r in {(r["row"], r["column"]): r["pairs"] for r in cells}.values() for p in r]
+    assert sorted(listed) == sorted(map(tuple, pairs.collect()))
+    if squares == 1:  # a tile travels once for each row of squares, of which there are two
+        assert len(cells) <= 2 * tiles.count() < len(listed) / 3
+    if squares > len(listed):
+        assert len({(r["row"], r["column"]) for r in cells}) == len(listed)
+    least = {}
+    label = brute.components([int(p) for p in prints])
+    for k, c in enumerate(label):
+        least.setdefault(c, k)
+    got = {r["fp"]: r["component_id"] for r in simhash.classes(table.withColumn("id", F.monotonically_increasing_id() * 0 + F.col("fp"))).collect()}
+    smallest = {}
+    for k, c in enumerate(label):
+        smallest[c] = min(smallest.get(c, 1 << 62), int(prints.view(np.int64)[k]))
+    assert got == {int(p): smallest[c] for p, c in zip(prints.view(np.int64), label)}
+
+
+def test_no_step_is_taken_that_makes_a_mix_worse(monkeypatch):
+    """Totals that get worse whatever the step: the rates and totals of the start are returned, together."""
+    start, asked = np.array([100.0, 50.0, 20.0]), []
+
+    def fake(rows, steps, domains):
+        asked.append(steps.copy())
+        return start * (1 + 10 * np.abs(steps).sum()) if np.abs(steps).sum() else start, np.eye(domains) * 50
+
+    monkeypatch.setattr(mixing, "_totals", fake)
+    mix = mixing.fit_mix(None, None, [0.9, 0.07, 0.03])
+    assert (mix.steps == 0).all() and (mix.totals == start).all() and len(asked) == 1 + mixing.HALVINGS
+
+
+def test_totals_belong_to_the_steps_they_are_returned_with(monkeypatch):
+    start = np.array([100.0, 50.0, 20.0])
+
+    def totals(steps):
+        return start * (1 - np.tanh(3 * steps))
+
+    monkeypatch.setattr(mixing, "_totals", lambda rows, steps, domains: (totals(steps), np.diag(start)))
+    mix = mixing.fit_mix(None, None, [0.9, 0.07, 0.03])
+    assert mix.totals == pytest.approx(totals(mix.steps))
+    assert np.abs(mix.totals - mix.targets).sum() < np.abs(start - mix.targets).sum()
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (7, 7), (101, 100)]
     got = {tuple(r) for r in components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
