@@ -112,6 +112,11 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder of :func:`scratch_path`, whose readers must be done."""
+    _delete(spark, [path])
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete what was staged outside of any scope; frames that read it must be done."""
     _delete(spark, _STAGED)

@@ -13,8 +13,7 @@ from cardfeat.llm.mixing import sample_mix
 from cardfeat.llm.simhash import drop_near_copies
 from cardfeat.llm.tables import read
 from cardfeat.llm.token_files import read_tokens, token_digests, write_tokens
-from cardfeat.session import stage
-from cardfeat.sources.sinks import scratch_path
+from cardfeat.session import drop_folder, scratch_path, stage_scope
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -59,10 +58,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written and read again before the next."""
-    docs = read(spark, sf_dir, "documents")
-    for number, (name, function) in enumerate(STAGES):
-        docs = function(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stage(docs, name)
-    return docs
+    """All stages in order, each written and read again before the next.
+
+    What a stage keeps for itself goes once its result is written, and so does the result before.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
+    for name, function in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        with stage_scope(spark):
+            kept = function(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            drop_folder(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
