@@ -4,13 +4,16 @@ A softmax regression over hashed words, word beginnings and text statistics,
 fitted on a bounded sample of the labelled documents, gives every document a
 posterior over the domains. Rates are then fitted by projected-gradient least
 squares: with ``a = tokens * posterior`` for each document, the residual of the
-expected domain totals against their targets is summed over all partitions, a
-step against it is added to the steps before, and every rate is one minus the
-document's share in their sum, projected on what is not negative. So the rates
-that meet the targets are those with the least change per token. Steps are
-scaled by the second moments of the documents whose rate is above zero, and
-halved when the residual grows; the sum has one number for each domain, and
-documents need only their posterior. A small penalty on that sum keeps a domain
+expected domain totals against their targets, each counted by its domain's
+supply, is summed over all partitions. A document's share in it is the gradient
+by its rate (for each token); the sum of all gradient steps so far moves its rate
+away from one, and the rate is that point projected on what is not negative. So
+the rates that meet the targets are those with the least change per token, a
+sum of steps has one number for each domain, and documents need only their
+posterior. Step lengths come from the change of the residual over the step
+before (spectral, after Barzilai and Borwein); a step is halved while the
+residual is larger than in all of the last ``KEPT`` rounds, and the best rates
+of all rounds are returned. A small penalty on the sum of steps keeps a domain
 with next to no tokens from moving all rates; totals miss their targets by some
 ten-thousandth of all tokens for it.
 
@@ -49,7 +52,9 @@ BUCKETS = 1 << 15
 BEGINNINGS = (4, 5)
 STEPS, BATCH = 1_200, 64
 SEED = 29
-ROUNDS, CLOSE, HALVINGS = 20, 1e-6, 4
+ROUNDS, CLOSE, HALVINGS = 60, 1e-6, 4
+#: Rounds whose residuals a new one is held against.
+KEPT = 8
 #: Penalty on the steps, as a share of all tokens.
 RIDGE = 1e-4
 #: Expected tokens are added up as whole numbers of this fraction, so that no order matters.
@@ -190,7 +195,7 @@ class Mix:
     """A fitted mix: the classifier and the steps that take rates from one to their final value."""
 
     memberships: Memberships
-    steps: np.ndarray  #: sum of all steps, a number for each domain
+    steps: np.ndarray  #: sum of all gradient steps, a number for each domain
     targets: np.ndarray
     totals: np.ndarray  #: expected domain totals at the final rates
 
@@ -281,24 +286,42 @@ def fit_mix(rows: DataFrame, memberships: Memberships, weights: list[float], epo
     targets = np.minimum(share / share[0] * totals[0] * epochs, totals)
     targets[0] = totals[0] * epochs
     every = totals.sum()
+    scale = totals + RIDGE * every
 
     def residual(at: np.ndarray, found: np.ndarray) -> np.ndarray:
         return found - targets - RIDGE * every * at
 
+    def size(miss: np.ndarray) -> float:
+        return float((miss**2 / np.maximum(scale, 1.0)).sum())
+
+    miss = residual(steps, totals)
+    sizes, best, length = [size(miss)], (steps, totals), None
     for _ in range(ROUNDS):
-        miss = residual(steps, totals)
         if np.abs(miss).max() <= CLOSE * every:
             break
-        # a step that would meet all targets if no more rates were cut
-        step = np.linalg.solve(moments + np.eye(domains) * RIDGE * every, miss)
+        gradient = miss / np.maximum(scale, 1.0)
+        exact = length is None
+        if exact:  # the length that is best if no more rates are cut
+            length = miss @ gradient / (gradient @ (moments + np.eye(domains) * RIDGE * every) @ gradient)
+        step = length * gradient
         for _ in range(HALVINGS):
             moved, changed = _totals(rows, steps + step, domains)
-            if np.abs(residual(steps + step, moved)).sum() < np.abs(miss).sum():
-                steps, totals, moments = steps + step, moved, changed
+            after = residual(steps + step, moved)
+            if size(after) < max(sizes[-KEPT:]):
                 break
             step = step / 2
-        else:  # no step gets closer: the rates stay as they are
-            break
+        else:  # no step gets closer
+            if exact:
+                break
+            length = None
+            continue
+        bend = step @ (miss - after)
+        length = (step**2 * scale).sum() / bend if bend > 0 else None
+        steps, totals, moments, miss = steps + step, moved, changed, after
+        sizes.append(size(miss))
+        if sizes[-1] == min(sizes):
+            best = steps, totals
+    steps, totals = best
     return Mix(memberships, steps, targets, totals)
 
 

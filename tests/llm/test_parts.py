@@ -245,3 +245,33 @@ def test_long_text_beside_an_article_does_not_replace_it():
     long = "One very long notice, in a box of its own; it goes on, and on. " * 8
     page = f"<body><article><h1>Title</h1>{_STORY_HTML}<p>Short.</p></article><div class=box><div>{long}</div></div></body>"
     assert html_text.main_blocks(page)[:6] == ["Title", *STORY, "Short."]
+
+
+def test_fitted_rates_solve_the_least_squares_problem(monkeypatch):
+    """Against a direct solution over all rates: the nonnegative ones with the least change and residual."""
+    rng = np.random.default_rng(11)
+    tokens = rng.integers(1, 400, 60).astype(float)
+    posterior = rng.dirichlet([0.1, 0.1, 0.1], 60)
+
+    def totals(rows, steps, domains):
+        rate = np.maximum(1 - posterior @ steps, 0)
+        return posterior.T @ (rate * tokens), (posterior * (tokens * (rate > 0))[:, None]).T @ posterior
+
+    monkeypatch.setattr(mixing, "_totals", totals)
+    mix = mixing.fit_mix(None, None, [0.9, 0.07, 0.03])
+    ridge = mixing.RIDGE * tokens.sum()
+    a = (posterior * tokens[:, None]).T
+    free = np.ones(len(tokens), bool)
+    for _ in range(100):  # rates that would be negative are held at zero
+        left = a[:, free]
+        matrix = np.diag(tokens[free]) + left.T @ left / ridge
+        found = np.zeros(len(tokens))
+        found[free] = np.linalg.solve(matrix, tokens[free] + left.T @ mix.targets / ridge)
+        slope = tokens * (found - 1) + a.T @ (a @ found - mix.targets) / ridge
+        new = (found > 0) | (~free & (slope < -1e-9))
+        if (new == free).all():
+            break
+        free = new
+    assert (found == 0).any() and (found > 1).any()
+    assert np.allclose(mix.rates(posterior), found, atol=1e-3)
+    assert np.allclose(mix.totals, totals(None, mix.steps, 3)[0])
