@@ -5,13 +5,18 @@ each. All benchmark suffixes are binary-searched in it together: first by the
 packed leading words, then word by word inside the intervals found. A suffix
 whose interval is not empty at the length of a window marks the words of all
 its occurrences; the interval at its greatest length gives the longest match.
+Of suffixes and shard, the smaller side is looked up in the other by the packed
+leading words, so that a shard costs in proportion to its own words however
+long the benchmark is. From an occurrence of a window on, the length of the
+match is found by halving over running hashes of item and shard.
 
 Words are compared by 64-bit hashes. Training suffixes that begin with a word
 of no item sort outside every interval and are left out of the array. The
 benchmark is read in blocks of at most some ``BLOCK_WORDS`` words; several blocks
-are searched one after another, each against all documents. Verdicts need windows
-only, so longer items are cut for them into pieces that share all but one word of
-a window. ``longest_matches`` keeps items whole.
+are searched one after another, each against all documents. Longer items are cut
+into pieces that share all but one word of a window, which loses no window; the
+longest match of a document ends with its piece there. ``longest_matches`` keeps
+items whole.
 
 Null texts have no words and are never contaminated. Rows are judged one by
 one, so repeated rows and ids get equal results. An item without id counts as
@@ -57,10 +62,21 @@ class Items:
     places: list[list[tuple[str, int]]]  #: item and word position of each suffix with that window
     bits: int
     depth: int
+    #: by number of packed words: the suffixes in the order of these words, and the words
+    heads: list[tuple[int, np.ndarray, np.ndarray]]
+    order: np.ndarray  #: rank of the first place of each suffix
 
 
-def read_items(ids: list[str], texts: list[str], window: int = WINDOW) -> Items:
-    """Prepare items for the search."""
+def _running(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of hashed codes and the factors that make sums from any position on comparable."""
+    power, inverse = (np.full(len(codes) + 1, base, dtype=np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+    power[0] = inverse[0] = 1
+    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64)) * power[:-1]))), inverse
+
+
+def read_items(ids: list[str], texts: list[str], window: int = WINDOW, skipped: list[int] | None = None) -> Items:
+    """Prepare items, or pieces of them after ``skipped`` words each, for the search."""
     part = flat(pa.array(texts, pa.string()))
     w = words(part, LETTERED, lower=True)
     vocabulary = np.unique(w.hashes)
@@ -74,13 +90,7 @@ def read_items(ids: list[str], texts: list[str], window: int = WINDOW) -> Items:
     wanted = w.first[text] + counts[text] - np.arange(len(text)) >= size[text]
     at = np.flatnonzero(wanted)
     sizes, rests = size[text[at]], (w.first[text] + counts[text] - np.arange(len(text)))[at]
-    power = np.full(len(text) + 1, _BASE, dtype=np.uint64)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    inverse = np.full(len(text) + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(w.hashes) * power[: len(text)])))
+    sums, inverse = _running(w.hashes)
     rest_hashes = (sums[at + rests] - sums[at]) * inverse[at]
     groups: dict[tuple, int] = {}
     starts, owners, places, keep = [], [], [], []
@@ -94,17 +104,30 @@ def read_items(ids: list[str], texts: list[str], window: int = WINDOW) -> Items:
             owners.append([])
             places.append([])
         owners[g].append(ids[text[i]])
-        places[g].append((ids[text[i]], int(i - w.first[text[i]])))
+        places[g].append((ids[text[i]], int(i - w.first[text[i]]) + (skipped[text[i]] if skipped else 0)))
+    starts, sizes = np.array(starts, dtype=np.int64), sizes[keep].astype(np.int64)
+    bits = max(1, int(len(vocabulary)).bit_length())
+    packed_words = np.minimum(sizes, max(1, 64 // bits))
+    heads = []
+    for d in np.unique(packed_words).tolist():
+        some = np.flatnonzero(packed_words == d)
+        head = _pack(codes, starts[some], bits, d)
+        by = np.argsort(head, kind="stable")
+        heads.append((d, some[by], head[by]))
+    firsts = [min(p) for p in places]
+    rank = {place: k for k, place in enumerate(sorted(set(firsts)))}
     return Items(
         vocabulary,
         codes,
-        np.array(starts, dtype=np.int64),
-        sizes[keep].astype(np.int64),
+        starts,
+        sizes,
         rests[keep].astype(np.int64),
         [sorted(set(o)) for o in owners],
         places,
-        max(1, int(len(vocabulary)).bit_length()),
+        bits,
         int(counts.max(initial=0)),
+        heads,
+        np.array([rank[f] for f in firsts], dtype=np.int64),
     )
 
 
@@ -182,13 +205,20 @@ def search(codes: np.ndarray, items: Items, longest: bool = False):
         return array, none, none, none, none
     depth = np.minimum(items.sizes, count)
     lo, hi = np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
-    for d in np.unique(depth):
-        some = np.flatnonzero(depth == d)
-        head = _pack(items.codes, items.starts[some], items.bits, int(d))
-        shift = np.uint64(items.bits * (count - int(d)))
-        low = head << shift
-        lo[some] = np.searchsorted(packed, low, side="left")
-        hi[some] = np.searchsorted(packed, low | ((np.uint64(1) << shift) - np.uint64(1)), side="right")
+    for d, some, head in items.heads:
+        shift = np.uint64(items.bits * (count - d))
+        mine = packed >> shift
+        mine = mine[np.concatenate(([True], mine[1:] != mine[:-1]))]
+        if len(mine) < len(head):
+            first, last = np.searchsorted(head, mine, side="left"), np.searchsorted(head, mine, side="right")
+            size = last - first
+            met = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+        else:
+            at = np.minimum(np.searchsorted(mine, head), len(mine) - 1)
+            met = np.flatnonzero(mine[at] == head)
+        low = head[met] << shift
+        lo[some[met]] = np.searchsorted(packed, low, side="left")
+        hi[some[met]] = np.searchsorted(packed, low | ((np.uint64(1) << shift) - np.uint64(1)), side="right")
     live = np.flatnonzero(lo < hi)
     q, lo, hi, depth = q[live], lo[live], hi[live], depth[live]
     done: list[tuple] = []
@@ -231,8 +261,29 @@ def shard(part: Flat, items: Items) -> Shard:
     return Shard(codes, w.first + np.arange(n + 1), w.counts)
 
 
-def hits(part: Flat, items: Items) -> tuple[np.ndarray, dict[int, tuple[list[tuple[int, int]], list[str]]]]:
-    """Word counts of each document, and of those with occurrences the hit word ranges and the items."""
+def _extended(items: Items, s: Shard, query: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Words that item and document share from each occurrence of a window on, to the end of the item at most."""
+    (sums, inverse), (found, turned) = _running(items.codes), _running(s.codes)
+    start = items.starts[query]
+    least, most = items.sizes[query], items.rests[query]
+    while (least < most).any():
+        half = (least + most + 1) >> 1
+        same = (sums[start + half] - sums[start]) * inverse[start] == (found[at + half] - found[at]) * turned[at]
+        least, most = np.where(same, half, least), np.where(same, most, half - 1)
+    return least
+
+
+@dataclass
+class Found:
+    """What a document has of the benchmark."""
+
+    ranges: list[tuple[int, int]]
+    items: list[str]
+    longest: tuple[int, str, int, int] | None = None  #: words, item, word of the item and of the document
+
+
+def hits(part: Flat, items: Items, longest: bool = False) -> tuple[np.ndarray, dict[int, Found]]:
+    """Word counts of each document, and of those with occurrences the hit word ranges, the items and the longest match."""
     s = shard(part, items)
     array, q, lo, hi, _ = search(s.codes, items)
     if not len(q):
@@ -248,48 +299,56 @@ def hits(part: Flat, items: Items) -> tuple[np.ndarray, dict[int, tuple[list[tup
     edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
     begins, ends = edges[0::2], edges[1::2]
     of = np.searchsorted(s.first, begins, side="right") - 1
-    found: dict[int, tuple[list, list]] = {}
+    found: dict[int, Found] = {}
     for d, b, e in zip(of.tolist(), begins.tolist(), ends.tolist()):
         start = int(s.first[d])
-        found.setdefault(d, ([], []))[0].append((b - start, e - start))
+        found.setdefault(d, Found([], [])).ranges.append((b - start, e - start))
     both = np.unique(np.stack((doc, query), axis=1), axis=0)
     for d, k in both.tolist():
-        found[d][1].extend(items.owners[k])
+        found[d].items.extend(items.owners[k])
+    if longest:
+        length = _extended(items, s, query, at)
+        by = np.lexsort((at, items.order[query], -length, doc))
+        by = by[np.concatenate(([True], doc[by][1:] != doc[by][:-1]))]
+        for d, k, n, place in zip(doc[by].tolist(), query[by].tolist(), length[by].tolist(), at[by].tolist()):
+            found[d].longest = (n, *min(items.places[k]), place - int(s.first[d]))
     return s.counts, found
 
 
-def _pieces(text: str) -> Iterator[str]:
-    """A text in pieces of about ``BLOCK_WORDS`` words, each window in one of them."""
-    starts, end = [], 0  # of the words of a piece
+def _pieces(text: str) -> Iterator[tuple[str, int]]:
+    """A text in pieces of about ``BLOCK_WORDS`` words, each window in one of them, and the words before each."""
+    starts, end, skipped = [], 0, 0  # of the words of a piece
     step = max(BLOCK_WORDS, WINDOW)
     for word in _WORD.finditer(text):
         if len(starts) == step + WINDOW - 1:
-            yield text[starts[0] : end]
-            starts = starts[step:]
+            yield text[starts[0] : end], skipped
+            starts, skipped = starts[step:], skipped + step
         starts.append(word.start())
         end = word.end()
     if starts:
-        yield text[starts[0] : end]
+        yield text[starts[0] : end], skipped
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str, whole: bool = False) -> Iterator[Items]:
     """The benchmark in blocks of a bounded number of words, or at least one ``whole`` item."""
     ids: list[str] = []
     texts: list[str] = []
+    skipped: list[int] = []
     size = 0
     rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     for row in rows.toLocalIterator():
         # a word and what follows it have two characters at least
         short = whole or len(row["t"]) // 2 + 1 <= BLOCK_WORDS
-        for piece in (row["t"],) if short else _pieces(row["t"]):
+        for piece, before in ((row["t"], 0),) if short else _pieces(row["t"]):
             ids.append(row["k"])
             texts.append(piece)
+            skipped.append(before)
             size += len(piece) // 2 + 1
             if size >= BLOCK_WORDS:
-                yield read_items(ids, texts)
-                ids, texts, size = [], [], 0
+                yield read_items(ids, texts, skipped=skipped)
+                ids, texts, skipped, size = [], [], [], 0
     if ids:
-        yield read_items(ids, texts)
+        yield read_items(ids, texts, skipped=skipped)
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -302,18 +361,25 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, prefix: str, text: str = "text", item: str = "item_id") -> DataFrame:
-    """The documents with columns ``<prefix>words``, ``<prefix>hit``, ``<prefix>items`` and ``<prefix>ranges``.
+_LONGEST = "struct<n_words:int,item_id:string,item_word:int,doc_word:int>"
+
 
-    ``ranges`` lists the begin and end of each run of hit words, one after the other.
+def annotate(docs: DataFrame, benchmark: DataFrame, prefix: str, text: str = "text", item: str = "item_id", longest: bool = False) -> DataFrame:
+    """The documents with columns ``<prefix>words``, ``<prefix>hit``, ``<prefix>items``, ``<prefix>ranges`` and ``<prefix>longest``.
+
+    ``ranges`` lists the begin and end of each run of hit words, one after the other. ``longest`` is null, or if
+    it is wanted the longest match with its item and its first words in item and document, both counted from 0;
+    of equal lengths that of the first item as text, then the first in the item, then in the document.
     """
-    start = {"words": "bigint", "hit": "bigint", "items": "array<string>", "ranges": "array<int>"}
+    start = {"words": "bigint", "hit": "bigint", "items": "array<string>", "ranges": "array<int>", "longest": _LONGEST}
     names = [prefix + k for k in start]
     blocks = _blocks(benchmark, item, "text")
     current, following = next(blocks, None) or read_items([], []), next(blocks, None)
     frame = small_batches(docs)
     for name, kind in zip(names, start.values()):
         frame = frame.withColumn(name, F.lit(None).cast(kind))
+    match = pa.struct([("n_words", pa.int32()), ("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32())])
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), match)
 
     def marked(items: Items):
         shared = frame.sparkSession.sparkContext.broadcast(items)
@@ -321,21 +387,22 @@ def annotate(docs: DataFrame, benchmark: DataFrame, prefix: str, text: str = "te
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at = [batch.schema.get_field_index(n) for n in (*names, text)]
-                old = [batch.column(k).to_pylist() for k in at[2:4]]
-                counts, hit, owners, ranges = [], [], [], []
-                for first, part in slices(plain(batch.column(at[4]))):
-                    n, found = hits(part, shared.value)
+                old = [batch.column(k).to_pylist() for k in at[2:5]]
+                counts, hit, owners, ranges, best = [], [], [], [], []
+                for first, part in slices(plain(batch.column(at[5]))):
+                    n, found = hits(part, shared.value, longest)
                     counts.extend(n.tolist())
                     for d in range(len(part)):
-                        new = found.get(d, ([], []))
+                        new = found.get(d) or Found([], [])
                         before = old[1][first + d] or []
-                        spans = _merged(new[0] + list(zip(before[0::2], before[1::2])))
+                        spans = _merged(new.ranges + list(zip(before[0::2], before[1::2])))
                         hit.append(sum(b - a for a, b in spans))
                         ranges.append([x for span in spans for x in span])
-                        owners.append(sorted({*new[1], *(old[0][first + d] or [])}))
+                        owners.append(sorted({*new.items, *(old[0][first + d] or [])}))
+                        matches = [m for m in (new.longest, tuple((old[2][first + d] or {}).values())) if m]
+                        best.append(dict(zip(match.names, min(matches, key=lambda m: (-m[0], *m[1:])))) if matches else None)
                 columns = list(batch.columns)
-                made = (counts, hit, owners, ranges)
-                for k, values, kind in zip(at, made, (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()))):
+                for k, values, kind in zip(at, (counts, hit, owners, ranges, best), kinds):
                     columns[k] = pa.array(values, kind)
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
@@ -352,9 +419,12 @@ def _contaminated(prefix: str):
     return (hit > 0) & (HIT_SHARE * hit >= words_)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: word and hit counts, items, hit word ranges and the verdict."""
-    found = annotate(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), benchmark, "_")
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", longest: bool = False) -> DataFrame:
+    """One row per document: word and hit counts, items, hit word ranges and the verdict.
+
+    With ``longest`` also the longest match (``n_words``, ``item_id``, ``item_word``, ``doc_word``), null if there is none.
+    """
+    found = annotate(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), benchmark, "_", longest=longest)
     return found.select(
         "doc_id",
         F.col("_words").alias("n_words"),
@@ -362,6 +432,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         F.col("_items").alias("items"),
         F.col("_ranges").alias("ranges"),
         _contaminated("_").alias("contaminated"),
+        *((F.col("_longest").alias("longest"),) if longest else ()),
     )
 
 

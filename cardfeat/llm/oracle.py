@@ -12,23 +12,34 @@ _WORDS = (
 ORACLE["op6_decontaminate"] = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
-sized AS (SELECT item, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
-wanted AS (
-  SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS g
-  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM sized)),
+sized AS (SELECT item, row_number() OVER () AS row, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+placed AS (
+  SELECT item, row, n, q, array_to_string(w[q:q + n - 1], ' ') AS g
+  FROM (SELECT item, row, w, n, unnest(range(1, len(w) - n + 2)) AS q FROM sized)),
+wanted AS (SELECT DISTINCT item, n, g FROM placed),
 sizes AS (SELECT DISTINCT n FROM wanted),
 found AS (
   SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d CROSS JOIN sizes WHERE len(w) >= n)),
 hits AS (SELECT doc_id, item, p, n FROM found JOIN wanted USING (n, g)),
+chained AS (
+  SELECT doc_id, item, row, n, p, q, p - row_number() OVER (PARTITION BY doc_id, row, p - q ORDER BY p) AS run
+  FROM found JOIN placed USING (n, g)),
+matches AS (
+  SELECT doc_id, item, count(*) + n - 1 AS words, min(q) - 1 AS item_word, min(p) - 1 AS doc_word
+  FROM chained GROUP BY doc_id, item, row, n, p - q, run),
+best AS (
+  SELECT * FROM matches QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, item, item_word, doc_word) = 1),
 hit_words AS (
   SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM hits) GROUP BY doc_id),
 hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  CAST(coalesce(words, 0) AS BIGINT) AS longest_words, best.item AS longest_item, CAST(item_word AS BIGINT) AS longest_item_word,
+  CAST(doc_word AS BIGINT) AS longest_doc_word
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
 _DRAW = "('0x' || substr(s, {at}, 8))::BIGINT"

@@ -39,7 +39,7 @@ def op4_simhash(spark, d):
 
 @query
 def op6_decontaminate(spark, d):
-    found = decontaminate.contamination(read(spark, d, "documents"), read(spark, d, "benchmark"))
+    found = decontaminate.contamination(read(spark, d, "documents"), read(spark, d, "benchmark"), longest=True)
     return found.select(
         "doc_id",
         "n_words",
@@ -47,6 +47,10 @@ def op6_decontaminate(spark, d):
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
+        F.coalesce(F.col("longest.n_words"), F.lit(0)).cast("bigint").alias("longest_words"),
+        F.col("longest.item_id").alias("longest_item"),
+        F.col("longest.item_word").cast("bigint").alias("longest_item_word"),
+        F.col("longest.doc_word").cast("bigint").alias("longest_doc_word"),
     )
 
 

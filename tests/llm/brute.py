@@ -80,6 +80,27 @@ def contamination(docs: list[tuple], items: list[tuple]) -> dict:
     return out
 
 
+def longest_match(text: str | None, items: list[tuple]) -> tuple[int, str | None, int | None, int | None]:
+    """Words of the longest match of a window or more, its item, and its first words in item and document."""
+    w = LETTERED.findall(low(text))
+    best = (0, None, None, None)
+    for i, item in items:
+        x = LETTERED.findall(low(item))
+        n = min(13, len(x))
+        places: dict[tuple, list[int]] = {}
+        for q in range(len(x) - n + 1 if n else 0):
+            places.setdefault(tuple(x[q : q + n]), []).append(q)
+        for p in range(len(w) - n + 1 if n else 0):
+            for q in places.get(tuple(w[p : p + n]), ()):
+                size = n
+                while p + size < len(w) and q + size < len(x) and w[p + size] == x[q + size]:
+                    size += 1
+                found = (size, "" if i is None else str(i), q, p)
+                if best[1] is None or (-found[0], *found[1:]) < (-best[0], *best[1:]):
+                    best = found
+    return best
+
+
 def counts(text: str | None) -> tuple[int, int, int, int, int]:
     text = text or ""
     w = SPACED.findall(text)

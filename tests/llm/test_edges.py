@@ -173,6 +173,38 @@ def test_long_items_are_cut_without_loss(spark, monkeypatch):
     assert [r[2] for r in want if r[0] == 100] == [0]
 
 
+@pytest.mark.parametrize("count", [1, 5, 400])
+def test_longest_match_of_each_document(spark, monkeypatch, count):
+    """Ties, repeats and unknown words; few items and more suffixes than a shard has words."""
+    draw = random.Random(count)
+
+    def some(most, words="abc"):
+        return " ".join(draw.choice(words) for _ in range(draw.randrange(most)))
+
+    benchmark = [(draw.randrange(5) or None, some(40)) for _ in range(count)]
+    known = " ".join(t for _, t in benchmark)
+    texts = [(None, None), (-1, "")] + [(k, some(60, "abcd") + " " + known[draw.randrange(1 + len(known)) :][:80]) for k in range(30)]
+    docs, items = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(benchmark, "item_id bigint, text string")
+    want = sorted(((i, *brute.longest_match(t, benchmark)) for i, t in texts), key=repr)
+
+    def found():
+        rows = decontaminate.contamination(docs, items, longest=True).collect()
+        return sorted(((r["doc_id"], *(r["longest"] or (0, None, None, None))) for r in rows), key=repr)
+
+    assert found() == want
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)  # several blocks of whole items
+    if count < 400:  # a block is a job over all documents
+        assert found() == want
+
+
+def test_places_in_a_cut_item_count_from_its_start(spark, monkeypatch):
+    words = [f"w{k}" for k in range(100)]
+    docs = spark.createDataFrame([(1, "x y " + " ".join(words[65:82]))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 30)
+    assert tuple(decontaminate.contamination(docs, items, longest=True).head()["longest"]) == (17, "7", 65, 2)
+
+
 def test_longest_matches(spark):
     words = [f"w{k}" for k in range(40)]
     docs = [(1, " ".join(words[5:25])), (2, "x " + " ".join(words[3:20])), (3, "nothing here")]
