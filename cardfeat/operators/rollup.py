@@ -119,12 +119,27 @@ def _small_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame
     return _joined(parts, keys)
 
 
+def _distinct_counts(df: DataFrame, keys: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """Distinct values per key; ``names``: column to result name.
+
+    One aggregate over all columns would hold a row as wide as all of them for every value of
+    each. Here the rows are written once and every column is read back on its own, so a task
+    holds pairs of key and value of one column. Their counts travel as rows, since a join of
+    the columns' counts would hold those of all columns in one task.
+    """
+    keys = list(keys)
+    rows = stage(df.select(*keys, *(c for c in names if c not in keys)), "distinct") if len(names) > 1 else df
+    pairs = [rows.select(*keys, F.col(c).alias("_value")).distinct() for c in names]
+    marked = [p.select(*keys, F.lit(k).alias("_which"), F.col("_value").isNotNull().alias("_is")) for k, p in enumerate(pairs)]
+    counted = reduce(DataFrame.unionByName, marked).groupBy(*keys, "_which").agg(F.count_if("_is").alias("_n"))
+    return counted.groupBy(*keys).agg(*(F.max(F.when(F.col("_which") == k, F.col("_n"))).alias(n) for k, n in enumerate(names.values())))
+
+
 def _large_groups(df: DataFrame, spec: Rollup, keys: Sequence[str]) -> DataFrame:
     """Distinct counts and medians spread over (key, value) before they meet."""
     keys = list(keys)
-    parts = []
-    if distinct := _held(spec, DISTINCT):
-        parts.append(df.groupBy(*keys).agg(*(F.count_distinct(m.column).alias(spec.name(m)) for m in distinct)))
+    distinct = {m.column: spec.name(m) for m in _held(spec, DISTINCT)}
+    parts = [_distinct_counts(df, keys, distinct)] if distinct else []
     for m in _held(spec, MEDIAN):
         digits = None if spec.digits is None else SUM_DIGITS
         found = exact_quantiles(df, keys, m.column, [0.5], digits).select(*keys, F.col("quantiles")[0].alias(spec.name(m)))

@@ -88,6 +88,14 @@ def test_hot_keys_give_the_same_result(spark, hot_rows):
         assert (r["x_median"], r["y_median"], r["x_sum"]) == (mid(xs), mid(ys), sum(xs))
 
 
+def test_distinct_counts_of_hot_keys_hold_one_column_at_a_time(rows):
+    data = [("a", 0.0, "p", None), ("a", -0.0, None, None), ("a", float("nan"), "q", None), ("b", None, "p", 3), ("b", 1.5, "p", 3), (None, 9.0, "z", 9)]
+    df = rows(data * 2, "card_id string, x double, y string, z int")
+    found = roll_up(df, Rollup("", take("nunique", "x", "y", "z", "card_id")), hot_rows=0)
+    assert {tuple(r) for r in found.collect()} == {("a", 1, 2, 0, 1), ("b", 1, 1, 1, 1)}
+    assert "Expand" not in found._jdf.queryExecution().toString()  # rows as wide as all columns, once for each
+
+
 def test_wide_specs_are_split_and_joined(rows):
     names = [f"c{i}" for i in range(30)]
     df = rows([("a", *range(30)), ("a", *range(1, 31)), ("b", *[None] * 30)], "card_id string, " + ", ".join(f"{n} int" for n in names))
