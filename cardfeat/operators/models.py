@@ -61,6 +61,8 @@ def forest(label: str = "target", trees: int = 100, depth: int = 7, **extra) ->
     settings = dict(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth,
         minInstancesPerNode=MIN_ROWS, featureSubsetStrategy="0.5", subsamplingRate=ROW_SHARE, seed=SAMPLING_SEED,
+        # a row keeps its node in every tree, or each level would walk all trees from their roots
+        cacheNodeIds=True,
     )
     return RandomForestRegressor(**{**settings, **extra})
 
