@@ -101,3 +101,14 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
     """Rows of ordinary keys and rows of hot keys; their union is ``df``."""
     listed = broadcast_if_small(hot, SMALL_KEYS)
     return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+
+
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with those of a key side by side, for an aggregate whose buffers are wider than its rows.
+
+    Where a key's rows lie scattered over many tasks, an aggregate sends a buffer for nearly every
+    row. Here the rows themselves move first, and a buffer per key after them. They are dealt by
+    a hash of the key, not by the key, so the aggregate still combines per task: adaptive execution
+    may cut the part of a hot key into several, whose buffers then meet.
+    """
+    return df.withColumn("_deal", F.xxhash64(*keys)).hint("rebalance", F.col("_deal")).drop("_deal")

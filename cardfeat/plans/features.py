@@ -13,6 +13,7 @@ from cardfeat.operators.clean import clear_sentinels, encode_flags, fill_missing
 from cardfeat.operators.encode import one_hot
 from cardfeat.operators.joins import enrich
 from cardfeat.operators.rollup import Rollup, roll_up
+from cardfeat.operators.skew import gathered
 from cardfeat.plans import specs
 from cardfeat.sources.readers import BASE_DAY
 
@@ -97,7 +98,7 @@ def merchant_rollup(
 
 
 def share_rollup(log: DataFrame, base: cal.DayLike = BASE_DAY, digits: int | None = None) -> DataFrame:
-    ready = coded(log).withColumn("purchase_day_lag", cal.day_lag(base, F.col("purchase_date")))
+    ready = coded(gathered(log, ["card_id"])).withColumn("purchase_day_lag", cal.day_lag(base, F.col("purchase_date")))
     return roll_up(ready, specs.share_hist(digits), share="history_card_percentage")
 
 
@@ -114,7 +115,7 @@ def lag_rates(rolled: DataFrame, prefix: str, with_amount_rate: bool = False) ->
 
 
 def full_new_rollup(log: DataFrame, base: cal.DayLike = BASE_DAY, digits: int | None = None) -> DataFrame:
-    rolled = roll_up(with_lags(coded(log), base), specs.full_new(digits))
+    rolled = roll_up(with_lags(coded(gathered(log, ["card_id"])), base), specs.full_new(digits))
     return lag_rates(rolled, "new_", with_amount_rate=True)
 
 
@@ -127,7 +128,7 @@ def full_hist_rollup(
 ) -> DataFrame:
     """The widest history rollup: categories filled, sentinels cleared, then
     lags, calendar, price, holiday and duration columns."""
-    cleaned = clear_sentinels(fill_missing(log))
+    cleaned = clear_sentinels(fill_missing(gathered(log, ["card_id"])))
     df = with_calendar(with_lags(coded(cleaned), base))
     df = with_holidays(with_duration(with_price(df)), holidays)
     return lag_rates(roll_up(df, specs.full_hist(digits, tuple(rolled_holidays))), "hist_")
