@@ -29,6 +29,8 @@ from cardfeat.session import ensure_checkpoint_dir, scratch_path
 #: Rounds at most, rounds without a better one after which a run ends, weight of a tree.
 ROUNDS, PATIENCE, STEP = 10_000, 150, 0.005
 CHUNK = 25
+#: Rows a task goes over at least: each round is some ten jobs, and below this their tasks cost more than their rows.
+TASK_ROWS = 100_000
 #: Held-out probabilities are kept this far from 0 and 1 in the log loss.
 _EDGE = 1e-12
 
@@ -137,16 +139,20 @@ class PatientBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
     def _grow(self, rows: DataFrame, count: int, first: int) -> list:
         """``count`` trees, each fitted on what those before have left of the rows."""
         spark, trees = rows.sparkSession, []
-        fit_rows = rows.filter(~F.col("held"))
-        for k in range(count):
-            margin = F.col("margin")
-            current = fit_rows
-            if trees:
-                current = ensemble(trees, self.step, spark).setPredictionCol("_grown").transform(current)
-                margin = margin + F.col("_grown")
-            current = current.select("features", left_over(F.col("label"), margin, self.logistic).alias("left"))
-            forest = RandomForestRegressor(labelCol="left", numTrees=1, bootstrap=False, seed=self.seed + first + k, **self._tree)
-            trees.append(forest.fit(current).trees[0])
+        # every fit goes over its rows three times, so those of a chunk are decoded once
+        fit_rows = rows.filter(~F.col("held")).select("features", "label", "margin").persist()
+        try:
+            for k in range(count):
+                margin = F.col("margin")
+                current = fit_rows
+                if trees:
+                    current = ensemble(trees, self.step, spark).setPredictionCol("_grown").transform(current)
+                    margin = margin + F.col("_grown")
+                current = current.select("features", left_over(F.col("label"), margin, self.logistic).alias("left"))
+                forest = RandomForestRegressor(labelCol="left", numTrees=1, bootstrap=False, seed=self.seed + first + k, **self._tree)
+                trees.append(forest.fit(current).trees[0])
+        finally:
+            fit_rows.unpersist()
         return trees
 
     def _errors(self, rows: DataFrame, trees: list) -> list[float]:
@@ -179,7 +185,7 @@ class PatientBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
             rows = spark.read.parquet(f"{state.chunk(number - 1)}/rows") if not is_over(errors, self.rounds, self.patience) else None
         else:
             start = self._start(given.filter(~F.col("held")))
-            rows = given.withColumn("margin", F.lit(start))
+            rows = given.coalesce(-(-given.count() // TASK_ROWS)).withColumn("margin", F.lit(start))
         while not is_over(errors, self.rounds, self.patience):
             state.delete(state.chunk(number))  # what a killed run may have left of it
             trees = self._grow(rows, min(self.chunk, self.rounds - len(errors)), len(errors))

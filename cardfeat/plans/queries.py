@@ -991,12 +991,12 @@ def _patient():
 @query
 def patient_oof(spark, d):
     """Boosting that ends once the held-out fold has not got better for some rounds."""
-    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _patient, STACK_FOLDS).scores
+    return models.cross_validate(_model_table(spark, d), MODEL_FEATURES, "target", _patient, STACK_FOLDS, parallelism=STACK_FOLDS).scores
 
 
-def _cover(table, name: str, label: str, learner):
+def _cover(table, name: str, label: str, learner, parallelism: int = 4):
     """What must hold of any learner's scores: every card once, in its fold, with a score, probabilities in range."""
-    run = models.cross_validate(table, MODEL_FEATURES, label, learner, STACK_FOLDS)
+    run = models.cross_validate(table, MODEL_FEATURES, label, learner, STACK_FOLDS, parallelism=parallelism)
     in_range = F.col("prediction").isNotNull() & (F.lit(label == "target") | F.col("prediction").between(0, 1))
     cover = run.scores.groupBy("card_id", "split", "fold").agg(F.count("*").alias("n"), F.bool_and(in_range).alias("scored"))
     return cover.withColumn("learner", F.lit(name)), run
@@ -1014,7 +1014,7 @@ def patience_cover(spark, d):
     """The same of the learners with patience, and that each of their runs ended as soon as it could."""
     table, parts = materialize(_model_table(spark, d)), []
     for name, label, learner in (("patient", "target", models.patient), ("patient_outliers", "outliers", models.patient_classifier)):
-        cover, run = _cover(table, name, label, lambda learner=learner: learner(**IMPATIENT))
+        cover, run = _cover(table, name, label, lambda learner=learner: learner(**IMPATIENT), STACK_FOLDS)
         waited = [(k, len(m.errors) - m.rounds, len(m.errors), m.errors[m.rounds - 1] <= min(m.errors)) for k, m in enumerate(run.models)]
         waited = spark.createDataFrame(waited, "fold bigint, waited int, run int, best boolean")
         in_time = F.col("best") & ((F.col("run") == IMPATIENT["rounds"]) | F.col("waited").between(IMPATIENT["patience"], IMPATIENT["patience"] + IMPATIENT["chunk"] - 1))
